@@ -103,20 +103,24 @@ def lognormal(mu: float, sigma: float, seed: int, purpose: str, *parts) -> Colum
 # --- CPF check digits -------------------------------------------------------------------------
 
 
-def _check_digit(digits: Column, top_weight: int) -> Column:
-    """Digit for a string whose characters weigh top_weight, top_weight-1, ..., 2."""
-    total = sum(
-        (F.substring(digits, i + 1, 1).cast("int") * F.lit(top_weight - i) for i in range(top_weight - 1)),
+def _weighted(base: Column, top_weight: int) -> Column:
+    """Sum of the nine base digits weighted top_weight, top_weight-1, ..."""
+    return sum(
+        (F.substring(base, i + 1, 1).cast("int") * F.lit(top_weight - i) for i in range(9)),
         start=F.lit(0),
     )
-    rest = total % F.lit(11)
-    return F.when(rest < 2, F.lit(0)).otherwise(F.lit(11) - rest)
+
+
+def _check_digit(total: Column) -> Column:
+    """11 minus the rest by 11, where 10 and 11 count as 0."""
+    return (F.lit(11) - total % 11) % 11 % 10
 
 
 def cpf_from_base(base: Column) -> Column:
     """Nine digits to a full CPF of eleven."""
-    with_first = F.concat(base, _check_digit(base, 10).cast("string"))
-    return F.concat(with_first, _check_digit(with_first, 11).cast("string"))
+    first = _check_digit(_weighted(base, 10))
+    second = _check_digit(_weighted(base, 11) + first * 2)
+    return F.concat(base, first.cast("string"), second.cast("string"))
 
 
 def cpf_is_valid(col) -> Column:

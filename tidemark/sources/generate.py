@@ -77,16 +77,19 @@ def hero_days(seed: int, today: date) -> tuple[list[int], list[int]]:
 
 
 def _ordinary(ids: DataFrame, seed: int, today: date, pool: int) -> DataFrame:
-    """Orders without planted rows, before ``updated_at``."""
+    """Orders without planted rows, before ``updated_at``. Each draw is computed once per row."""
     i = F.col("pedido_id")
     start = today - timedelta(days=WINDOW_DAYS)
-    return ids.select(
+    draws = ids.select(
+        i, uniform(seed, "status", i).alias("_status"), uniform(seed, "payment", i).alias("_payment")
+    )
+    return draws.select(
         i,
         (draw_below(pool, seed, "rep", i) + 1).cast("int").alias("consultora_id"),
         _plus_days(start, draw_below(WINDOW_DAYS, seed, "day", i)).alias("data_pedido"),
         lognormal(AMOUNT_MU, AMOUNT_SIGMA, seed, "amount", i).alias("valor_total"),
-        weighted_pick(uniform(seed, "status", i), STATUS_SHARES).alias("status"),
-        weighted_pick(uniform(seed, "payment", i), PAYMENT_SHARES).alias("forma_pagamento"),
+        weighted_pick(F.col("_status"), STATUS_SHARES).alias("status"),
+        weighted_pick(F.col("_payment"), PAYMENT_SHARES).alias("forma_pagamento"),
     )
 
 
@@ -157,8 +160,8 @@ def generate_evolved_orders(
     if n <= 0:
         raise ValueError("n must be positive")
     base = _ordinary(ids if ids is not None else _order_ids(spark, first_id, n), seed, today or date.today(), pool)
-    channel = weighted_pick(uniform(seed, "channel", F.col("pedido_id")), CHANNEL_SHARES)
-    return _touched(base, seed).withColumn("canal_origem", channel)
+    drawn = _touched(base, seed).withColumn("_channel", uniform(seed, "channel", F.col("pedido_id")))
+    return drawn.withColumn("canal_origem", weighted_pick(F.col("_channel"), CHANNEL_SHARES)).drop("_channel")
 
 
 def hash_rank(df: DataFrame, seed: int, purpose: str, key: str, name: str) -> DataFrame:
