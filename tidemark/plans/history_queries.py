@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import money
 from tidemark.operators.changes import CHANGED, VERSION, apply_changes, read_changes, snapshot_diff
+from tidemark.operators.hotkeys import ROWS_PER_TASK
 from tidemark.operators.joins import join_current
 from tidemark.operators.scd import (
     END,
@@ -32,22 +33,30 @@ from tidemark.plans.reports import (
 
 # Rates for event kinds standing in for tiers; "error" is left out, so its rate is NULL.
 EVENT_RATES = {"signup": "0.0200", "view": "0.0300", "click": "0.0500"}
-SPLIT_ROWS = 40  # far below the default, so that segments are exercised on small tables too
+SKEW_PARTS = 16  # the skewed key is cut where it exceeds one sixteenth of all rows
 
 
-def changes_of(t: Tables) -> DataFrame:
+def tier_changes(events: DataFrame) -> DataFrame:
     """Every event but purchases, as a log of tier changes per user."""
-    return t.events.filter("event_type <> 'purchase'").select(
+    return events.filter("event_type <> 'purchase'").select(
         "user_id", F.col("event_type").alias("tier"), "event_id", money("value").alias("amount"), "ts"
     )
 
 
-def purchases_of(t: Tables) -> DataFrame:
-    return t.events.filter("event_type = 'purchase'").select(
+def purchases(events: DataFrame) -> DataFrame:
+    return events.filter("event_type = 'purchase'").select(
         F.col("event_id").alias("order_id"), "user_id", "ts", money("value").alias("amount")
     )
 
 
+def changes_of(t: Tables) -> DataFrame:
+    return tier_changes(t.events)
+
+
+def purchases_of(t: Tables) -> DataFrame:
+    return purchases(t.events)
+
+
 def dim_of(t: Tables, **options) -> DataFrame:
     return scd2(changes_of(t), ["user_id"], "ts", ["tier"], **options)
 
@@ -103,11 +112,29 @@ def _(t: Tables) -> DataFrame:
     return commission_of(t, purchases_of(t), dim_of(t), strategy="merge")
 
 
-@query("asof_commission_segments", COMMISSION, decimals=["amount", "comissao_devida"])
+def skewed_events(t: Tables) -> DataFrame:
+    """Events of every third user booked on one: a single key holds a third of all rows."""
+    one = F.when(F.col("user_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id"))
+    return t.events.withColumn("user_id", one.cast("bigint"))
+
+
+def skew_bar(t: Tables) -> int:
+    return max(1, min(ROWS_PER_TASK, t.events.count() // SKEW_PARTS))
+
+
+def skewed_sql(sql: str) -> str:
+    one = "CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END"
+    skewed = f"skewed AS (SELECT * REPLACE ({one} AS user_id) FROM events),\nlog AS ("
+    return sql.replace("FROM events", "FROM skewed").replace("log AS (", skewed, 1)
+
+
+@query("asof_skewed", skewed_sql(COMMISSION), decimals=["amount", "comissao_devida"])
 def _(t: Tables) -> DataFrame:
-    """Both the dimension and the join cut large keys into segments."""
-    dim = dim_of(t, rows_per_task=SPLIT_ROWS)
-    return commission_of(t, purchases_of(t), dim, strategy="merge", rows_per_task=SPLIT_ROWS)
+    """Both the dimension and the join cut the large key into segments."""
+    events, bar = skewed_events(t), skew_bar(t)
+    dim = scd2(tier_changes(events), ["user_id"], "ts", ["tier"], rows_per_task=bar)
+    dim = t.keep(dim, "dim")
+    return commission_of(t, purchases(events), dim, strategy="merge", rows_per_task=bar)
 
 
 @query("scd2_dim", DIM_SQL, decimals=["amount"])
@@ -115,9 +142,10 @@ def _(t: Tables) -> DataFrame:
     return plain_windows(dim_of(t))
 
 
-@query("scd2_segments", DIM_SQL, decimals=["amount"])
+@query("scd2_skewed", skewed_sql(DIM_SQL), decimals=["amount"])
 def _(t: Tables) -> DataFrame:
-    return plain_windows(dim_of(t, rows_per_task=SPLIT_ROWS))
+    log = tier_changes(skewed_events(t))
+    return plain_windows(scd2(log, ["user_id"], "ts", ["tier"], rows_per_task=skew_bar(t)))
 
 
 @query("scd2_incremental", DIM_SQL, decimals=["amount"])
@@ -323,25 +351,25 @@ def old_snapshot(t: Tables) -> DataFrame:
 
 def new_snapshot(t: Tables) -> DataFrame:
     """Some customers gone, some changed (one attribute to NULL), some new."""
-    old, k = old_snapshot(t), F.col("c_custkey")
-    changed = old.filter(k % 10 != 3).select(
-        k,
+    old, segment, balance = old_snapshot(t), F.col("c_mktsegment"), F.col("c_acctbal")
+    changed = old.filter((balance < 0) | (balance > 500)).select(
+        "c_custkey",
         "c_name",
-        F.when(k % 20 == 5, F.lit(None)).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"),
-        F.when(k % 10 == 5, money(F.col("c_acctbal") + 10)).otherwise(F.col("c_acctbal")).alias("c_acctbal"),
+        F.when(segment == "FURNITURE", F.lit(None)).otherwise(segment).alias("c_mktsegment"),
+        F.when(balance > 9000, money(balance + 10)).otherwise(balance).alias("c_acctbal"),
     )
-    added = old.filter(k % 10 == 7).withColumn("c_custkey", k + COPY_OFFSET)
+    added = old.filter(segment == "MACHINERY").withColumn("c_custkey", F.col("c_custkey") + COPY_OFFSET)
     return changed.unionByName(added)
 
 
 SNAPSHOTS = f"""o AS (
   SELECT c_custkey, c_name, c_mktsegment, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal FROM customer),
 n AS (
-  SELECT c_custkey, c_name, CASE WHEN c_custkey % 20 <> 5 THEN c_mktsegment END AS c_mktsegment,
-         CAST(CASE WHEN c_custkey % 10 = 5 THEN c_acctbal + 10 ELSE c_acctbal END AS DECIMAL(18,2)) AS c_acctbal
-  FROM o WHERE c_custkey % 10 <> 3
+  SELECT c_custkey, c_name, CASE WHEN c_mktsegment <> 'FURNITURE' THEN c_mktsegment END AS c_mktsegment,
+         CAST(CASE WHEN c_acctbal > 9000 THEN c_acctbal + 10 ELSE c_acctbal END AS DECIMAL(18,2)) AS c_acctbal
+  FROM o WHERE c_acctbal < 0 OR c_acctbal > 500
   UNION ALL
-  SELECT c_custkey + {COPY_OFFSET}, c_name, c_mktsegment, c_acctbal FROM o WHERE c_custkey % 10 = 7)"""
+  SELECT c_custkey + {COPY_OFFSET}, c_name, c_mktsegment, c_acctbal FROM o WHERE c_mktsegment = 'MACHINERY')"""
 
 
 @query(

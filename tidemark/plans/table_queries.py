@@ -217,20 +217,20 @@ def _(t: Tables) -> DataFrame:
 
 
 def target_orders(t: Tables) -> DataFrame:
-    """Orders the target already has: five of every six."""
-    return typed_orders(t).filter("o_orderkey % 6 <> 1")
+    """What the target already has: orders up to a day."""
+    return typed_orders(t).filter("o_orderdate < TIMESTAMP_NTZ'2000-07-01'")
 
 
 def source_orders(t: Tables) -> DataFrame:
-    """A third of all orders, repriced: some known to the target, some new."""
+    """Finished orders, repriced: some known to the target, some new."""
     repriced = money(F.col("o_totalprice") + 1)
-    return typed_orders(t).filter("o_orderkey % 3 = 1").withColumn("o_totalprice", repriced)
+    return typed_orders(t).filter("o_orderstatus = 'F'").withColumn("o_totalprice", repriced)
 
 
 MERGE = f"""WITH a AS ({TYPED_ORDERS}),
-t AS (SELECT * FROM a WHERE o_orderkey % 6 <> 1),
+t AS (SELECT * FROM a WHERE o_orderdate < TIMESTAMP '2000-07-01'),
 s AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, CAST(o_totalprice + 1 AS DECIMAL(18,2)) AS o_totalprice
-      FROM a WHERE o_orderkey % 3 = 1)"""
+      FROM a WHERE o_orderstatus = 'F')"""
 
 
 @query(
@@ -244,12 +244,12 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "upsert_deletes",
-    f"""{MERGE} SELECT * FROM s WHERE o_orderstatus <> 'F'
+    f"""{MERGE} SELECT * FROM s WHERE NOT o_totalprice < 100000
 UNION ALL SELECT * FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s)""",
     decimals=["o_totalprice"],
 )
 def _(t: Tables) -> DataFrame:
-    return upsert(target_orders(t), source_orders(t), ["o_orderkey"], delete_when="o_orderstatus = 'F'")
+    return upsert(target_orders(t), source_orders(t), ["o_orderkey"], delete_when="o_totalprice < 100000")
 
 
 @query(
