@@ -15,24 +15,22 @@ from tidemark.runtime import materialize
 START, END = "__START_AT", "__END_AT"
 
 
-def _latest(columns: Sequence[str], keys: Sequence[str], sequence: str, seq_type) -> Column:
-    """A struct that orders by sequence, then by the other columns in schema order."""
-    rest = [F.col(f"`{c}`") for c in columns if c not in keys and c != sequence]
-    return F.struct(required(sequence, seq_type, sequence).alias(sequence), *rest)
-
-
 def scd1(events: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame:
     """The last row per key. Ties go to the greatest remaining columns, so arrival order is moot.
 
-    ``max`` over a struct keeps one row per key and input task before the shuffle, so a key
+    Spark keeps only the first rank per key in each input task before the shuffle, so a key
     with a third of all events costs no more than any other.
     """
-    row = _latest(events.columns, keys, sequence, events.schema[sequence].dataType)
-    return (
-        events.groupBy(*keys)
-        .agg(F.max(row).alias("_row"))
-        .select(*[F.col(f"`{c}`") if c in keys else F.col("_row").getField(c).alias(c) for c in events.columns])
-    )
+    at = required(sequence, events.schema[sequence].dataType, sequence)
+    rest = [F.col(f"`{c}`").desc() for c in events.columns if c not in keys and c != sequence]
+    newest = Window.partitionBy(*keys).orderBy(at.desc(), *rest)
+    return events.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
+
+
+def _latest(columns: Sequence[str], keys: Sequence[str], sequence: str, seq_type) -> Column:
+    """A struct that orders by sequence, then by the other columns in schema order."""
+    rest = [F.col(f"`{c}`") for c in columns if c not in keys and c != sequence]
+    return F.struct(required(sequence, seq_type, sequence).alias(sequence), *rest)
 
 
 def scd1_merge(target: DataFrame, batch: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame:

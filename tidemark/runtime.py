@@ -84,7 +84,7 @@ class Files:
 
     def has_data(self, path: str) -> bool:
         """Whether a directory holds anything but hidden and marker files."""
-        return any(not n.startswith(("_", ".")) for n in self.list(path))
+        return any("=" in n or not n.startswith(("_", ".")) for n in self.list(path))
 
     def delete(self, path: str) -> None:
         fs, p = self._open(path)

@@ -27,24 +27,25 @@ def with_ingest_metadata(df: DataFrame) -> DataFrame:
     )
 
 
-def _footers(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
-    """Schema text of each file's footer, read where the task runs."""
-    import pyarrow.parquet as pq
-    from pyarrow import fs
-
-    for batch in batches:
-        texts = []
-        for path in batch["path"]:
-            store, name = fs.FileSystem.from_uri(path)
-            with store.open_input_file(name) as f:
-                texts.append(pq.read_schema(f).remove_metadata().to_string())
-        yield pd.DataFrame({"path": batch["path"], "footer": texts})
-
-
 def files_by_schema(paths: DataFrame) -> list[list[str]]:
     """Group files (column ``path``) by equal footer schema; only names reach the driver."""
-    footers = paths.select("path").mapInPandas(_footers, "path string, footer string")
-    groups = footers.groupBy("footer").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+
+    # Defined here so that it travels to the tasks by value: workers need no copy of this package.
+    def footers(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+        import pandas
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        for batch in batches:
+            texts = []
+            for path in batch["path"]:
+                store, name = fs.FileSystem.from_uri(path)
+                with store.open_input_file(name) as f:
+                    texts.append(pq.read_schema(f).remove_metadata().to_string())
+            yield pandas.DataFrame({"path": batch["path"], "footer": texts})
+
+    read = paths.select("path").mapInPandas(footers, "path string, footer string")
+    groups = read.groupBy("footer").agg(F.sort_array(F.collect_list("path")).alias("paths"))
     return [r.paths for r in groups.orderBy(F.element_at("paths", 1)).collect()]
 
 

@@ -142,16 +142,22 @@ class KeyedTable:
         commit = {"batch": batch_id, "cells": current, "schema": rows.schema.jsonValue()}
         self.files.write_json(f"{self.path}/_commits/{batch_id:012d}.json", commit)
 
+    # --- a log of batches beside the table ---
+
     def append(self, rows: DataFrame, batch_id: int) -> None:
         """Add a batch of rows as its own generation; a replay overwrites itself."""
         self._write(rows, f"{self.path}/log/gen={batch_id}")
 
-    def read_log(self, schema: T.StructType, cells: Sequence[str] | None = None) -> DataFrame:
-        """Rows added by ``append``; the cell is a partition column, so cells prune files."""
-        if not self.files.has_data(f"{self.path}/log"):
+    def read_log(
+        self, schema: T.StructType, cells: Sequence[str] | None = None, batch_id: int | None = None
+    ) -> DataFrame:
+        """Rows added by ``append``: all, those of some cells or those of one batch."""
+        where = f"{self.path}/log" if batch_id is None else f"{self.path}/log/gen={batch_id}"
+        if not self.files.has_data(where):
             return self.spark.createDataFrame([], schema)
-        wide = T.StructType([*schema.fields, T.StructField("gen", T.LongType()), T.StructField(CELL, T.StringType())])
-        log = self.spark.read.schema(wide).parquet(f"{self.path}/log")
+        parts = [T.StructField("gen", T.LongType())] if batch_id is None else []
+        wide = T.StructType([*schema.fields, *parts, T.StructField(CELL, T.StringType())])
+        log = self.spark.read.schema(wide).parquet(where)
         if cells is not None:
             log = log.filter(F.col(CELL).isin(*cells))
         return log.select(*[f"`{f.name}`" for f in schema.fields])

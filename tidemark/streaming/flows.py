@@ -23,13 +23,16 @@ def run_available(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
-def foreach_batch_sink(fn: Sink) -> Sink:
+def foreach_batch_sink(fn: Sink, keep: bool = False) -> Sink:
     """A sink from a callback. A replay repeats a batch id, so the callback must be idempotent.
 
-    The batch is kept while the callback runs, as callbacks often read it more than once.
+    ``keep`` holds the batch while the callback runs, for sources dearer to read than files.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        if not keep:
+            fn(batch, batch_id)
+            return
         batch.persist()
         try:
             fn(batch, batch_id)
@@ -133,13 +136,15 @@ def _scd2_sink(
             return
         log = KeyedTable(table.spark, table.path, table.keys, table.buckets)
         log.append(batch, batch_id)
+        schema = batch.schema
+        batch = log.read_log(schema, batch_id=batch_id)  # from here on read what was written
         if done is None:
             table.replace(scd2(batch, table.keys, sequence, track, delete_when, rows_per_task), [], batch_id)
             return
         low = lowest(batch)
         touched = _period_floor(table.known_cells(), low)
         before = table.read(touched, table.schema())
-        history = log.read_log(batch.schema, sorted(low))
+        history = log.read_log(schema, sorted(low))
         kept, rebuilt = scd2_delta(
             before, history, batch, table.keys, sequence, track, delete_when, rows_per_task
         )
