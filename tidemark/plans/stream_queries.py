@@ -347,7 +347,7 @@ def _deployment(t: Tables) -> DirectSales:
 
 
 @query(
-    "pipeline_commission",
+    "landing_to_commission",
     f"""{PIPELINE} SELECT o_orderkey AS pedido_id, CAST(o_custkey AS INTEGER) AS consultora_id, o_orderdate AS data_pedido, amount AS valor_total,
   tier AS tier_no_momento_do_pedido, CAST(CAST(amount AS DECIMAL(32,2)) * CASE tier WHEN 'semente' THEN CAST(0.02 AS DECIMAL(5,4))
     WHEN 'bronze' THEN CAST(0.03 AS DECIMAL(5,4)) WHEN 'prata' THEN CAST(0.05 AS DECIMAL(5,4)) END AS DECIMAL(24,6)) AS comissao_devida
@@ -360,7 +360,7 @@ def _(t: Tables) -> DataFrame:
 
 
 @query(
-    "pipeline_rollup",
+    "landing_to_rollup",
     f"""{PIPELINE} SELECT r_name AS regiao, tier AS tier_atual, CAST(date_trunc('month', o_orderdate) AS DATE) AS mes,
   CAST(sum(amount) AS DECIMAL(38,2)) AS total_vendas, count(*) AS qtde_pedidos
 FROM fact JOIN dim ON o_custkey = c_custkey AND e IS NULL GROUP BY 1, 2, 3""",
