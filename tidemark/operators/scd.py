@@ -132,14 +132,11 @@ def _runs(
     return by_heat(placed, keys, ["_at"], plan, rows_per_task)
 
 
-def scd2_affected(
-    dim: DataFrame, batch: DataFrame, keys: Sequence[str], sequence: str
-) -> DataFrame:
-    """The rows of ``dim`` a batch may change, with the batch's first sequence per key as ``_low``.
+def scd2_affected(dim: DataFrame, low: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``dim`` that a batch whose first sequence per key is ``_low`` may change.
 
     A row that ended before a key's first new event keeps its start, its end and its values.
     """
-    low = batch.groupBy(*keys).agg(F.min(sequence).alias("_low"))
     return dim.join(low, list(keys)).filter(F.col(END).isNull() | (F.col(END) >= F.col("_low")))
 
 
@@ -182,36 +179,46 @@ def scd2_delta(
     columns = [c for c in dim.columns if c not in (START, END)]
     seq_type = batch.schema[sequence].dataType
     low = batch.groupBy(*on).agg(F.min(sequence).alias("_low"))
-
-    tagged = dim.join(low, on, "left")
-    stays = F.col("_low").isNull() | F.coalesce(F.col(END) < F.col("_low"), F.lit(False))
-    kept = tagged.filter(stays).drop("_low")
-
-    affected = scd2_affected(dim, batch, keys, sequence)
-    anchors = affected.groupBy(*on).agg(
-        F.min(START).alias("_first"),
-        F.max(sequence).alias("_seen"),
-        F.bool_or(F.col(END).isNull()).alias("_open"),
+    anchors = (
+        scd2_affected(dim, low, keys)
+        .groupBy(*on)
+        .agg(
+            F.min(START).alias("_first"),
+            F.max(sequence).alias("_seen"),
+            F.bool_or(F.col(END).isNull()).alias("_open"),
+        )
     )
-    reach = low.join(anchors, on, "left")
     # Without deletes a key absent from the affected rows is new: only its batch matters.
     new_key = F.lit(delete_when is None) & F.col("_first").isNull()
     in_order = F.coalesce(F.col("_open") & (F.col("_seen") < F.col("_low")), F.lit(False)) | new_key
-    reach = reach.withColumns(
-        {"_in_order": in_order, "_from": F.least(F.coalesce("_first", "_low"), F.col("_low"))}
-    ).select(*on, "_in_order", "_from")
+    reach = low.join(anchors, on, "left").select(
+        *on,
+        "_low",
+        in_order.alias("_in_order"),
+        F.least(F.coalesce("_first", "_low"), F.col("_low")).alias("_from"),
+    )
+    # One row per key of the batch, used several times below.
+    reach = materialize(reach, "reach")
+
+    tagged = dim.join(reach.select(*on, "_low"), on, "left")
+    stays = F.col("_low").isNull() | F.coalesce(F.col(END) < F.col("_low"), F.lit(False))
+    kept = tagged.filter(stays).drop("_low")
 
     def place(df: DataFrame, at: str) -> DataFrame:
         return df.select(*columns, required(at, seq_type, sequence).alias("_at"))
 
-    open_rows = affected.filter(F.col(END).isNull()).join(reach.filter("_in_order"), on, "left_semi")
-    fresh = batch.join(reach.filter("_in_order"), on, "left_semi")
+    forward = reach.filter("_in_order").select(*on)
+    placed = place(dim.filter(F.col(END).isNull()).join(forward, on, "left_semi"), START).unionByName(
+        place(batch.join(forward, on, "left_semi"), sequence)
+    )
     late = reach.filter(~F.col("_in_order")).select(*on, "_from")
-    # The earliest point of any late key reaches the scan of the log as a pushed filter.
-    recent = log.filter(F.col(sequence) >= late.agg(F.min("_from")).scalar())
-    reread = recent.join(late, on).filter(F.col(sequence) >= F.col("_from"))
-    placed = place(open_rows, START).unionByName(place(fresh, sequence)).unionByName(place(reread, sequence))
-    return kept, _runs(placed, columns, keys, track, delete_when, rows_per_task)
+    since = late.agg(F.min("_from")).first()[0]
+    if since is not None:
+        # The earliest point of any late key reaches the scan of the log as a pushed filter.
+        recent = log.filter(F.col(sequence) >= F.lit(since).cast(seq_type))
+        reread = recent.join(late, on).filter(F.col(sequence) >= F.col("_from"))
+        placed = placed.unionByName(place(reread, sequence))
+    return kept, _runs(materialize(placed, "placed"), columns, keys, track, delete_when, rows_per_task)
 
 
 def scd2_current(dim: DataFrame) -> DataFrame:
