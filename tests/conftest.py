@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tidemark.runtime import build_session, shared_folder  # noqa: E402
+from tidemark.runtime import build_session, clear_scratch, shared_folder  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -23,6 +23,7 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     shared_folder(session)
     yield session
+    clear_scratch(session)
     session.stop()
 
 

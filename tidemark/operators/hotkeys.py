@@ -4,7 +4,7 @@ A window partitioned by key sends the whole key to one task. ``split_hot`` measu
 keys with one aggregate; when none is too large, callers run the plain window. Otherwise
 rows of the large keys are range-partitioned by (key, order), each range becomes a segment
 with a stable number, and ``neighbours`` / ``carried`` link adjacent segments through one
-summary row per segment.
+summary row per segment. How that summary is joined is left to the planner, which sees its size.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.runtime import materialize
 
 ROWS_PER_TASK = 4_000_000  # rows of one key that one task still sorts comfortably
-MAX_SEGMENTS = 32_768  # bounds the broadcast of segment summaries
+MAX_SEGMENTS = 32_768  # bounds the number of large keys, whose list is broadcast, and of segments
 SEGMENT = "_segment"
 
 
@@ -110,7 +110,7 @@ def neighbours(
             F.lead("_first").over(across).alias("_after"),
         )
     )
-    rows = rows.withColumns(named).join(F.broadcast(edges), _same(part, "_edge_"), "left")
+    rows = rows.withColumns(named).join(edges, _same(part, "_edge_"), "left")
     if back:
         rows = rows.withColumn(back, F.coalesce(back, "_before"))
     if ahead:
@@ -139,7 +139,7 @@ def carried(
         )
     )
     return (
-        rows.join(F.broadcast(edges), _same(part, "_edge_"), "left")
+        rows.join(edges, _same(part, "_edge_"), "left")
         .withColumn(name, F.coalesce(name, "_entering"))
         .drop("_entering", *[f"_edge_{k}" for k in part])
     )

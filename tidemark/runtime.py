@@ -12,8 +12,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app: str = "tidemark", master: str | None = None, **conf) -> SparkSession:
-    """A session with the settings the library assumes (UTC, adaptive execution)."""
+SHUFFLE_BYTES = 128 * 2**20  # what one shuffle task should take in
+MOST_SHUFFLE_TASKS = 100_000
+
+
+def shuffle_tasks(input_bytes: int) -> int:
+    """Shuffle partitions to start from; adaptive execution merges those that turn out small."""
+    return max(200, min(MOST_SHUFFLE_TASKS, -(-input_bytes // SHUFFLE_BYTES)))
+
+
+def build_session(
+    app: str = "tidemark", master: str | None = None, input_bytes: int | None = None, **conf
+) -> SparkSession:
+    """A session with the settings the library assumes (UTC, adaptive execution).
+
+    ``input_bytes`` sizes shuffles for the largest input of the job.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -22,9 +36,10 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf) -> S
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        **conf,
     }
-    for name, value in settings.items():
+    if input_bytes is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_tasks(input_bytes))
+    for name, value in {**settings, **conf}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 
@@ -48,9 +63,18 @@ def shared_folder(spark: SparkSession) -> str:
     return local
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/tidemark/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
-    return f"{shared_folder(spark).rstrip('/')}/tidemark/{purpose}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application wrote below the shared folder, once its results are stored."""
+    Files(spark).delete(_scratch_root(spark))
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:

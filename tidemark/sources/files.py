@@ -27,11 +27,11 @@ def with_ingest_metadata(df: DataFrame) -> DataFrame:
     )
 
 
-def files_by_schema(paths: DataFrame) -> list[list[str]]:
-    """Group files (column ``path``) by equal footer schema; only names reach the driver."""
+def _footers(paths: DataFrame) -> DataFrame:
+    """The schema text of each file's footer, read where the tasks run."""
 
     # Defined here so that it travels to the tasks by value: workers need no copy of this package.
-    def footers(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+    def read(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         import pandas
         import pyarrow.parquet as pq
         from pyarrow import fs
@@ -44,8 +44,15 @@ def files_by_schema(paths: DataFrame) -> list[list[str]]:
                     texts.append(pq.read_schema(f).remove_metadata().to_string())
             yield pandas.DataFrame({"path": batch["path"], "footer": texts})
 
-    read = paths.select("path").mapInPandas(footers, "path string, footer string")
-    groups = read.groupBy("footer").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    return paths.select("path").mapInPandas(read, "path string, footer string")
+
+
+def files_by_schema(paths: DataFrame) -> list[list[str]]:
+    """Group the files of one batch (column ``path``) by equal footer schema.
+
+    Only names reach the driver, and a batch holds at most ``max_files`` of them.
+    """
+    groups = _footers(paths).groupBy("footer").agg(F.sort_array(F.collect_list("path")).alias("paths"))
     return [r.paths for r in groups.orderBy(F.element_at("paths", 1)).collect()]
 
 
@@ -61,8 +68,9 @@ def widen_schema(known: T.StructType | None, found: Iterable[T.StructType]) -> T
 def discover_schema(spark: SparkSession, src: str, known: T.StructType | None = None) -> T.StructType:
     """Schema of every parquet file below ``src``, added to the known one and never narrowing it."""
     listing = spark.read.format("binaryFile").schema(_LISTING).option("pathGlobFilter", "*.parquet")
-    groups = files_by_schema(listing.option("recursiveFileLookup", "true").load(src).select("path"))
-    return widen_schema(known, [spark.read.parquet(g[0]).schema for g in groups])
+    footers = _footers(listing.option("recursiveFileLookup", "true").load(src))
+    samples = footers.groupBy("footer").agg(F.min("path").alias("path")).orderBy("path").collect()
+    return widen_schema(known, [spark.read.parquet(r.path).schema for r in samples])
 
 
 def rescue_misfits(df: DataFrame, target: T.StructType) -> DataFrame:
