@@ -147,18 +147,18 @@ def test_ensure_truncate_and_partitions(spark, root):
 def test_keyed_table_commits(spark, root):
     table = KeyedTable(spark, f"{root}/t", ["k"], 4)
     df = spark.createDataFrame([(k, f"v{k}") for k in range(20)], "k int, v string")
-    table.replace(df, [], 0)
+    table.replace(df, [])
     assert rows(table.read()) == rows(df)
     one = spark.createDataFrame([(3, "new")], "k int, v string")
     cells = table.cells_of(one)
     before = table.read(cells)
     assert 0 < before.count() < 20
-    table.replace(before.filter("k <> 3").unionByName(one), cells, 1)
+    table.replace(before.filter("k <> 3").unionByName(one), cells)
     assert table.read().filter("k = 3").first().v == "new" and table.read().count() == 20
     with pytest.raises(ValueError, match="not given"):
-        table.replace(df, cells, 2)
-    assert table.last_batch() == 1
-    table.replace(table.read(cells).limit(0), cells, 3)
+        table.replace(df, cells)
+    assert table.version() == 1
+    assert table.replace(table.read(cells).limit(0), cells) == 2
     table.expire(keep=1)
     assert table.read().count() == 20 - before.count()
 
@@ -221,10 +221,20 @@ def test_stream_scd1_and_replays(spark, root):
         stream_scd(stream, table, 1, "at", f"{root}/checkpoint")
     want = rows(scd1(df, ["k"], "at"))
     assert rows(table.read()) == want
-    last = table.last_batch()
-    # A lost checkpoint replays old batch ids: committed ones are recognized.
+    # A lost checkpoint replays everything, here with one event that was not seen before.
+    late = spark.createDataFrame([(99, "A", "new", made[0][3])], LOG)
+    late.write.mode("append").parquet(f"{root}/src")
     stream_scd(stream_table(spark, f"{root}/src", df.schema), table, 1, "at", f"{root}/other")
-    assert table.last_batch() == last and rows(table.read()) == want
+    assert rows(table.read()) == rows(scd1(df.unionByName(late), ["k"], "at")) and len(want) + 1 == table.read().count()
+
+
+def test_scd2_replay_changes_nothing(spark, root):
+    df, made = log_rows(spark, 4)
+    table = scd2_table(spark, f"{root}/dim", ["k"], 2)
+    for checkpoint in ("one", "two"):
+        for stream in drops(spark, f"{root}/{checkpoint}", made, 2):
+            stream_scd(stream, table, 2, "at", f"{root}/{checkpoint}/checkpoint", track=["tier"])
+    assert rows(table.read()) == rows(scd2(df, ["k"], "at", ["tier"]))
 
 
 def test_stream_expectations(spark, root):

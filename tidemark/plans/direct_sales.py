@@ -137,15 +137,14 @@ class DirectSales:
         An empty snapshot is refused, as it would read as the deletion of every rep.
         """
         require_passed(audit(snapshot, [not_empty("source_not_empty")]))
-        last = self.reps.last_batch()
-        version = 0 if last is None else last + 1
+        version = self.reps.version() + 1
         before = self.reps.read(schema=self.reps.schema() or snapshot.schema)
         feed = self._at("bronze", "rep_changes", f"version={version}")
         snapshot_diff(before, snapshot, ["consultora_id"], version).write.mode("overwrite").parquet(feed)
         changes = self.spark.read.parquet(feed)
         cells = self.reps.cells_of(changes)
         touched = self.reps.read(cells, schema=before.schema)
-        self.reps.replace(apply_changes(touched, changes, ["consultora_id"]), cells, version)
+        self.reps.replace(apply_changes(touched, changes, ["consultora_id"]), cells)
 
     def run_reps(self) -> list[dict[str, int]]:
         """Change events not seen before through the rules into the versioned dimension."""

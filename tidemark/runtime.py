@@ -140,3 +140,16 @@ class Files:
         finally:
             stream.close()
         self.rename(staged, path)
+
+    # --- small values that change: a new numbered file each time, the highest counts ---
+
+    def latest(self, folder: str):
+        """The newest value written by ``supersede``, or None."""
+        names = [n for n in self.list(folder) if n.endswith(".json") and not n.startswith(".")]
+        return self.read_json(f"{folder}/{names[-1]}") if names else None
+
+    def supersede(self, folder: str, value) -> None:
+        """Write a value that takes the place of the previous one, which stays until then."""
+        names = [n for n in self.list(folder) if n.endswith(".json") and not n.startswith(".")]
+        number = int(names[-1].removesuffix(".json")) + 1 if names else 0
+        self.write_json(f"{folder}/{number:012d}.json", value)

@@ -117,21 +117,13 @@ class BronzeTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path, self.files = spark, path.rstrip("/"), Files(spark)
 
-    @property
-    def _schema_file(self) -> str:
-        return f"{self.path}/_schema/current.json"
-
     def schema(self) -> T.StructType | None:
-        if not self.files.exists(self._schema_file):
-            return None
-        return T.StructType.fromJson(self.files.read_json(self._schema_file))
+        known = self.files.latest(f"{self.path}/_schema")
+        return T.StructType.fromJson(known) if known else None
 
     def save_schema(self, schema: T.StructType) -> None:
-        if schema == self.schema():
-            return
-        if self.files.exists(self._schema_file):
-            self.files.delete(self._schema_file)
-        self.files.write_json(self._schema_file, schema.jsonValue())
+        if schema != self.schema():
+            self.files.supersede(f"{self.path}/_schema", schema.jsonValue())
 
     def batch_path(self, batch_id: int) -> str:
         return f"{self.path}/{_BATCH}={batch_id}"

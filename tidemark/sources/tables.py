@@ -3,7 +3,7 @@
 A cell is the unit of rewrite: a bucket of key hashes, optionally split further by a period
 column, so that a key with much history rewrites only its recent part. A commit names the
 generation of every cell; readers follow the newest commit, so a batch shows as a whole or
-not at all, and a batch that was committed before is recognized by its id.
+not at all. A generation left behind by a lost job is named by no commit and overwritten.
 """
 
 from __future__ import annotations
@@ -92,12 +92,12 @@ class KeyedTable:
         return [n for n in self.files.list(f"{self.path}/_commits") if n.endswith(".json") and not n.startswith(".")]
 
     def _head(self) -> dict | None:
-        names = self._commits()
-        return self.files.read_json(f"{self.path}/_commits/{names[-1]}") if names else None
+        return self.files.latest(f"{self.path}/_commits")
 
-    def last_batch(self) -> int | None:
-        head = self._head()
-        return head["batch"] if head else None
+    def version(self) -> int:
+        """Number of the newest commit; -1 before the first."""
+        names = self._commits()
+        return int(names[-1].removesuffix(".json")) if names else -1
 
     def schema(self) -> T.StructType | None:
         head = self._head()
@@ -127,10 +127,11 @@ class KeyedTable:
         tagged = self.with_cell(rows)
         tagged.hint("rebalance", F.col(CELL)).write.mode("overwrite").partitionBy(CELL).parquet(path)
 
-    def replace(self, rows: DataFrame, cells: Sequence[str], batch_id: int) -> None:
+    def replace(self, rows: DataFrame, cells: Sequence[str]) -> int:
         """Commit ``rows`` as the content of ``cells`` and of cells that did not exist, all at once."""
-        head = self._head() or {"cells": {}, "batch": None}
-        generation = f"gen={batch_id}"
+        head = self._head() or {"cells": {}}
+        version = self.version() + 1
+        generation = f"gen={version}"
         self._write(rows, f"{self.path}/{generation}")
         names = self.files.list(f"{self.path}/{generation}")
         written = {n.split("=", 1)[1] for n in names if n.startswith(f"{CELL}=")}
@@ -139,23 +140,24 @@ class KeyedTable:
         if clash:
             raise ValueError(f"rows fall into cells that were not given for replacement: {sorted(clash)[:5]}")
         current.update({c: generation for c in written})
-        commit = {"batch": batch_id, "cells": current, "schema": rows.schema.jsonValue()}
-        self.files.write_json(f"{self.path}/_commits/{batch_id:012d}.json", commit)
+        commit = {"cells": current, "schema": rows.schema.jsonValue()}
+        self.files.supersede(f"{self.path}/_commits", commit)
+        return version
 
     # --- a log of batches beside the table ---
 
-    def append(self, rows: DataFrame, batch_id: int) -> None:
-        """Add a batch of rows as its own generation; a replay overwrites itself."""
-        self._write(rows, f"{self.path}/log/gen={batch_id}")
+    def append(self, rows: DataFrame, generation: int) -> None:
+        """Add rows to the log as one generation; writing it again replaces it."""
+        self._write(rows, f"{self.path}/log/gen={generation}")
 
     def read_log(
-        self, schema: T.StructType, cells: Sequence[str] | None = None, batch_id: int | None = None
+        self, schema: T.StructType, cells: Sequence[str] | None = None, generation: int | None = None
     ) -> DataFrame:
-        """Rows added by ``append``: all, those of some cells or those of one batch."""
-        where = f"{self.path}/log" if batch_id is None else f"{self.path}/log/gen={batch_id}"
+        """Rows added by ``append``: all, those of some cells or those of one generation."""
+        where = f"{self.path}/log" if generation is None else f"{self.path}/log/gen={generation}"
         if not self.files.has_data(where):
             return self.spark.createDataFrame([], schema)
-        parts = [T.StructField("gen", T.LongType())] if batch_id is None else []
+        parts = [T.StructField("gen", T.LongType())] if generation is None else []
         wide = T.StructType([*schema.fields, *parts, T.StructField(CELL, T.StringType())])
         log = self.spark.read.schema(wide).parquet(where)
         if cells is not None:

@@ -57,20 +57,17 @@ def merge_sink(table: KeyedTable, strategy: str = "merge_full") -> Sink:
     """Apply a keyed merge per micro-batch to an external table.
 
     ``merge_full`` treats each batch as a full snapshot; ``upsert``, ``insert_if_absent`` and
-    ``delete_insert`` rewrite only the cells the batch touches.
+    ``delete_insert`` rewrite only the cells the batch touches. Replaying the last batch is safe.
     """
     partial = {"upsert": upsert, "insert_if_absent": insert_if_absent, "delete_insert": delete_insert}
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        done = table.last_batch()
-        if done is not None and batch_id <= done:
-            return
         if strategy == "merge_full":
-            table.replace(merge_full(batch, batch, table.keys), table.known_cells(), batch_id)
+            table.replace(merge_full(batch, batch, table.keys), table.known_cells())
             return
         cells = table.cells_of(batch)
         before = table.read(cells, table.schema() or batch.schema)
-        table.replace(partial[strategy](before, batch, table.keys), cells, batch_id)
+        table.replace(partial[strategy](before, batch, table.keys), cells)
 
     return foreach_batch_sink(apply)
 
@@ -85,7 +82,11 @@ def stream_scd(
     delete_when: str | None = None,
     rows_per_task: int | None = None,
 ) -> StreamingQuery:
-    """Keep a type 1 or type 2 table current. The table is the state, so nothing else grows."""
+    """Keep a type 1 or type 2 table current. The table is the state, so nothing else grows.
+
+    Applying a batch again changes nothing, so a replay, or a stream that starts over on a new
+    checkpoint, needs no memory of batch ids.
+    """
     if type == 1:
         sink = _scd1_sink(table, sequence)
     elif type == 2:
@@ -100,12 +101,9 @@ def _scd1_sink(table: KeyedTable, sequence: str) -> Sink:
         raise ValueError("a type 1 table has one row per key and cells by bucket only")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        done = table.last_batch()
-        if done is not None and batch_id <= done:
-            return
         cells = table.cells_of(batch)
         before = table.read(cells, table.schema() or batch.schema)
-        table.replace(scd1_merge(before, batch, table.keys, sequence), cells, batch_id)
+        table.replace(scd1_merge(before, batch, table.keys, sequence), cells)
 
     return foreach_batch_sink(apply)
 
@@ -131,15 +129,12 @@ def _scd2_sink(
         return {r[0]: r[1] for r in batch.groupBy(bucket.alias("b")).agg(at).collect()}
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        done = table.last_batch()
-        if done is not None and batch_id <= done:
-            return
         log = KeyedTable(table.spark, table.path, table.keys, table.buckets)
-        log.append(batch, batch_id)
-        schema = batch.schema
-        batch = log.read_log(schema, batch_id=batch_id)  # from here on read what was written
-        if done is None:
-            table.replace(scd2(batch, table.keys, sequence, track, delete_when, rows_per_task), [], batch_id)
+        version, schema = table.version() + 1, batch.schema
+        log.append(batch, version)
+        batch = log.read_log(schema, generation=version)  # from here on read what was written
+        if version == 0:
+            table.replace(scd2(batch, table.keys, sequence, track, delete_when, rows_per_task), [])
             return
         low = lowest(batch)
         touched = _period_floor(table.known_cells(), low)
@@ -149,7 +144,7 @@ def _scd2_sink(
             before, history, batch, table.keys, sequence, track, delete_when, rows_per_task
         )
         # Rebuilt rows end no earlier than the batch begins, so they fall into touched or new cells.
-        table.replace(kept.unionByName(rebuilt.select(*kept.columns)), touched, batch_id)
+        table.replace(kept.unionByName(rebuilt.select(*kept.columns)), touched)
 
     return foreach_batch_sink(apply)
 
@@ -187,8 +182,8 @@ def refresh(
     Incremental runs resume; a full run starts each flow on new directories.
     """
     files = Files(spark)
-    pointer = f"{root.rstrip('/')}/_epoch/current.json"
-    epoch = files.read_json(pointer) if files.exists(pointer) else None
+    pointer = f"{root.rstrip('/')}/_epoch"
+    epoch = files.latest(pointer)
     if full or epoch is None:
         taken = [int(n.split("=", 1)[1]) for n in files.list(root) if n.startswith("epoch=")]
         fresh = max(taken, default=-1) + 1
@@ -197,7 +192,5 @@ def refresh(
     base = f"{root.rstrip('/')}/epoch={fresh}"
     results = {name: flow(f"{base}/{name}", f"{base}/_checkpoints/{name}") for name, flow in flows.items()}
     if fresh != epoch:
-        if files.exists(pointer):
-            files.delete(pointer)
-        files.write_json(pointer, fresh)
+        files.supersede(pointer, fresh)
     return results
