@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import CPF_FORMAT, align_ts, ladder_step, money
 from tidemark.operators.audit import audit, not_empty, require_passed
-from tidemark.operators.changes import CHANGE, CHANGED, VERSION, apply_changes, read_changes, snapshot_diff
+from tidemark.operators.changes import apply_changes, read_changes, snapshot_diff
 from tidemark.operators.merge import guarded_update
 from tidemark.operators.projection import project_typed, select_except
 from tidemark.operators.quality import Rule, expect, expect_or_drop, expect_or_fail
@@ -24,7 +24,7 @@ from tidemark.sources.generate import HERO_AFTER, HERO_CHANGE, HERO_ID
 from tidemark.sources.tables import KeyedTable
 from tidemark.streaming.flows import scd2_table, stream_expect, stream_scd
 
-# Columns of a rep, the columns whose history is kept, the second promotion date.
+# Columns of a rep, those whose history is kept, the second promotion date, rule names.
 REP_COLUMNS: Mapping[str, str | None] = {
     "consultora_id": "int",
     "cpf": None,
@@ -193,6 +193,3 @@ class DirectSales:
             "tier_no_momento_do_pedido",
             "comissao_devida",
         )
-
-
-__all__ = ["CHANGE", "CHANGED", "VERSION", "DirectSales", "curate_orders", "curate_reps", "order_rules", "promote_reps"]

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.expressions import money
 from tidemark.operators.quality import expect, expect_or_drop
 from tidemark.plans.direct_sales import DirectSales
 from tidemark.plans.history_queries import (
@@ -370,6 +369,3 @@ FROM fact JOIN dim ON o_custkey = c_custkey AND e IS NULL GROUP BY 1, 2, 3""",
 def _(t: Tables) -> DataFrame:
     """The same deployment to the current-snapshot report."""
     return _deployment(t).sales_by_region()
-
-
-__all__ = ["money"]

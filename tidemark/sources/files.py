@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -249,18 +249,3 @@ def read_jdbc_snapshot(
 def write_chunked(df: DataFrame, path: str, rows: int, mode: str = "errorifexists") -> None:
     """Parquet files of at most ``rows`` rows each; every task splits its own output."""
     df.write.mode(mode).option("maxRecordsPerFile", rows).option("compression", "snappy").parquet(path)
-
-
-__all__: Sequence[str] = (
-    "BronzeTable",
-    "discover_schema",
-    "files_by_schema",
-    "ingest_files",
-    "read_jdbc_snapshot",
-    "read_widened",
-    "rescue_misfits",
-    "stream_table",
-    "widen_schema",
-    "with_ingest_metadata",
-    "write_chunked",
-)

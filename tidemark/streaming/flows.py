@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.merge import delete_insert, insert_if_absent, merge_full, upsert
 from tidemark.operators.quality import Rule, write_checked
-from tidemark.operators.scd import END, START, scd1_merge, scd2, scd2_delta
+from tidemark.operators.scd import END, scd1_merge, scd2, scd2_delta
 from tidemark.runtime import Files
 from tidemark.sources.tables import OPEN, KeyedTable
 
