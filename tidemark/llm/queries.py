@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, token_counts
+from tidemark.llm import jaccard, packing, token_counts
 from tidemark.llm.common import scratch_path
 
 QUERIES: dict = {}
@@ -32,6 +34,13 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@query
+def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents with a Jaccard similarity of 0.9 or more on three-word shingles."""
+    docs = table(spark, folder, "documents")
+    return jaccard.near_duplicates(docs, size=3, threshold=Fraction(9, 10))
+
+
 @query
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of all documents, through a cache that starts empty."""
