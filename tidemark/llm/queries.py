@@ -8,11 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard, packing, token_counts
+from tidemark.llm import jaccard, packing, quality, sql, token_counts, token_files
 from tidemark.llm.common import scratch_path
 
 QUERIES: dict = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op7_quality_rules": sql.OP7}
 
 
 def query(fn):
@@ -54,3 +54,22 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
         blanks_matter=False,
     )
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
+@query
+def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents' ids written to token files in ascending doc_id order, and read back."""
+    to = scratch_path(spark, "token-files")
+    token_files.write_token_files(
+        table(spark, folder, "documents"), to, public_tokenizers.path("byte_bpe_50k.json"), end_id=2
+    )
+    return token_files.read_token_files(spark, to)
+
+
+@query
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of every document and whether line-first cleaning keeps it."""
+    judged = quality.clean(table(spark, folder, "documents").select("doc_id", "text"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
