@@ -117,7 +117,13 @@ def pack(items: DataFrame, size: str, capacity: int) -> DataFrame:
 
 
 def token_pieces(
-    docs: DataFrame, tokenizer: str, length: int, end_id: int, key: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    tokenizer: str,
+    length: int,
+    end_id: int,
+    key: str = "doc_id",
+    text: str = "text",
+    ranks: str | None = None,
 ) -> DataFrame:
     """Pieces of at most ``length`` ids: (key, piece, start, length, ids_crc32).
 
@@ -130,7 +136,7 @@ def token_pieces(
     names = ["_key", "piece", "start", "length", "ids_crc32"]
 
     def cut(batches):
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, ranks)
         for b in batches:
             at, pieces = [], []
             for row, ids in enumerate(enc.encode(b.column("_text").to_pylist())):

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from tidemark.llm import jaccard, packing, quality, sql, token_counts, token_files
 from tidemark.llm.common import scratch_path
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+BYTE_BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")  # the same vocabulary
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {"op7_quality_rules": sql.OP7}
 
@@ -28,7 +31,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     pieces = packing.token_pieces(
-        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), length=2048, end_id=0
+        table(spark, folder, "documents"), BYTE_BPE, length=2048, end_id=0, ranks=BYTE_BPE_RANKS
     )
     packed = packing.pack(pieces, "length", 2048)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -60,9 +63,7 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """All documents' ids written to token files in ascending doc_id order, and read back."""
     to = scratch_path(spark, "token-files")
-    token_files.write_token_files(
-        table(spark, folder, "documents"), to, public_tokenizers.path("byte_bpe_50k.json"), end_id=2
-    )
+    token_files.write_token_files(table(spark, folder, "documents"), to, BYTE_BPE, end_id=2, ranks=BYTE_BPE_RANKS)
     return token_files.read_token_files(spark, to)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded_batches
-from tidemark.llm.tokens import encoder
+from tidemark.llm.tokens import counter
 from tidemark.runtime import Files
 
 CACHE_SCHEMA = "digest string, tokenizer string, n_tokens long"
@@ -53,9 +53,9 @@ def count_tokens(
         return rows.filter(F.col("tokenizer") == tag).groupBy("digest").agg(F.max("n_tokens").alias("_n"))
 
     def encode(batches):
-        counter = encoder(tokenizer, "count", blanks_matter)
+        words = counter(tokenizer, blanks_matter)
         for b in batches:
-            counts = counter.encode(b.column("_text").to_pylist())
+            counts = words.encode(b.column("_text").to_pylist())
             yield pa.RecordBatch.from_arrays([b.column("digest"), pa.array(counts, pa.int64())], ["digest", "n_tokens"])
 
     wanted = docs.select(digest.alias("digest"), F.coalesce(F.col(text), F.lit("")).alias("_text"))

@@ -33,11 +33,11 @@ SAMPLE_IDS = 2_000  # ids of each of them that serve for it
 LEVEL = 3
 
 
-def _ids(docs: list[str], tokenizer: str, end: bytes) -> list[bytes]:
-    return [ids + end for ids in encoder(tokenizer).encode(docs)]
+def _ids(docs: list[str], tokenizer: str, ranks: str | None, end: bytes) -> list[bytes]:
+    return [ids + end for ids in encoder(tokenizer, ranks).encode(docs)]
 
 
-def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, key: str, text: str) -> bytes:
+def train_dictionary(docs: DataFrame, tokenizer: str, ranks: str | None, end_id: int, key: str, text: str) -> bytes:
     """A dictionary from a bounded sample of serialised documents: the SAMPLE_ROWS keys of least hash.
 
     The sample sets how small frames get, not what they hold. With too little to learn from it is empty.
@@ -52,7 +52,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, key: str, tex
     def train(batches):
         samples = []
         for b in batches:
-            samples += [s[: 4 * SAMPLE_IDS] for s in _ids(b.column("_text").to_pylist(), tokenizer, end)]
+            samples += [s[: 4 * SAMPLE_IDS] for s in _ids(b.column("_text").to_pylist(), tokenizer, ranks, end)]
         try:
             trained = zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
         except zstandard.ZstdError:  # too few or too short samples
@@ -66,7 +66,13 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, key: str, tex
 
 
 def write_token_files(
-    docs: DataFrame, folder: str, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    folder: str,
+    tokenizer: str,
+    end_id: int,
+    key: str = "doc_id",
+    text: str = "text",
+    ranks: str | None = None,
 ) -> None:
     """Write the ids of every text, then ``end_id``, to shard files in ascending key order.
 
@@ -76,7 +82,7 @@ def write_token_files(
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    trained = train_dictionary(docs, tokenizer, end_id, key, text)
+    trained = train_dictionary(docs, tokenizer, ranks, end_id, key, text)
     digest = hashlib.sha256(trained).digest()
     end = np.asarray([end_id], "<u4").tobytes()
     spark.createDataFrame([(digest, trained)], "digest binary, dictionary binary").coalesce(1).write.parquet(
@@ -96,7 +102,7 @@ def write_token_files(
                 store.create_dir(path, recursive=True)
                 out = store.open_output_stream(f"{path}/{name}")
                 out.write(MAGIC + digest)
-            for ids in _ids(b.column("_text").to_pylist(), tokenizer, end):
+            for ids in _ids(b.column("_text").to_pylist(), tokenizer, ranks, end):
                 frame = compressor.compress(ids)
                 out.write(frame)
                 index.append((at, len(frame), len(ids) // 4))
