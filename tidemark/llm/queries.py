@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard, packing, quality, sql, token_counts, token_files
+from tidemark.llm import decontaminate, jaccard, lines, ngram_trie, packing, quality, sql, token_counts, token_files, urls, warc
 from tidemark.llm.common import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -74,3 +74,66 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query
+def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Log-probabilities of all documents under a word-pair model of those that are not held out."""
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2, F.lit(False))
+    docs = table(spark, folder, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    model = scratch_path(spark, "ngram-model")
+    ngram_trie.train(docs.filter(~F.col("held_out")), model)
+    return ngram_trie.score(docs, model).drop("text")
+
+
+@query
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of all documents when only the first of similar lines stays."""
+    left = lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return left.select(
+        "doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5")
+    )
+
+
+@query
+def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items in all documents."""
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages as WARC records, read back through the capture index by all of their URLs."""
+    pages, to = table(spark, folder, "pages"), scratch_path(spark, "warc")
+    warc.write_archives(pages, to)
+    key = pages.schema["page_id"].dataType
+    return warc.lookup(spark, to, pages).select(
+        F.col("page").cast(key).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(key).alias("refers_to"),
+    )
+
+
+URL_RULES = [
+    urls.Rule("allow", "com/"),
+    urls.Rule("block", "example.com/en/"),
+    urls.Rule("allow", "www.example.com/en/"),
+    urls.Rule("block", "net/es/"),
+    urls.Rule("block", "net/fr/"),
+]
+
+
+@query
+def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """A verdict on every page's URL.
+
+    A page's URL ends in the number of the document it shows; it is labelled block where that document's quality is 0.
+    """
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    shown = F.regexp_extract(urls.path_of(F.col("url")), r"/(\d{1,18})(?:\.\w+)?/?$", 1)
+    labels = table(spark, folder, "labels").select("doc_id", (F.col("quality") == 0).cast("int").alias("blocked"))
+    labelled = pages.withColumn("doc_id", F.when(shown != "", shown.cast("long"))).join(labels, "doc_id")
+    model = urls.fit(labelled.select("url", "blocked"))
+    return urls.judge(pages, model, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
