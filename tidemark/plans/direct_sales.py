@@ -73,7 +73,7 @@ def promote_reps(reps: DataFrame) -> DataFrame:
     reps = guarded_update(
         reps, (i == HERO_ID) & (tier != HERO_AFTER), {"tier": F.lit(HERO_AFTER), "updated_at": hero_day}
     )
-    due = (i != HERO_ID) & (i % 10 == 0) & tier.isin("semente", "bronze", "prata", "ouro") & (F.col("updated_at") < day)
+    due = (i != HERO_ID) & (i % 10 == 0) & (ladder_step("tier") != tier) & (F.col("updated_at") < day)
     return guarded_update(reps, due, {"tier": ladder_step("tier"), "updated_at": day})
 
 

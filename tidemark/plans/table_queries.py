@@ -164,14 +164,12 @@ def _(t: Tables) -> DataFrame:
     """SELECT event_id, CASE event_type WHEN 'signup' THEN CAST(0.02 AS DECIMAL(5,4))
   WHEN 'view' THEN CAST(0.03 AS DECIMAL(5,4)) WHEN 'click' THEN CAST(0.05 AS DECIMAL(5,4)) END AS rate,
   event_type IN ('signup', 'view', 'click') AS known
-FROM events WHERE event_type <> 'purchase'""",
+FROM events""",
     decimals=["rate"],
 )
 def _(t: Tables) -> DataFrame:
     rate = rate_lookup("event_type", EVENT_RATES)
-    return t.events.filter("event_type <> 'purchase'").select(
-        "event_id", rate.alias("rate"), rate.isNotNull().alias("known")
-    )
+    return t.events.select("event_id", rate.alias("rate"), rate.isNotNull().alias("known"))
 
 
 @query(
@@ -680,15 +678,13 @@ def _ordinary_sql(seed: int, key: str = "pedido_id") -> str:
 
 
 GEN_ORDERS = f"""WITH ids AS (SELECT o_orderkey + 1 AS pedido_id FROM orders), k AS (SELECT count(*) AS n FROM ids),
-hb AS (SELECT list(d ORDER BY md5('42:hero/before:' || d)) AS ds FROM range(623) x(d)),
-ha AS (SELECT list(d ORDER BY md5('42:hero/after:' || d)) AS ds FROM range(1, 96) x(d)),
 b AS ({_ordinary_sql(42)} FROM ids),
-f AS (SELECT b.*, pedido_id <= 24 AS hero, pedido_id > n - 8 AND pedido_id <= n - 3 AS negative, pedido_id > n - 3 AS future,
-  {_below(365, 'bad day', 'pedido_id')} AS back, {_below(90, 'bad day', 'pedido_id')} AS ahead, hb.ds AS hb, ha.ds AS ha
-  FROM b, k, hb, ha),
-p AS (SELECT *, CASE WHEN hero AND pedido_id <= 12 THEN DATE '2024-05-18' + CAST(hb[pedido_id] AS INTEGER)
-    WHEN hero THEN DATE '2026-02-01' + CAST(ha[pedido_id - 12] AS INTEGER)
-    WHEN negative THEN DATE '2026-05-08' - back WHEN future THEN DATE '2099-06-01' + ahead
+f AS (SELECT b.*, pedido_id <= 24 AS hero, pedido_id > n - 8 AND pedido_id <= n - 3 AS negative, pedido_id > n - 3 AS future
+  FROM b, k),
+p AS (SELECT *, CASE
+    WHEN pedido_id <= 12 THEN DATE '2026-02-01' - CAST((pedido_id - 1) * 52 + {_below(52, 'hero, earlier', 'pedido_id')} + 1 AS INTEGER)
+    WHEN hero THEN DATE '2026-02-01' + CAST((pedido_id - 13) * 8 + {_below(8, 'hero, later', 'pedido_id')} + 1 AS INTEGER)
+    WHEN future THEN DATE '2099-01-01' + {_below(365, 'future', 'pedido_id')}
     ELSE CAST(data_pedido AS DATE) END AS placed FROM f)
 SELECT pedido_id, CASE WHEN hero THEN 42 ELSE consultora_id END AS consultora_id, CAST(placed AS TIMESTAMP) AS data_pedido,
   CAST(CASE WHEN negative THEN -1.0 ELSE valor_total END AS DECIMAL(18,2)) AS valor_total,
@@ -723,8 +719,11 @@ def _sql_list(names) -> str:
 
 GEN_REPS = f"""ids AS (SELECT CAST(c_custkey + 1 AS INTEGER) AS i FROM customer),
 k AS (SELECT count(*) AS n FROM ids),
-q AS (SELECT n, CAST(round_even(n * 0.30, 0) AS BIGINT) AS b, CAST(round_even(n * 0.18, 0) AS BIGINT) AS p,
-  CAST(round_even(n * 0.10, 0) AS BIGINT) AS o, CAST(round_even(n * 0.02, 0) AS BIGINT) AS d FROM k),
+shares AS (SELECT n, pos, name, pct * n // 100 AS whole, pct * n % 100 AS part FROM k,
+  (VALUES (1, 'semente', 40), (2, 'bronze', 30), (3, 'prata', 18), (4, 'ouro', 10), (5, 'diamante', 2)) v(pos, name, pct)),
+quotas AS (SELECT pos, name,
+  whole + CASE WHEN row_number() OVER (ORDER BY part DESC, pos) <= n - sum(whole) OVER () THEN 1 ELSE 0 END AS quota FROM shares),
+q AS (SELECT name, quota, sum(quota) OVER (ORDER BY pos) AS reached FROM quotas),
 ranked AS (SELECT i, row_number() OVER (ORDER BY {_draw('tier', 'i')}, i) AS place FROM ids),
 named AS (SELECT i, place, lpad(CAST({_draw('cpf', 'i')} % 1000000000 AS VARCHAR), 9, '0') AS base,
   {_sql_list(G.FIRST_NAMES)}[{_below(10, 'first name', 'i')} + 1] AS first,
@@ -740,9 +739,8 @@ reps AS (SELECT i AS consultora_id, CASE WHEN i = 7 THEN 'ABC123XX99'
     ELSE base || CAST(d1 AS INTEGER) || CAST(CASE WHEN r2 < 2 THEN 0 ELSE 11 - r2 END AS INTEGER) END AS cpf,
   first || ' ' || last AS nome, translate(lower(first), 'ãáéíóúç', 'aaeiouc') || '.' || i || '@example.com.br' AS email,
   {_sql_list(G.REGIONS)}[(i - 1) % 5 + 1] AS regiao,
-  CASE WHEN i = 42 THEN 'bronze' WHEN place <= n - b - p - o - d THEN 'semente' WHEN place <= n - p - o - d THEN 'bronze'
-    WHEN place <= n - o - d THEN 'prata' WHEN place <= n - d THEN 'ouro' ELSE 'diamante' END AS tier,
-  joined AS data_cadastro, ativo, joined AS updated_at FROM c2, q)"""
+  CASE WHEN i = 42 THEN 'bronze' ELSE name END AS tier,
+  joined AS data_cadastro, ativo, joined AS updated_at FROM c2 JOIN q ON place <= reached AND place > reached - quota)"""
 
 
 def generated_reps(t: Tables) -> DataFrame:

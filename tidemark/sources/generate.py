@@ -6,8 +6,8 @@ on any number of tasks, and a million files cost no more coordination than one.
 
 from __future__ import annotations
 
-import hashlib
 from datetime import date, timedelta
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -61,19 +61,24 @@ def _order_ids(spark: SparkSession, first: int, n: int) -> DataFrame:
     return spark.range(first, first + n).select(F.col("id").alias("pedido_id"))
 
 
-def hero_days(seed: int, today: date) -> tuple[list[int], list[int]]:
-    """Distinct day offsets before (from the window's start) and after (from the change)."""
+def hero_day(order: Column, seed: int, today: date) -> Column:
+    """The day of the hero's order number ``order`` (from 1): half lie before the tier change, half after it.
+
+    Each side is cut into equal stretches of days, and every order takes one day of its own stretch, so that
+    no two fall on one day. A side too short for that reaches beyond the window.
+    """
     half = HERO_ORDERS // 2
-    start = today - timedelta(days=WINDOW_DAYS)
-    before = max((HERO_CHANGE - start).days - 1, half)
-    after = max((today - HERO_CHANGE).days - 1, half)
+    earlier = order <= half
+    slot = F.when(earlier, order - 1).otherwise(order - 1 - half)
 
-    def ranked(purpose: str, days: range) -> list[int]:
-        return sorted(days, key=lambda d: hashlib.md5(f"{seed}:{purpose}:{d}".encode()).hexdigest())
+    def days(side: int, count: int, purpose: str) -> Column:
+        stretch = max(1, side // count)
+        return slot * stretch + draw_below(stretch, seed, purpose, order) + 1
 
-    return ranked("hero/before", range(before))[:half], ranked("hero/after", range(1, after + 1))[
-        : HERO_ORDERS - half
-    ]
+    opened = today - timedelta(days=WINDOW_DAYS)
+    back = days((HERO_CHANGE - opened).days, half, "hero, earlier")
+    ahead = days((today - HERO_CHANGE).days, HERO_ORDERS - half, "hero, later")
+    return _plus_days(HERO_CHANGE, F.when(earlier, -back).otherwise(ahead))
 
 
 def _ordinary(ids: DataFrame, seed: int, today: date, pool: int) -> DataFrame:
@@ -126,14 +131,9 @@ def generate_orders(
     negative = (i > n - NEGATIVE_AMOUNTS - FUTURE_DATES) & (i <= n - FUTURE_DATES)
     future = i > n - FUTURE_DATES
 
-    before, after = hero_days(seed, today)
-    start = today - timedelta(days=WINDOW_DAYS)
-    hero_dates = [start + timedelta(days=d) for d in before] + [HERO_CHANGE + timedelta(days=d) for d in after]
-    hero_date = F.element_at(F.array(*[F.lit(d) for d in hero_dates]), i.cast("int")).cast("timestamp_ntz")
     placed = (
-        F.when(hero, hero_date)
-        .when(negative, _plus_days(today, -draw_below(365, seed, "bad day", i)))
-        .when(future, _plus_days(date(FUTURE_YEAR, 6, 1), draw_below(90, seed, "bad day", i)))
+        F.when(hero, hero_day(i, seed, today))
+        .when(future, _plus_days(date(FUTURE_YEAR, 1, 1), draw_below(365, seed, "future", i)))
         .otherwise(F.col("data_pedido"))
     )
     orders = base.select(
@@ -183,9 +183,12 @@ def hash_rank(df: DataFrame, seed: int, purpose: str, key: str, name: str) -> Da
 
 
 def tier_quotas(n: int) -> dict[str, int]:
-    """Rows per tier for exactly ``n`` reps; rounding goes to the first tier."""
-    quotas = {t: int(round(s * n)) for t, s in TIER_SHARES.items()}
-    quotas["semente"] += n - sum(quotas.values())
+    """Rows per tier for exactly ``n`` reps: whole shares, then one each by largest remainder, earlier tiers first."""
+    exact = {t: Fraction(str(share)) * n for t, share in TIER_SHARES.items()}
+    quotas = {t: int(x) for t, x in exact.items()}
+    by_remainder = sorted(exact, key=lambda t: quotas[t] - exact[t])
+    for t in by_remainder[: n - sum(quotas.values())]:
+        quotas[t] += 1
     return quotas
 
 
