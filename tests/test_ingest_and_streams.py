@@ -77,6 +77,36 @@ def test_a_replayed_batch_is_skipped(spark, root):
     assert bronze.read().count() == 1
 
 
+def test_backdated_files_come_in(spark, root):
+    land(spark.createDataFrame([(1,)], "id int"), root)
+    ingest(spark, root)
+    old = set(Files(spark).tree(f"{root}/landing"))
+    land(spark.createDataFrame([(2,)], "id int"), root)
+    for name in set(Files(spark).tree(f"{root}/landing")) - old:
+        Files(spark).set_modified(name, 1_000_000_000_000)
+    assert rows(ingest(spark, root).read().select("id")) == [(1,), (2,)]
+
+
+def test_a_new_checkpoint_loses_and_repeats_nothing(spark, root):
+    land(spark.createDataFrame([(1,)], "id int"), root)
+    ingest_files(spark, f"{root}/landing", f"{root}/bronze", f"{root}/cp-a")
+    land(spark.createDataFrame([(2,)], "id int"), root)
+    bronze = ingest_files(spark, f"{root}/landing", f"{root}/bronze", f"{root}/cp-b")
+    assert rows(bronze.read().select("id")) == [(1,), (2,)]
+
+
+def test_stream_expect_on_a_new_checkpoint(spark, root):
+    land(spark.createDataFrame([(1,)], "id int"), root)
+    schema = spark.read.parquet(f"{root}/landing").schema
+    for cp in ("a", "a", "b"):
+        stream_expect(stream_table(spark, f"{root}/landing", schema), [], f"{root}/out", f"{root}/cp-{cp}")
+        land(spark.createDataFrame([(2 if cp == "a" else 3,)], "id int"), root)
+    ids = {r.id for r in spark.read.parquet(f"{root}/out").collect()}
+    assert ids == {1, 2}
+    stream_expect(stream_table(spark, f"{root}/landing", schema), [], f"{root}/out", f"{root}/cp-b")
+    assert {r.id for r in spark.read.parquet(f"{root}/out").collect()} == {1, 2, 3}
+
+
 def test_few_files_per_batch(spark, root):
     for i in range(3):
         land(spark.createDataFrame([(i,)], "id int"), root)

@@ -19,7 +19,7 @@ from tidemark.operators.merge import guarded_update
 from tidemark.operators.projection import project_typed, select_except
 from tidemark.operators.quality import Rule, expect, expect_or_drop, expect_or_fail
 from tidemark.plans.reports import asof_commission, rep_months, sales_rollup
-from tidemark.sources.files import INGEST_COLUMNS, RESCUED, BronzeTable, ingest_files
+from tidemark.sources.files import INGEST_COLUMNS, RESCUED, BronzeTable, ingest_files, stream_table
 from tidemark.sources.generate import HERO_AFTER, HERO_CHANGE, HERO_ID
 from tidemark.sources.tables import KeyedTable
 from tidemark.streaming.flows import scd2_table, stream_expect, stream_scd
@@ -109,12 +109,17 @@ class DirectSales:
     # --- orders ---
 
     def run_orders(self, landing: str) -> list[dict[str, int]]:
-        """New landing files through bronze and curated orders into the fact; returns rule counts."""
+        """New landing files through bronze and curated orders into the fact; returns rule counts.
+
+        Before the first file there is nothing to curate and there are no counts.
+        """
         bronze = ingest_files(self.spark, landing, self.bronze_orders.path, self._at("_checkpoints", "bronze"))
+        if not bronze.batches():
+            return []
         silver, checkpoint = self._at("silver", "orders"), self._at("_checkpoints", "silver_orders")
         counts = stream_expect(curate_orders(bronze.stream()), order_rules(self.today), silver, checkpoint)
         stream_scd(
-            self.spark.readStream.schema(self.silver_schema()).parquet(f"{silver}/batch=*"),
+            stream_table(self.spark, f"{silver}/batch=*", self.silver_schema()),
             self.fact,
             1,
             "updated_at",
@@ -150,12 +155,12 @@ class DirectSales:
         """Change events not seen before through the rules into the versioned dimension."""
         feed = self._at("bronze", "rep_changes")
         schema = self.spark.read.parquet(f"{feed}/version=*").schema
-        events = self.spark.readStream.schema(schema).parquet(f"{feed}/version=*")
+        events = stream_table(self.spark, f"{feed}/version=*", schema)
         silver, checkpoint = self._at("silver", "reps"), self._at("_checkpoints", "silver_reps")
         counts = stream_expect(curate_reps(events), REP_RULES, silver, checkpoint)
         typed = curate_reps(self.spark.createDataFrame([], schema)).schema
         stream_scd(
-            self.spark.readStream.schema(typed).parquet(f"{silver}/batch=*"),
+            stream_table(self.spark, f"{silver}/batch=*", typed),
             self.dim,
             2,
             "updated_at",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
@@ -20,6 +21,7 @@ from tidemark.plans.history_queries import (
 )
 from tidemark.plans.registry import Tables, query
 from tidemark.plans.table_queries import MERGE, source_orders, target_orders, typed_orders
+from tidemark.runtime import Files
 from tidemark.sources.files import ingest_files, read_widened, stream_table, write_chunked
 from tidemark.sources.tables import KeyedTable, ensure_table, replace_partitions, truncate
 from tidemark.streaming.flows import (
@@ -111,6 +113,34 @@ def _(t: Tables) -> DataFrame:
     return bronze.read().select(*orders.columns)
 
 
+@query("ingest_backdated", ORDERS_BY_THREE)
+def _(t: Tables) -> DataFrame:
+    """A drop whose files bear a time of a month before the newest file already read."""
+    root, files = t.scratch("backdated"), Files(t.spark)
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice")
+    bronze = None
+    for part in (0, 1):
+        before = set(files.tree(f"{root}/landing")) if part else set()
+        drop(orders.filter(F.col("o_orderkey") % 2 == part), f"{root}/landing")
+        if part:
+            for name in set(files.tree(f"{root}/landing")) - before:
+                files.set_modified(name, int((time.time() - 30 * 86400) * 1000))
+        bronze = ingest_files(t.spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint")
+    return bronze.read().select(*orders.columns)
+
+
+@query("ingest_new_checkpoint", ORDERS_BY_THREE)
+def _(t: Tables) -> DataFrame:
+    """The checkpoint is lost between two drops: files already held are left out, the new ones come in."""
+    root = t.scratch("new-checkpoint")
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice")
+    bronze = None
+    for part in (0, 1):
+        drop(orders.filter(F.col("o_orderkey") % 2 == part), f"{root}/landing")
+        bronze = ingest_files(t.spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint-{part}")
+    return bronze.read().select(*orders.columns)
+
+
 @query("ingest_metadata", "SELECT count(*) AS n, count(*) AS with_path, count(*) AS with_mtime, count(*) AS with_ts FROM orders")
 def _(t: Tables) -> DataFrame:
     root = t.scratch("metadata")

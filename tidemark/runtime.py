@@ -110,6 +110,18 @@ class Files:
         """Whether a directory holds anything but hidden and marker files."""
         return any("=" in n or not n.startswith(("_", ".")) for n in self.list(path))
 
+    def tree(self, path: str) -> list[str]:
+        """All files below ``path``."""
+        fs, p = self._open(path)
+        found, names = fs.listFiles(p, True), []
+        while found.hasNext():
+            names.append(found.next().getPath().toString())
+        return sorted(names)
+
+    def set_modified(self, path: str, milliseconds: int) -> None:
+        fs, p = self._open(path)
+        fs.setTimes(p, milliseconds, -1)
+
     def delete(self, path: str) -> None:
         fs, p = self._open(path)
         fs.delete(p, True)

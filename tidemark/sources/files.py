@@ -9,12 +9,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.runtime import Files
+from tidemark.runtime import Files, materialize
 
 RESCUED = "_rescued_data"
 INGEST_COLUMNS = ("_ingest_file_path", "_ingest_file_mtime", "_ingest_ts")
 _LISTING = "path string, modificationTime timestamp, length long, content binary"
 _BATCH = "ingest_batch"
+_FILES = "_files"  # inside a committed batch: the names of the files it holds
+EVERY_AGE = "36500d"  # a file is new when it was not seen, however old its time stamp is
+
+
+def stream_files(reader, path: str, source: str = "parquet", **options) -> DataFrame:
+    """Open a file stream that leaves no file out for its age."""
+    return reader.format(source).option("maxFileAge", EVERY_AGE).options(**options).load(path)
 
 
 def with_ingest_metadata(df: DataFrame) -> DataFrame:
@@ -144,14 +151,31 @@ class BronzeTable:
         return self.spark.read.schema(schema).parquet(self.path).drop(_BATCH)
 
     def stream(self, **options) -> DataFrame:
-        reader = self.spark.readStream.schema(self.full_schema()).options(**options)
-        return reader.parquet(f"{self.path}/{_BATCH}=*")
+        return stream_files(
+            self.spark.readStream.schema(self.full_schema()), f"{self.path}/{_BATCH}=*", **options
+        )
+
+    def batches(self) -> list[int]:
+        names = [n for n in self.files.list(self.path) if n.startswith(f"{_BATCH}=")]
+        return sorted(int(n.split("=", 1)[1]) for n in names)
+
+    def new_files(self, paths: DataFrame) -> DataFrame:
+        """Those of ``paths`` that no committed batch holds."""
+        paths = paths.select("path").distinct()
+        if not self.batches():
+            return paths
+        held = self.spark.read.schema("path string").parquet(f"{self.path}/{_BATCH}=*/{_FILES}")
+        return paths.join(held, "path", "left_anti")
 
     def append(self, paths: DataFrame, batch_id: int) -> None:
-        """Commit the files of one batch: written aside, then moved into place as a whole."""
-        done = self.batch_path(batch_id)
-        if self.files.exists(f"{done}/_SUCCESS"):
-            return
+        """Commit the files of one batch that are not held yet: written aside, then moved into place as a whole.
+
+        The names of its files are part of a batch. So a replay adds nothing, and a stream on a new
+        checkpoint, which counts its batches from 0 again, adds exactly the files that are missing.
+        """
+        taken = self.batches()
+        done = self.batch_path(taken[-1] + 1 if taken else 0)
+        paths = materialize(self.new_files(paths), "new-files")
         groups = files_by_schema(paths)
         if not groups:
             return
@@ -163,9 +187,8 @@ class BronzeTable:
             rows = part if rows is None else rows.unionByName(part)
         staged = f"{self.path}/_staged/{_BATCH}={batch_id}"
         rows.write.mode("overwrite").parquet(staged)
+        paths.coalesce(1).write.mode("overwrite").parquet(f"{staged}/{_FILES}")
         self.save_schema(target)
-        if self.files.exists(done):
-            self.files.delete(done)
         self.files.rename(staged, done)
 
 
@@ -200,15 +223,14 @@ def ingest_files(
     bronze = BronzeTable(spark, dst)
     if seed is not None and bronze.schema() is None:
         bronze.save_schema(seed)
-    names = (
-        spark.readStream.format("binaryFile")
-        .schema(_LISTING)
-        .option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", max_files)
-        .load(src)
-        .select("path")
-    )
+    names = stream_files(
+        spark.readStream.schema(_LISTING),
+        src,
+        "binaryFile",
+        pathGlobFilter="*.parquet",
+        recursiveFileLookup="true",
+        maxFilesPerTrigger=max_files,
+    ).select("path")
     query = (
         names.writeStream.foreachBatch(bronze.append)
         .option("checkpointLocation", checkpoint)
@@ -222,7 +244,7 @@ def ingest_files(
 def stream_table(spark: SparkSession, path: str, schema: T.StructType | None = None, **options) -> DataFrame:
     """Stream of an append-only parquet directory."""
     known = schema or spark.read.parquet(path).schema
-    return spark.readStream.schema(known).options(**options).parquet(path)
+    return stream_files(spark.readStream.schema(known), path, **options)
 
 
 def read_jdbc_snapshot(

@@ -159,13 +159,16 @@ def stream_expect(
 ) -> list[dict[str, int]]:
     """Append passing rows batch by batch; returns the counts of each batch committed in this run.
 
-    A violated fail rule raises and leaves nothing of its batch behind.
+    A violated fail rule raises and leaves nothing of its batch behind. Batches are named after their stream, whose id
+    lies in its checkpoint, and their number: a replay adds nothing, and a stream on a new checkpoint appends all
+    it reads. To read a source over, start on a new output (``refresh``), or its rows are there twice.
     """
     counts: list[dict[str, int]] = []
     files = Files(stream.sparkSession)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        target = f"{path.rstrip('/')}/batch={batch_id}"
+        stream_id = files.read_json(f"{checkpoint.rstrip('/')}/metadata")["id"]
+        target = f"{path.rstrip('/')}/batch={stream_id}-{batch_id}"
         if files.exists(f"{target}/_SUCCESS"):
             return
         counts.append(write_checked(batch, rules, target))
