@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemark.runtime import materialize
 
-MOST_PIVOTS = 16  # rows of a bucket that are compared with all others of it in one round
+MOST_PIVOTS = 32  # rows of a bucket that are compared with all others of it in one round
+SMALL = 32  # a bucket of at most so many rows that the first round leaves is finished at once
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -54,6 +55,20 @@ def _tidy(edges: DataFrame) -> DataFrame:
     )
 
 
+def _joined(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The groups ``roots`` after merging those that ``links`` connect."""
+    if roots is None:
+        return components(links)
+    a = roots.select(F.col("node").alias("a"), F.col("root").alias("_a"))
+    b = roots.select(F.col("node").alias("b"), F.col("root").alias("_b"))
+    between = links.join(a, "a", "left").join(b, "b", "left")
+    between = between.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+    moved = components(between)
+    up = moved.select(F.col("node").alias("root"), F.col("root").alias("_up"))
+    old = roots.join(up, "root", "left").select("node", F.coalesce("_up", "root").alias("root"))
+    return materialize(old.unionByName(moved.join(roots, "node", "left_anti")), "roots")
+
+
 def linked_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(node, root) of all nodes with a verified link, found through ``members`` (bucket, node: long).
 
@@ -61,30 +76,39 @@ def linked_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame])
     counts towards the groups. In each round some pivots of a bucket are paired with its nodes of other groups and
     then leave it: they have met everyone they could still join. A bucket whose nodes are all in one group is
     finished. So a bucket of near copies costs a few pairs a node, and no pair that could join two
-    groups is left out. Copies of a (bucket, node) row are harmless.
+    groups is left out. From the second round on, buckets of at most SMALL nodes are paired in full, larger ones
+    have MOST_PIVOTS pivots. Copies of a (bucket, node) row are harmless.
     """
     spans = members.groupBy("bucket").agg(F.min("node").alias("_least"), F.max("node").alias("_most"))
     shared = spans.filter(F.col("_least") < F.col("_most")).select("bucket")
     active = materialize(
         members.join(shared, "bucket", "left_semi").distinct().withColumn("root", F.col("node")), "members"
     )
-    links, pivots = [], 1
+    roots, pivots = None, 1
     while not active.isEmpty():
         salts = [F.xxhash64("node", F.lit(i)) if i else F.col("node") for i in range(pivots)]
-        chosen = active.groupBy("bucket").agg(
-            F.array_distinct(F.array(*[F.min_by(F.struct("node", "root"), s) for s in salts])).alias("_pivots")
+        sized = active.groupBy("bucket").agg(
+            F.count("node").alias("_n"),
+            F.array_distinct(F.array(*[F.min_by(F.struct("node", "root"), s) for s in salts])).alias("_pivots"),
+        )
+        small = (F.col("_n") <= SMALL) & F.lit(pivots > 1)
+        large = materialize(active.join(sized.filter(~small).drop("_n"), "bucket"), "large") if pivots > 1 else active.join(sized.drop("_n"), "bucket")
+        pairs = large.select("node", "root", F.explode("_pivots").alias("_p")).select(
+            "node", "root", F.col("_p.node").alias("_node"), F.col("_p.root").alias("_root")
         )
-        met = active.join(chosen, "bucket")
+        if pivots > 1:
+            few = materialize(active.join(sized.filter(small).select("bucket"), "bucket", "left_semi"), "small")
+            others = few.select("bucket", F.col("node").alias("_node"), F.col("root").alias("_root"))
+            pairs = pairs.unionByName(few.join(others, "bucket").filter("node < _node").drop("bucket"))
         pairs = (
-            met.select("node", "root", F.explode("_pivots").alias("_p"))
-            .filter(F.col("root") != F.col("_p.root"))
-            .select(F.least("node", "_p.node").alias("a"), F.greatest("node", "_p.node").alias("b"))
+            pairs.filter(F.col("root") != F.col("_root"))
+            .select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b"))
             .distinct()
         )
-        links.append(materialize(verify(materialize(pairs, "pairs")).select("a", "b"), "links"))
-        roots = components(reduce(DataFrame.unionByName, links))
+        links = materialize(verify(materialize(pairs, "pairs")).select("a", "b"), "links")
+        roots = _joined(roots, links)
         rest = (
-            met.filter(~F.array_contains(F.col("_pivots.node"), F.col("node")))
+            large.filter(~F.array_contains(F.col("_pivots.node"), F.col("node")))
             .select("bucket", "node")
             .join(roots, "node", "left")
             .withColumn("root", F.coalesce("root", "node"))
@@ -92,7 +116,7 @@ def linked_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame])
         apart = rest.groupBy("bucket").agg(F.min("root").alias("_least"), F.max("root").alias("_most"))
         apart = apart.filter(F.col("_least") < F.col("_most")).select("bucket")
         active = materialize(rest.join(apart, "bucket", "left_semi").select("bucket", "node", "root"), "members")
-        pivots = min(MOST_PIVOTS, pivots * 4)
-    if not links:
+        pivots = MOST_PIVOTS
+    if roots is None:
         return members.sparkSession.createDataFrame([], "node long, root long")
     return roots

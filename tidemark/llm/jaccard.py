@@ -1,8 +1,9 @@
 """Near-duplicate groups by exact Jaccard similarity of word shingles, found through parity sketches.
 
 A parity sketch has one bit for each cell of a hash table: the parity of the number of set elements in it. Two
-sketches differ in at most as many bits as their sets differ in elements, so sets within a known
-symmetric difference d agree on at least one of d + 1 blocks of their sketches.
+sketches differ in at most as many bits as their sets differ in elements, so sets within a known symmetric
+difference d agree on at least one of d + 1 blocks of their sketches. Blocks here are as wide as the
+element hash, and stored as the XOR of one random word for each set bit.
 """
 
 from __future__ import annotations
@@ -19,7 +20,9 @@ from tidemark.llm.common import bounded_batches, materialize, rows_of_bytes
 from tidemark.llm.graph import linked_groups
 from tidemark.llm.sets import mix, shingles, words
 
-BAND_RATIO = Fraction(3, 2)  # sizes of one band differ by at most this factor
+BAND_RATIO = Fraction(5, 4)  # sizes of one band differ by at most this factor
+SPARSE = 2  # a block of so few elements tells little
+SPARE = 16  # one block more for every so many, which pays for leaving sparse blocks out
 BROADCAST_ROWS = 500_000  # most wanted documents whose ids go to every task; more are joined by a shuffle
 
 
@@ -32,19 +35,30 @@ def band_tops(most: int) -> list[int]:
 
 
 def sketch_blocks(elements: np.ndarray, top: int, threshold: Fraction) -> np.ndarray:
-    """One 64-bit key for each block of the parity sketch that serves sets of up to ``top`` elements.
+    """64-bit keys from the blocks of the parity sketch that serves sets of up to ``top`` elements.
 
-    Sets of at most ``top`` elements with a Jaccard similarity of ``threshold`` or more differ in at most
-    2 top (1 - t) / (1 + t) elements; there is one block more than that, so they share a key.
+    Two different sets of at most ``top`` elements with a Jaccard similarity of ``threshold`` or more differ in d elements
+    or fewer, d = 2 top (1 - t) / (1 + t). Of d + 1 + g blocks they agree on g + 1. If one of them has at most g
+    sparse blocks, they agree on a block that is not sparse; if both have more, both give all their blocks as keys. So they
+    share a key in any case. Without room for a difference only equal sets are similar, and there are no keys.
     """
     apart = int(2 * top * (1 - threshold) / (1 + threshold))
-    blocks = apart + 1
-    cell = mix(elements ^ np.uint64(top))
-    block = (cell >> np.uint64(6)) % np.uint64(blocks)
-    bits = np.bincount((block * np.uint64(64) + (cell & np.uint64(63))).astype(np.int64), minlength=64 * blocks) & 1
-    parity = np.packbits(bits.astype(np.uint8), bitorder="little").view("<u8")
+    if apart == 0:
+        return np.empty(0, np.uint64)
+    spare = apart // SPARE
+    blocks = apart + 1 + spare
+    cells = mix(elements ^ np.uint64(top))
+    block = (cells % np.uint64(blocks)).astype(np.int64)
+    order = np.argsort(block, kind="stable")
+    sizes = np.bincount(block, minlength=blocks)
+    some = np.flatnonzero(sizes)
+    parity = np.zeros(blocks, np.uint64)
+    starts = np.cumsum(sizes) - sizes
+    parity[some] = np.bitwise_xor.reduceat(mix(cells)[order], starts[some])
     name = np.arange(blocks, dtype=np.uint64) + (np.uint64(top) << np.uint64(32))
-    return mix(mix(name) + parity)
+    keys = mix(mix(name) + parity)
+    dense = sizes > SPARSE
+    return keys[dense] if blocks - dense.sum() <= spare else keys
 
 
 def sketch_keys(elements: np.ndarray, threshold: Fraction) -> np.ndarray:
