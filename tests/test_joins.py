@@ -34,13 +34,11 @@ def sample():
     return facts, dim
 
 
-@pytest.mark.parametrize(
-    "strategy,bar", [("auto", None), ("range", None), ("merge", None), ("merge", 1), ("merge", 7)]
-)
-def test_every_strategy_matches(spark, sample, strategy, bar):
+@pytest.mark.parametrize("bar", [None, 1, 7])
+def test_as_of_matches_with_any_segments(spark, sample, bar):
     facts, dim = sample
     out = as_of_join(
-        spark.createDataFrame(facts, FACT), spark.createDataFrame(dim, DIM), "k", "at", strategy, rows_per_task=bar
+        spark.createDataFrame(facts, FACT), spark.createDataFrame(dim, DIM), "k", "at", rows_per_task=bar
     )
     assert sorted(tuple(r) for r in out.select("id", "k", "at", "tier").collect()) == as_of(facts, dim)
     assert out.columns == ["id", "k", "at", "tier", START, END]
@@ -49,9 +47,23 @@ def test_every_strategy_matches(spark, sample, strategy, bar):
 def test_boundaries_are_half_open(spark):
     dim = spark.createDataFrame([(1, "old", 10, 20), (1, "new", 20, None)], DIM)
     facts = spark.createDataFrame([(i, 1, at) for i, at in enumerate([9, 10, 19, 20, 99])], FACT)
-    for strategy in ("range", "merge"):
-        out = as_of_join(facts, dim, "k", "at", strategy).select("at", "tier")
-        assert sorted(map(tuple, out.collect())) == [(10, "old"), (19, "old"), (20, "new"), (99, "new")]
+    out = as_of_join(facts, dim, "k", "at").select("at", "tier")
+    assert sorted(map(tuple, out.collect())) == [(10, "old"), (19, "old"), (20, "new"), (99, "new")]
+
+
+@pytest.mark.parametrize("many", [1, 300])
+def test_of_overlapping_windows_the_last_begun_counts(spark, many):
+    dim = [(1, "wide", 0, None), (1, "short", 10, 20), *[(2, "x", i, None) for i in range(many)]]
+    facts = spark.createDataFrame([(i, 1, at) for i, at in enumerate([5, 15, 25])], FACT)
+    out = as_of_join(facts, spark.createDataFrame(dim, DIM), "k", "at").select("at", "tier")
+    assert sorted(map(tuple, out.collect())) == [(5, "wide"), (15, "short")]
+
+
+def test_facts_of_one_instant_are_cut_apart(spark):
+    dim = spark.createDataFrame([(1, "old", 0, 50), (1, "new", 50, None)], DIM)
+    facts = spark.createDataFrame([(i, 1, 60) for i in range(500)], FACT)
+    out = as_of_join(facts, dim, "k", "at", rows_per_task=20)
+    assert out.filter("tier = 'new'").count() == 500
 
 
 def test_shared_columns_are_refused(spark):

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from tidemark.operators.hotkeys import by_heat, carried
 from tidemark.operators.scd import END, START, scd2_current
 
-VERSIONS_PER_KEY = 256  # beyond this many versions of a key, pairing each fact with all is too dear
-
-
 def join_current(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Each fact with the open row of its key. The planner picks the strategy from sizes."""
     return fact.join(scd2_current(dim), key)
@@ -65,43 +62,35 @@ def as_of_join(
     dim: DataFrame,
     key: str,
     ts: str,
-    strategy: str = "auto",
     start: str = START,
     end: str = END,
     rows_per_task: int | None = None,
 ) -> DataFrame:
     """Each fact with the dimension row whose [start, end) holds its time; others are left out.
 
-    ``range`` is an equi join with a time condition: no sort by time, and the planner
-    broadcasts a small dimension. ``merge`` interleaves both sides by time and carries the
-    latest version along: linear however many versions a key has. ``auto`` counts versions.
+    Both sides are interleaved by time and each fact takes the latest version that has begun, if that has
+    not ended: linear in both, however many versions a key has. So where windows overlap, the one that starts last counts. Keys
+    with more than ``rows_per_task`` rows are cut into segments, also between facts of one instant.
     """
     shared = [c for c in dim.columns if c in fact.columns and c != key]
     if shared:
         raise ValueError(f"columns on both sides: {shared}")
-    if strategy == "auto":
-        most = dim.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-        strategy = "range" if most <= VERSIONS_PER_KEY else "merge"
-    if strategy == "range":
-        d = dim.withColumnRenamed(key, "_dim_key")
-        inside = (F.col(ts) >= F.col(start)) & (F.col(end).isNull() | (F.col(ts) < F.col(end)))
-        return fact.join(d, (F.col(key) == F.col("_dim_key")) & inside).drop("_dim_key")
-    if strategy != "merge":
-        raise ValueError(f"unknown strategy {strategy!r}")
-
     extra = [c for c in dim.columns if c != key]
     # A version sorts before a fact of the same instant: start is inclusive.
+    own = [c for c in fact.columns if c != key]
     facts = fact.select(
-        key, F.col(ts).alias("_at"), F.lit(1).alias("_side"), F.struct(*[c for c in fact.columns if c != key]).alias("_fact")
+        key, F.col(ts).alias("_at"), F.lit(1).alias("_side"), F.xxhash64(*own).alias("_spread"), F.struct(*own).alias("_fact")
     )
     versions = dim.select(
-        key, F.col(start).alias("_at"), F.lit(0).alias("_side"), F.struct(*extra).alias("_version")
+        key, F.col(start).alias("_at"), F.lit(0).alias("_side"), F.xxhash64(*extra).alias("_spread"), F.struct(*extra).alias("_version")
     )
     both = versions.unionByName(facts, allowMissingColumns=True).filter(F.col(key).isNotNull())
 
+    order = ["_at", "_side", "_spread"]  # the last cuts many facts of one instant apart
+
     def plan(rows: DataFrame, segment: str | None) -> DataFrame:
         return (
-            carried(rows, [key], ["_at", "_side"], "_version", segment, "_state")
+            carried(rows, [key], order, "_version", segment, "_state")
             .filter("_side = 1 AND _state IS NOT NULL")
             .select(
                 *[F.col(key) if c == key else F.col("_fact").getField(c).alias(c) for c in fact.columns],
@@ -110,4 +99,4 @@ def as_of_join(
             .filter(F.col(end).isNull() | (F.col(ts) < F.col(end)))
         )
 
-    return by_heat(both, [key], ["_at"], plan, rows_per_task)
+    return by_heat(both, [key], order, plan, rows_per_task)

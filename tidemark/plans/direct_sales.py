@@ -184,11 +184,11 @@ class DirectSales:
             "tier", "tier_atual"
         )
 
-    def commission(self, strategy: str = "auto") -> DataFrame:
+    def commission(self) -> DataFrame:
         """Commission per order at the tier valid when it was placed."""
         orders = self.fact.read().withColumn("_placed", align_ts("data_pedido"))
         report = asof_commission(
-            orders, self.dim.read(), "consultora_id", "pedido_id", "_placed", "valor_total", strategy=strategy
+            orders, self.dim.read(), "consultora_id", "pedido_id", "_placed", "valor_total"
         )
         return report.withColumn("data_pedido", F.col("_placed").cast("timestamp_ntz")).select(
             "pedido_id",

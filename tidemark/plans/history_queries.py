@@ -104,12 +104,12 @@ def commission_of(t: Tables, fact: DataFrame, dim: DataFrame, **options) -> Data
 
 @query("asof_commission", COMMISSION, decimals=["amount", "comissao_devida"])
 def _(t: Tables) -> DataFrame:
-    return commission_of(t, purchases_of(t), dim_of(t), strategy="range")
+    return commission_of(t, purchases_of(t), dim_of(t))
 
 
 @query("asof_commission_merge", COMMISSION, decimals=["amount", "comissao_devida"])
 def _(t: Tables) -> DataFrame:
-    return commission_of(t, purchases_of(t), dim_of(t), strategy="merge")
+    return commission_of(t, purchases_of(t), dim_of(t))
 
 
 def skewed_events(t: Tables) -> DataFrame:
@@ -134,7 +134,22 @@ def _(t: Tables) -> DataFrame:
     events, bar = skewed_events(t), skew_bar(t)
     dim = scd2(tier_changes(events), ["user_id"], "ts", ["tier"], rows_per_task=bar)
     dim = t.keep(dim, "dim")
-    return commission_of(t, purchases(events), dim, strategy="merge", rows_per_task=bar)
+    return commission_of(t, purchases(events), dim, rows_per_task=bar)
+
+
+SAME_DAY = skewed_sql(COMMISSION).replace(
+    "SELECT * FROM skewed WHERE event_type = 'purchase'",
+    "SELECT * REPLACE (date_trunc('day', ts) + INTERVAL 1 DAY AS ts) FROM skewed WHERE event_type = 'purchase'",
+)
+
+
+@query("asof_same_day", SAME_DAY, decimals=["amount", "comissao_devida"])
+def _(t: Tables) -> DataFrame:
+    """Orders of a large key that fall on a few instants only."""
+    events, bar = skewed_events(t), skew_bar(t)
+    dim = t.keep(scd2(tier_changes(events), ["user_id"], "ts", ["tier"], rows_per_task=bar), "dim")
+    fact = purchases(events).withColumn("ts", F.date_trunc("day", "ts").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY"))
+    return commission_of(t, fact, dim, rows_per_task=bar)
 
 
 @query("scd2_dim", DIM_SQL, decimals=["amount"])
@@ -308,7 +323,7 @@ def _(t: Tables) -> DataFrame:
     late_change = F.pmod(F.xxhash64("event_id"), F.lit(4)) == 0
     late_order = F.pmod(F.xxhash64("order_id"), F.lit(4)) == 1
     dim_before = t.keep(scd2(log.filter(~late_change), ["user_id"], "ts", ["tier"]), "dim")
-    report = t.keep(commission_of(t, fact.filter(~late_order), dim_before, strategy="range"), "report")
+    report = t.keep(commission_of(t, fact.filter(~late_order), dim_before), "report")
 
     batch = log.filter(late_change)
     dim = t.keep(scd2_merge(dim_before, log, batch, ["user_id"], "ts", ["tier"]), "dim")
@@ -324,7 +339,6 @@ def _(t: Tables) -> DataFrame:
         "ts",
         amount="amount",
         rates=EVENT_RATES,
-        strategy="range",
     )
 
 

@@ -99,13 +99,12 @@ def asof_commission(
     amount: str,
     tier: str = "tier",
     rates: Mapping[str, str] = TIER_RATES,
-    strategy: str = "auto",
     rows_per_task: int | None = None,
 ) -> DataFrame:
     """Per order, the tier valid when it was placed and the commission due; unmatched orders are left out."""
     facts = fact.select(order_key, key, ts, money(amount).alias(amount))
     versions = dim.select(key, "__START_AT", "__END_AT", F.col(tier).alias("tier_no_momento_do_pedido"))
-    matched = as_of_join(facts, versions, key, ts, strategy, rows_per_task=rows_per_task)
+    matched = as_of_join(facts, versions, key, ts, rows_per_task=rows_per_task)
     due: Column = F.col(amount) * rate_lookup("tier_no_momento_do_pedido", rates)
     return matched.select(
         order_key, key, ts, amount, "tier_no_momento_do_pedido", due.cast("decimal(24,6)").alias("comissao_devida")

@@ -385,7 +385,7 @@ FROM fact JOIN dim ON o_custkey = c_custkey AND o_orderdate >= s AND (e IS NULL
 )
 def _(t: Tables) -> DataFrame:
     """Landing files and two rep snapshots through every stage to the as-of report."""
-    return _deployment(t).commission("range")
+    return _deployment(t).commission()
 
 
 @query(

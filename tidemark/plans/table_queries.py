@@ -815,7 +815,7 @@ def _(t: Tables) -> DataFrame:
     dim = t.keep(dim_of(t), "dim")
     fact = purchases_of(t)
     edge = F.lit(datetime(2024, 1, 16)).cast("timestamp_ntz")
-    report = t.keep(commission_of(t, fact, dim, strategy="range"), "report").withColumn(
+    report = t.keep(commission_of(t, fact, dim), "report").withColumn(
         "half", F.when(F.dayofyear("ts") <= 15, "old").otherwise("new")
     )
     rate = rate_lookup("tier_no_momento_do_pedido", EVENT_RATES)
