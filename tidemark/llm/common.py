@@ -41,9 +41,15 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def lean_disk(spark: SparkSession) -> None:
+    """Shuffle files go when the query that made them ends; operators read written tables from then on."""
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Ready for Python tasks: Arrow batches stay small whatever the texts' length, and workers find this package."""
     ship_package(spark)
+    lean_disk(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

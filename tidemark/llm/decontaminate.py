@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize
+from tidemark.llm.common import lean_disk, materialize
 from tidemark.llm.fingerprints import block_keys, from_lanes, hamming, lane_sums
 
 SHINGLE = 5
@@ -57,7 +57,7 @@ def _windows(docs: DataFrame, anchors: DataFrame, few: bool, key: str, text: str
     cut = hits.select("_row", "doc_id", start.alias("start"), "n_words", "_all").select(
         "_row", "doc_id", "start", "n_words", F.slice("_all", F.col("start") + 1, F.col("n_words") - SHINGLE + 1).alias("shingles")
     )
-    found = materialize(cut.dropDuplicates(["_row", "start", "n_words"]).drop("_row"), "windows")
+    found = cut.dropDuplicates(["_row", "start", "n_words"]).drop("_row")
     return materialize(found.withColumn("window", F.monotonically_increasing_id()), "windows")
 
 
@@ -92,6 +92,7 @@ def contamination(
     can't be told from chance. Null and empty texts match nothing; empty tables give no rows; rows that repeat a key
     are reported as one. Neither table's other columns matter. ``docs`` is read once, or twice for a very large benchmark.
     """
+    lean_disk(docs.sparkSession)
     items = materialize(_items(benchmark, item_key, item_text), "items")
     anchors = items.select("n_words", F.posexplode("shingles").alias("offset", "hash")).distinct()
     anchors = materialize(anchors, "anchors")

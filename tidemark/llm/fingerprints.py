@@ -15,7 +15,7 @@ _BOTH = (1 << 32) | 1
 def lane_sums(hash_: Column, weight: Column | None = None) -> list[Column]:
     """Aggregates that count, for each bit, the hashes that have it set, two bits in each long.
 
-    Each half holds up to 2**31 - 1, so that no text is too long.
+    Each half counts up to 2**30 hashes.
     """
     lanes = [F.shiftrightunsigned(hash_, i).bitwiseAND(F.lit(_BOTH)) for i in range(_LANES)]
     return [F.sum(lane if weight is None else lane * weight).alias(f"_lane{i}") for i, lane in enumerate(lanes)]
@@ -24,14 +24,14 @@ def lane_sums(hash_: Column, weight: Column | None = None) -> list[Column]:
 def from_lanes(total: Column) -> Column:
     """The fingerprint: a bit is set where more than half of ``total`` hashes set it."""
     half = F.shiftrightunsigned(total.cast("long"), 1)
+    # a guard bit above each half's threshold is gone after the subtraction where the count is larger
+    bar = F.shiftleft(half, 32).bitwiseOR(half).bitwiseOR(F.lit((1 << 62) | (1 << 31)))
     bits = F.lit(0).cast("long")
     for i in range(_LANES):
-        lane = F.col(f"_lane{i}")
-        low = F.when(lane.bitwiseAND(F.lit(0xFFFFFFFF)) > half, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long"))
-        high_bit = 1 << (i + 32)
-        high_bit -= (1 << 64) if high_bit >= 1 << 63 else 0
-        high = F.when(F.shiftrightunsigned(lane, 32) > half, F.lit(high_bit)).otherwise(F.lit(0).cast("long"))
-        bits = bits.bitwiseOR(low).bitwiseOR(high)
+        over = F.bitwise_not(bar - F.col(f"_lane{i}"))
+        low = F.shiftrightunsigned(over, 31).bitwiseAND(F.lit(1).cast("long"))
+        high = F.shiftrightunsigned(over, 62).bitwiseAND(F.lit(1).cast("long"))
+        bits = bits.bitwiseOR(F.shiftleft(low.bitwiseOR(F.shiftleft(high, 32)), i))
     return bits
 
 

@@ -17,12 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded_batches, materialize, rows_of_bytes
-from tidemark.llm.graph import linked_groups
+from tidemark.llm.graph import components, linked_groups
 from tidemark.llm.sets import mix, shingles, words
 
 BAND_RATIO = Fraction(5, 4)  # sizes of one band differ by at most this factor
 SPARSE = 2  # a block of so few elements tells little
 SPARE = 16  # one block more for every so many, which pays for leaving sparse blocks out
+CHUNK_SETS = 2048  # of a crowded group, compared with as many others in one task
+CHUNK_ELEMENTS = 4_000_000
 BROADCAST_ROWS = 500_000  # most wanted documents whose ids go to every task; more are joined by a shuffle
 
 
@@ -124,6 +126,7 @@ def near_duplicates(
     classes = materialize(
         full.groupBy("node").agg(
             F.min("_key").alias("first"),
+            F.first("n_shingles").alias("n"),
             F.when(same, F.first("digest")).otherwise(F.raise_error(F.lit("two sets share a 64-bit id"))).alias("digest"),
         ),
         "classes",
@@ -138,8 +141,11 @@ def near_duplicates(
         rows = pairs.join(one, "a").join(two, "b")
         return rows.mapInArrow(lambda it: _similar(it, threshold), "a long, b long")
 
+    def dense(rows: DataFrame) -> DataFrame:
+        return _crowded(rows, classes, docs, size, threshold, key, text)
+
     buckets = full.select(F.explode("keys").alias("bucket"), "node")
-    roots = linked_groups(buckets, verify)
+    roots = linked_groups(buckets, verify, dense)
     labels = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     firsts = labels.groupBy("root").agg(F.min("first").alias("component_id"))
     labels = labels.join(firsts, "root").select("node", "component_id")
@@ -170,6 +176,66 @@ def _elements(docs: DataFrame, wanted: DataFrame, size: int, key: str, text: str
     return found.dropDuplicates(["node"])
 
 
+def _crowded(rows: DataFrame, classes: DataFrame, docs: DataFrame, size, threshold, key, text) -> DataFrame:
+    """Links (a, b) that connect all similar sets of crowded buckets (bucket, node, root).
+
+    Such buckets overlap, so sets that share any are one crowd. A crowd is cut into chunks by hash; each pair of chunks is a
+    task, which compares all sketches by Hamming distance, verifies pairs of different groups within the bound, and
+    returns a link for each two groups it joins: no more links than sets.
+    """
+    least = rows.groupBy("bucket").agg(F.min("node").alias("_least"))
+    crowds = components(rows.join(least, "bucket").select(F.col("_least").alias("a"), F.col("node").alias("b")))
+    nodes = crowds.select("node", F.col("root").alias("crowd")).join(classes.select("node", "n"), "node")
+    chunks = F.greatest(F.ceil(F.count("node") / CHUNK_SETS), F.ceil(F.sum("n") / CHUNK_ELEMENTS))
+    many = nodes.groupBy("crowd").agg(chunks.alias("_chunks"))
+    placed = nodes.join(many, "crowd").withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_chunks")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_chunks") - 1)).alias("_other")
+    tiles = placed.select("node", "crowd", "_own", other).select(
+        "node", "crowd", "_own", F.least("_own", "_other").alias("_lo"), F.greatest("_own", "_other").alias("_hi")
+    )
+    ends = materialize(nodes.select("node").join(classes, "node"), "wanted")
+    arrays = materialize(_elements(docs, ends, size, key, text), "elements")
+    held = rows.select("node", "root").distinct()
+    full = tiles.join(arrays, "node").join(held, "node")
+
+    def compare(table: pa.Table) -> pa.Table:
+        return _tile_links(table, threshold)
+
+    return full.groupBy("crowd", "_lo", "_hi").applyInArrow(compare, "a long, b long")
+
+
+def _tile_links(table: pa.Table, threshold: Fraction) -> pa.Table:
+    sets = [np.frombuffer(x, np.uint64) for x in table.column("elements").to_pylist()]
+    node = table.column("node").to_numpy()
+    _, group = np.unique(table.column("root").to_numpy(), return_inverse=True)
+    own, lo, hi = (table.column(c).to_numpy() for c in ("_own", "_lo", "_hi"))
+    one_chunk = lo[0] == hi[0]
+    n = np.array([len(s) for s in sets], np.int64)
+    width = 1 << int(np.clip(np.ceil(np.log2(n.max() / 8 + 1)), 4, 9))  # words of a sketch
+    sketches = np.zeros((len(sets), width), np.uint64)
+    for i, s in enumerate(sets):
+        bits = np.bincount((mix(s) % np.uint64(64 * width)).astype(np.int64), minlength=64 * width) & 1
+        sketches[i] = np.packbits(bits.astype(np.uint8), bitorder="little").view("<u8")
+    num, den = threshold.numerator, threshold.denominator
+    links = []
+    for i in range(len(sets)):
+        after = np.arange(i + 1, len(sets)) if one_chunk else np.flatnonzero(own != own[i]) if own[i] == lo[0] else ()
+        after = np.asarray(after, np.int64)
+        after = after[(group[after] != group[i]) & (den * np.minimum(n[after], n[i]) >= num * np.maximum(n[after], n[i]))]
+        if not len(after):
+            continue
+        apart = np.bitwise_count(sketches[after] ^ sketches[i]).sum(axis=1, dtype=np.int64)
+        near = apart * (den + num) <= (n[after] + n[i]) * (den - num)
+        for j in after[near][np.argsort(apart[near], kind="stable")]:
+            if group[j] == group[i]:
+                continue
+            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if den * both >= num * (n[i] + n[j] - both):
+                links.append((int(node[i]), int(node[j])))
+                group[group == group[j]] = group[i]
+    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+
 def _similar(batches, threshold: Fraction):
     for b in batches:
         a, c, keep = b.column("_one").to_pylist(), b.column("_two").to_pylist(), []

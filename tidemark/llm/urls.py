@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize
+from tidemark.llm.common import lean_disk, materialize
 
 TRAINING_ROWS = 20_000  # most labelled URLs that the trees are fitted on: those of least hash
 TREES = 12
@@ -118,6 +118,7 @@ def fit(labelled: DataFrame, url: str = "url", label: str = "blocked") -> UrlMod
     rows of both labels the model gives their common label, or allow if there are none. Suffix statistics are the number of
     training URLs with the host's last label and the smoothed share of blocks among them.
     """
+    lean_disk(labelled.sparkSession)
     rows = labelled.filter(F.col(label).isNotNull()).select(F.col(url).alias("_url"), F.col(label).cast("double").alias("label"))
     rows = rows.orderBy(F.xxhash64("_url"), "_url", "label").limit(TRAINING_ROWS)
     rows = materialize(lexical(rows, "_url"), "url-training")
