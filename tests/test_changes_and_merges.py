@@ -118,3 +118,33 @@ def test_guarded_update_sees_old_values_and_repeats_safely(spark):
     once = guarded_update(df, guard, step)
     assert rows(once) == [(1, "bronze", 5), (2, "diamante", 1), (3, "ouro", 9)]
     assert rows(guarded_update(once, guard, step)) == rows(once)
+
+
+def test_columns_added_upstream_are_taken_over(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    source = spark.createDataFrame([(2, "B", 9), (3, "c", 8)], "k int, v string, extra int")
+    everything = [(1, "a", None), (2, "B", 9), (3, "c", 8)]
+    assert sorted(map(tuple, upsert(target, source, ["k"]).collect())) == everything
+    assert sorted(map(tuple, delete_insert(target, source, ["k"]).collect())) == everything
+    added = insert_if_absent(target, source, ["k"])
+    assert sorted(map(tuple, added.collect())) == [(1, "a", None), (2, "b", None), (3, "c", 8)]
+    replaced = replace_where(target, source, "k >= 2")
+    assert sorted(map(tuple, replaced.collect())) == everything
+    own = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k int, v string, own string")
+    assert sorted(map(tuple, merge_full(own, source, ["k"]).collect())) == [(2, "B", "y", 9), (3, "c", None, 8)]
+
+
+def test_a_new_source_column_is_synced_once(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    new = spark.createDataFrame([(1, "a", 5), (2, "b", None)], "k int, v string, extra int")
+    state = apply_changes(old, snapshot_diff(old, new, ["k"], 1), ["k"])
+    assert sorted(map(tuple, state.collect())) == [(1, "a", 5), (2, "b", None)]
+    assert snapshot_diff(state, new, ["k"], 2).isEmpty()
+
+
+def test_snapshots_must_have_unique_keys(spark):
+    one = spark.createDataFrame([(1, "a")], "k int, v string")
+    two = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    for pair in ((one, two), (two, one)):
+        with pytest.raises(Exception, match="more than one row"):
+            snapshot_diff(*pair, ["k"], 1).collect()

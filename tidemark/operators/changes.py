@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.merge import widen
+
 CHANGE, VERSION, CHANGED = "_change_type", "_commit_version", "_changed_columns"
 INSERT, BEFORE, AFTER, DELETE = "insert", "update_preimage", "update_postimage", "delete"
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], version: int) -> DataFrame:
-    """Row-level changes between two snapshots with unique keys.
+    """Row-level changes between two snapshots; a key that either holds twice raises when the result is computed.
 
     An update yields its row before and after; ``_changed_columns`` lists what differs,
     compared null-safely. A column only one side has reads NULL on the other.
@@ -24,7 +26,10 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], version:
 
     def side(df: DataFrame, name: str) -> DataFrame:
         cells = [(F.col(f"`{c}`") if c in df.columns else F.lit(None)).cast(types[c]).alias(c) for c in values]
-        return df.select(*on, F.struct(F.lit(True).alias("_present"), *cells).alias(name))
+        one = df.select(*on, F.struct(F.lit(True).alias("_present"), *cells).alias(name))
+        # the join needs rows by key anyway, so counting them costs no further shuffle
+        twice = F.raise_error(F.lit(f"more than one row for a key of {on}"))
+        return one.groupBy(*on).agg(F.when(F.count(F.lit(1)) > 1, twice).otherwise(F.first(name)).alias(name))
 
     both = side(old, "_old").join(side(new, "_new"), on, "full_outer")
     was, now = F.col("_old"), F.col("_new")
@@ -67,8 +72,13 @@ def read_changes(df: DataFrame, kinds: Sequence[str] = (INSERT, AFTER)) -> DataF
 
 
 def apply_changes(snapshot: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The snapshot after ``changes``: rows of changed keys go, new states come in."""
+    """The snapshot after ``changes``: rows of changed keys go, new states come in.
+
+    A column that only the changes have is added, NULL in rows that did not change.
+    """
     on = list(keys)
+    snapshot = widen(snapshot, changes.drop(CHANGE, VERSION, CHANGED))
+    changes = widen(changes, snapshot)
     post = changes.filter(F.col(CHANGE) != BEFORE)
     last = post.groupBy(*on).agg(
         F.max_by(F.struct(CHANGE, *[F.col(f"`{c}`") for c in snapshot.columns if c not in on]), VERSION).alias("_row")

@@ -33,11 +33,21 @@ def _keys_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys).distinct()
 
 
+def widen(target: DataFrame, source: DataFrame) -> DataFrame:
+    """The target with the columns that only ``source`` has, NULL in every row."""
+    new = [f for f in source.schema.fields if f.name not in target.columns]
+    return target.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in new]) if new else target
+
+
 def upsert(
     target: DataFrame, source: DataFrame, keys: Sequence[str], delete_when: str | None = None
 ) -> DataFrame:
-    """Matched rows are replaced, new rows added; rows where ``delete_when`` holds only remove."""
+    """Matched rows are replaced, new rows added; rows where ``delete_when`` holds only remove.
+
+    Here and below, columns that only the source has are added to the target, NULL in its other rows.
+    """
     require_unique(source, keys)
+    target = widen(target, source)
     incoming = source.filter(~_true(delete_when)) if delete_when else source
     return target.join(source.select(*keys), list(keys), "left_anti").unionByName(
         incoming.select(*target.columns)
@@ -47,6 +57,7 @@ def upsert(
 def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Only source rows whose key the target lacks are added."""
     require_unique(source, keys)
+    target = widen(target, source)
     fresh = source.join(_keys_of(target, keys), list(keys), "left_anti")
     return target.unionByName(fresh.select(*target.columns))
 
@@ -63,13 +74,17 @@ def guarded_update(df: DataFrame, where: Column | str, assignments: Mapping[str,
 
 
 def merge_full(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Update matched, insert new, delete target rows the source lacks: the result is the source.
+    """Update matched, insert new, delete target rows the source lacks: the result is the source's rows.
 
-    Applied per micro-batch, the target ends as the last batch's contents, so use it only
+    Columns that only the target has keep their values in matched rows and are NULL in new ones. Applied per micro-batch, the target ends as the last batch's contents, so use it only
     where every batch is a full snapshot.
     """
     require_unique(source, keys)
-    return source.select(*target.columns)
+    own = [c for c in target.columns if c not in source.columns]
+    wide = widen(target, source).columns
+    if own:
+        source = source.join(target.select(*keys, *own), list(keys), "left")
+    return source.select(*wide)
 
 
 def merge_full_counts(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -85,6 +100,7 @@ def merge_full_counts(target: DataFrame, source: DataFrame, keys: Sequence[str])
 
 def delete_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Drop every target row whose key occurs in the batch, then add all batch rows."""
+    target = widen(target, batch)
     return target.join(_keys_of(batch, keys), list(keys), "left_anti").unionByName(
         batch.select(*target.columns)
     )
@@ -98,6 +114,7 @@ def replace_where(
     ``override`` replaces the predicate for one run, to backfill another range.
     """
     hit = _true(pred if override is None else override)
+    target = widen(target, source)
     return target.filter(~hit).unionByName(source.filter(hit).select(*target.columns))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import required
 from tidemark.operators.hotkeys import by_heat, neighbours
+from tidemark.operators.merge import widen
 from tidemark.runtime import materialize
 
 START, END = "__START_AT", "__END_AT"
@@ -176,6 +177,7 @@ def scd2_delta(
     the length of a key's history.
     """
     on = list(keys)
+    dim, log = widen(dim, batch), widen(log, batch)  # a column added upstream is NULL in what came before
     columns = [c for c in dim.columns if c not in (START, END)]
     seq_type = batch.schema[sequence].dataType
     low = batch.groupBy(*on).agg(F.min(sequence).alias("_low"))

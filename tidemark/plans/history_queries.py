@@ -342,6 +342,24 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+LATE_AMOUNT = (
+    DIM_SQL.replace("CAST(value AS DECIMAL(18,2)) AS amount", "CASE WHEN event_id % 4 = 0 THEN CAST(value AS DECIMAL(18,2)) END AS amount")
+    .replace("arg_max(amount, ts)", "arg_max_null(amount, ts)")
+)
+
+
+@query("scd2_new_column", LATE_AMOUNT, decimals=["amount"])
+def _(t: Tables) -> DataFrame:
+    """A column that the first events lack and a later batch brings."""
+    log, late = changes_of(t), F.col("event_id") % 4 == 0
+    early = log.filter(~late).drop("amount")
+    dim = t.keep(scd2(early, ["user_id"], "ts", ["tier"]), "dim")
+    batch = log.filter(late)
+    so_far = early.unionByName(batch, allowMissingColumns=True)
+    merged = scd2_merge(dim, so_far, batch, ["user_id"], "ts", ["tier"])
+    return plain_windows(merged).select("user_id", "tier", "event_id", "amount", "ts", "start_at", "end_at")
+
+
 @query(
     "join_current",
     f"""WITH {LOG}, cur AS (SELECT user_id, arg_max(tier, ts) AS tier FROM log GROUP BY user_id)

@@ -34,6 +34,7 @@ from tidemark.operators.governance import (
     user_like,
 )
 from tidemark.operators.joins import mark_granted, not_in, orphans, semi_granted
+from tidemark.operators.changes import apply_changes, snapshot_diff
 from tidemark.operators.merge import (
     delete_insert,
     delete_where,
@@ -641,6 +642,33 @@ def _(t: Tables) -> DataFrame:
     return sample_rows(t.orders.select("o_orderkey", "o_custkey"), 100, "o_orderkey")
 
 
+# --- columns added upstream ---------------------------------------------------------------------
+
+
+@query(
+    "upsert_new_column",
+    """SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS o_orderpriority
+FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 2 = 0""",
+)
+def _(t: Tables) -> DataFrame:
+    wide = t.orders.select("o_orderkey", "o_totalprice", "o_orderpriority")
+    target = wide.filter("o_orderkey % 3 <> 0").drop("o_orderpriority")
+    return upsert(target, wide.filter("o_orderkey % 2 = 0"), ["o_orderkey"])
+
+
+@query(
+    "sync_new_column",
+    "SELECT c_custkey, c_acctbal, c_mktsegment, CAST(0 AS BIGINT) AS still_changing FROM customer",
+)
+def _(t: Tables) -> DataFrame:
+    """A snapshot with a further column is taken over; taking it again changes nothing."""
+    new = t.customer.select("c_custkey", "c_acctbal", "c_mktsegment")
+    old = new.drop("c_mktsegment")
+    state = t.keep(apply_changes(old, snapshot_diff(old, new, ["c_custkey"], 1), ["c_custkey"]), "state")
+    again = snapshot_diff(state, new, ["c_custkey"], 2).count()
+    return state.withColumn("still_changing", F.lit(again).cast("bigint"))
+
+
 # --- generated data -----------------------------------------------------------------------------
 
 TODAY = date(2026, 5, 8)

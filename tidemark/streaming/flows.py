@@ -63,7 +63,9 @@ def merge_sink(table: KeyedTable, strategy: str = "merge_full") -> Sink:
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         if strategy == "merge_full":
-            table.replace(merge_full(batch, batch, table.keys), table.known_cells())
+            held = table.schema()
+            target = table.read(schema=held) if held and set(held.names) - set(batch.columns) else batch
+            table.replace(merge_full(target, batch, table.keys), table.known_cells())
             return
         cells = table.cells_of(batch)
         before = table.read(cells, table.schema() or batch.schema)
