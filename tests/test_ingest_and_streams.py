@@ -134,6 +134,29 @@ def test_rescue_keeps_fractions(spark):
     assert rows(out) == [(1, None), (None, '{"v":1.5}'), (None, None)]
 
 
+def test_rescue_keeps_what_a_narrower_type_would_lose(spark):
+    df = spark.sql("SELECT 1.2345D AS a, 9007199254740993L AS b, TIMESTAMP'2024-01-01 10:00:00' AS c, 2.5D AS d, DATE'2024-01-01' AS e")
+    target = "a decimal(18,2), b double, c date, d decimal(18,2), e timestamp"
+    out = rescue_misfits(df, spark.createDataFrame([], target).schema).first()
+    assert (out.a, out.b, out.c) == (None, None, None) and str(out.d) == "2.50" and out.e is not None
+    assert '"a":1.2345' in out._rescued_data and '"b":9007199254740993' in out._rescued_data and '"c"' in out._rescued_data
+
+
+def test_names_that_differ_in_case_are_one_column(spark, root):
+    land(spark.createDataFrame([(1, "a")], "id int, v string"), root)
+    ingest(spark, root)
+    land(spark.createDataFrame([("b", 2)], "V string, ID int"), root)
+    bronze = ingest(spark, root)
+    assert rows(bronze.read().select("id", "v")) == [(1, "a"), (2, "b")]
+    assert bronze.schema().names == ["id", "v"]
+
+
+def test_paths_with_blanks_and_percent_signs(spark, root):
+    root = f"{root}/a b%20c"
+    land(spark.createDataFrame([(1,)], "id int"), root)
+    assert rows(ingest(spark, root).read().select("id")) == [(1,)]
+
+
 def test_widened_read(spark, root):
     land(spark.createDataFrame([(1,)], "id int"), root)
     land(spark.createDataFrame([(2**40,)], "id bigint"), root)

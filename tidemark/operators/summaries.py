@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-RANK_ERROR = 10_000  # percentile_approx is off by at most n / RANK_ERROR ranks
-FINAL_ROWS = 5_000_000  # rows in a bracket that are ranked directly
+from tidemark.runtime import materialize
 
 
 def value_counts(df: DataFrame, *cols: str) -> DataFrame:
@@ -27,8 +27,13 @@ def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row with the number of distinct non-null values of each column."""
-    return df.agg(*[F.countDistinct(c).alias(c) for c in cols])
+    """One row with the number of distinct non-null values of each column.
+
+    Each column is counted on its own, so no row is copied once per column.
+    """
+    counts = [df.agg(F.countDistinct(c).alias("_n")).select(F.lit(i).alias("_i"), "_n") for i, c in enumerate(cols)]
+    together = reduce(DataFrame.unionByName, counts)
+    return together.agg(*[F.max(F.when(F.col("_i") == i, F.col("_n"))).alias(c) for i, c in enumerate(cols)])
 
 
 def shares_vs_target(df: DataFrame, col: str, target: Mapping[str, float], tol: float) -> DataFrame:
@@ -60,51 +65,30 @@ def shares_vs_target(df: DataFrame, col: str, target: Mapping[str, float], tol:
 
 
 def amount_stats(df: DataFrame, col: str) -> DataFrame:
-    """Count, min, max and the element at index n // 2 of the sorted values: exact, in few passes.
+    """Count, min, max and the element at index n // 2 of the sorted values, all exact.
 
-    Sketches narrow the range that holds the wanted rank until what is left is small; only
-    that remainder is counted value by value. No task ever holds the whole column.
+    The distinct values with their counts are range-partitioned and written; the totals of the ranges, one row each,
+    tell which one holds the wanted rank, and only that range is ranked value by value.
     """
     values = df.select(F.col(col).alias("v")).filter("v IS NOT NULL")
-    eps = 2 / RANK_ERROR
-    first = values.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("v").alias("lo"),
-        F.max("v").alias("hi"),
-        F.percentile_approx("v", [0.5 - eps, 0.5 + eps], RANK_ERROR).alias("near"),
-    ).first()
-    rank, low, high = first.n // 2, first.lo, first.hi
-    if first.n:
-        low, high = first.near
-    below, inside = 0, first.n
-    while first.n:
-        cut = values.agg(
-            F.count_if(F.col("v") < F.lit(low)).alias("below"),
-            F.count_if((F.col("v") >= F.lit(low)) & (F.col("v") <= F.lit(high))).alias("inside"),
-        ).first()
-        if not cut.below <= rank < cut.below + cut.inside:
-            low, high = first.lo, first.hi  # a sketch missed: fall back to the full range
-            below, inside = 0, first.n
-            break
-        shrunk = cut.inside < inside
-        below, inside = cut.below, cut.inside
-        if inside <= FINAL_ROWS or low == high or not shrunk:
-            break
-        at = (rank - below) / inside
-        low, high = (
-            values.filter(F.col("v").between(F.lit(low), F.lit(high)))
-            .agg(F.percentile_approx("v", [max(at - eps, 0.0), min(at + eps, 1.0)], RANK_ERROR).alias("q"))
-            .first()
-            .q
-        )
-    # One row per distinct value in the bracket.
-    tally = values.filter(F.col("v").between(F.lit(low), F.lit(high))).groupBy("v").count()
-    upto = F.sum("count").over(Window.orderBy("v"))
-    median = tally.withColumn("upto", upto + F.lit(below)).filter(F.col("upto") > rank).agg(F.min("v").alias("median"))
+    tally = values.groupBy("v").agg(F.count(F.lit(1)).alias("n")).repartitionByRange("v")
+    tally = materialize(tally.withColumn("part", F.spark_partition_id()), "tally")
+    ranges = tally.groupBy("part").agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    total, low, high, wanted, before = 0, None, None, -1, 0
+    ranges = sorted(ranges.collect(), key=lambda r: r.part)
+    for r in ranges:
+        low, high, total = r.lo if low is None else low, r.hi, total + r.n
+    reached = 0
+    for r in ranges:
+        if reached <= total // 2 < reached + r.n:
+            wanted, before = r.part, reached
+        reached += r.n
+    upto = F.sum("n").over(Window.partitionBy("part").orderBy("v")) + F.lit(before)
+    inside = tally.filter(F.col("part") == wanted).withColumn("upto", upto)
     kind = df.schema[col].dataType
-    return median.select(
-        F.lit(first.n).cast("bigint").alias("n"),
-        F.lit(first.lo).cast(kind).alias("lowest"),
+    return inside.filter(F.col("upto") > total // 2).agg(F.min("v").alias("median")).select(
+        F.lit(total).cast("bigint").alias("n"),
+        F.lit(low).cast(kind).alias("lowest"),
         F.col("median").cast(kind).alias("median"),
-        F.lit(first.hi).cast(kind).alias("highest"),
+        F.lit(high).cast(kind).alias("highest"),
     )

@@ -13,12 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 SHUFFLE_BYTES = 128 * 2**20  # what one shuffle task should take in
-MOST_SHUFFLE_TASKS = 100_000
 
 
 def shuffle_tasks(input_bytes: int) -> int:
     """Shuffle partitions to start from; adaptive execution merges those that turn out small."""
-    return max(200, min(MOST_SHUFFLE_TASKS, -(-input_bytes // SHUFFLE_BYTES)))
+    return max(200, -(-input_bytes // SHUFFLE_BYTES))
 
 
 def build_session(

@@ -43,10 +43,18 @@ def _footers(paths: DataFrame) -> DataFrame:
         import pyarrow.parquet as pq
         from pyarrow import fs
 
+        same = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss", "wasb": "abfs"}
         for batch in batches:
             texts = []
             for path in batch["path"]:
-                store, name = fs.FileSystem.from_uri(path)
+                # names are plain here: a URI parser would stop at blanks and decode percent signs
+                scheme, _, rest = path.partition(":")
+                if scheme == "file":
+                    store, name = fs.LocalFileSystem(), "/" + rest.lstrip("/")
+                else:
+                    host, _, key = rest.lstrip("/").partition("/")
+                    store, root = fs.FileSystem.from_uri(f"{same.get(scheme, scheme)}://{host}/")
+                    name = f"{root.rstrip('/')}/{key}"
                 with store.open_input_file(name) as f:
                     texts.append(pq.read_schema(f).remove_metadata().to_string())
             yield pandas.DataFrame({"path": batch["path"], "footer": texts})
@@ -64,11 +72,11 @@ def files_by_schema(paths: DataFrame) -> list[list[str]]:
 
 
 def widen_schema(known: T.StructType | None, found: Iterable[T.StructType]) -> T.StructType:
-    """The known columns as they are, followed by new ones in order of appearance."""
-    fields = {f.name: f for f in (known.fields if known else [])}
+    """The known columns as they are, followed by new ones in order of appearance; names differ by more than case."""
+    fields = {f.name.lower(): f for f in (known.fields if known else [])}
     for schema in found:
         for f in schema.fields:
-            fields.setdefault(f.name, T.StructField(f.name, f.dataType, True))
+            fields.setdefault(f.name.lower(), T.StructField(f.name, f.dataType, True))
     return T.StructType(list(fields.values()))
 
 
@@ -82,17 +90,18 @@ def discover_schema(spark: SparkSession, src: str, known: T.StructType | None =
 
 def rescue_misfits(df: DataFrame, target: T.StructType) -> DataFrame:
     """Columns in the target's types; values that do not fit are kept as JSON in ``_rescued_data``."""
-    have = {f.name: f.dataType for f in df.schema.fields}
+    have = {f.name.lower(): f for f in df.schema.fields}
     cells, misfits = [], []
     for f in target.fields:
-        if f.name not in have:
+        held = have.get(f.name.lower())
+        if held is None:
             cells.append(F.lit(None).cast(f.dataType).alias(f.name))
             continue
-        raw = F.col(f"`{f.name}`")
-        if have[f.name] == f.dataType:
+        raw = F.col(f"`{held.name}`")
+        if held.dataType == f.dataType:
             cells.append(raw.alias(f.name))
             continue
-        cast = _exact_cast(raw, have[f.name], f.dataType)
+        cast = _exact_cast(raw, held.dataType, f.dataType)
         cells.append(cast.alias(f.name))
         misfits.append(F.when(cast.isNull() & raw.isNotNull(), raw).alias(f.name))
     if not misfits:
@@ -102,12 +111,11 @@ def rescue_misfits(df: DataFrame, target: T.StructType) -> DataFrame:
 
 
 def _exact_cast(raw: Column, source: T.DataType, target: T.DataType) -> Column:
-    """``try_cast`` that also refuses to lose a fraction."""
+    """``try_cast`` that also refuses whatever does not come back as it was; text may be written in other ways."""
     cast = raw.try_cast(target)
-    fractional = isinstance(source, (T.DoubleType, T.FloatType, T.DecimalType))
-    if fractional and isinstance(target, T.IntegralType):
-        return F.when(cast.cast(source) == raw, cast)
-    return cast
+    if isinstance(source, (T.StringType, T.ArrayType, T.MapType, T.StructType)):
+        return cast
+    return F.when(cast.try_cast(source).eqNullSafe(raw), cast)
 
 
 def read_widened(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
