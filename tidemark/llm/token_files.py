@@ -190,7 +190,9 @@ def read_token_files(spark: SparkSession, folder: str, key: str = "doc_id") -> D
                     ["shard", "_key", "_start", "n_tokens", "ids_crc32"],
                 )
 
-    rows = shards.select("shard", "file", "keys").repartition("shard").mapInArrow(
+    # by a number of tasks of its own: what a shard's row weighs says nothing about its file
+    tasks = max(1, shards.count())
+    rows = shards.select("shard", "file", "keys").repartition(tasks, "shard").mapInArrow(
         read, f"shard int, _key {kind}, _start long, n_tokens long, ids_crc32 long"
     )
     rows = rows.join(totals, "shard")

@@ -18,10 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, open_store, unique_name
+from tidemark.llm.common import BATCH_BYTES, BATCH_ROWS, bounded_batches, open_store, unique_name
 
 LEAST_REVISIT = 100  # bytes; equal payloads under it are all stored
 FILE_BYTES = 256 * 2**20  # an archive is closed beyond it
+READ_BYTES = 32 * 2**20  # compressed records that one task reads
 BLOCK_LINES = 1024
 DATE = "1970-01-01T00:00:00Z"  # pages carry no time of capture
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -223,31 +224,54 @@ def lookup(spark: SparkSession, folder: str, urls: DataFrame, url: str = "url",
             yield pa.RecordBatch.from_pydict({"number": pa.array(numbers, pa.int32()), "url_key": pa.array(keys, pa.string())})
 
     names = ["page", "record_type", "refers_to", "payload_bytes", "payload_digest"] + ["payload"] * payload
+    kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
 
-    def read(batches):
-        index_store, index_path = open_store(f"{folder}/index")
-        store, path = open_store(f"{folder}/archives")
-        number, index, archives = None, None, {}
+    def find(batches):
+        store, path = open_store(f"{folder}/index")
+        number, index = None, None
         for b in batches:
-            wanted = []
+            found = []
             for n, k in zip(b.column("number").to_pylist(), b.column("url_key").to_pylist()):
                 if n != number:
-                    number, index = n, IndexFile(index_store, f"{index_path}/{files[n][2]}")
-                wanted += [(file, at, length) for _, _, file, at, length in index.captures(k)]
-            wanted.sort()
-            for start in range(0, len(wanted), 1000):
-                rows = []
-                for file, at, length in wanted[start : start + 1000]:
-                    if file not in archives:
-                        archives = {file: store.open_input_file(f"{path}/{file}")} if len(archives) > 100 else {**archives, file: store.open_input_file(f"{path}/{file}")}
-                    kind, page, refers, size, digest, body = parse(archives[file].read_at(length, at))
-                    rows.append((page or None, kind, refers, size, digest) + ((body,) if payload else ()))
-                kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
-                columns = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
-                yield pa.RecordBatch.from_arrays(columns, names)
+                    number, index = n, IndexFile(store, f"{path}/{files[n][2]}")
+                for _, _, file, at, length in index.captures(k):
+                    found.append((file, at, length))
+                    if len(found) == BATCH_ROWS:
+                        yield _locations(found)
+                        found = []
+            yield _locations(found)
+
+    def read(batches):
+        store, path = open_store(f"{folder}/archives")
+        name, archive = None, None
+        for b in batches:
+            rows, held = [], 0
+            for file, at, length in zip(*(b.column(c).to_pylist() for c in ("file", "at", "length"))):
+                if file != name:
+                    name, archive = file, store.open_input_file(f"{path}/{file}")
+                kind, page, refers, size, digest, body = parse(archive.read_at(length, at))
+                rows.append((page or None, kind, refers, size, digest) + ((body,) if payload else ()))
+                held += len(body) if payload else 0
+                if held >= BATCH_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+                    rows, held = [], 0
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
     keys = urls.select(F.col(url).alias("_url")).distinct()
     routed = keys.mapInArrow(route, "number int, url_key string").distinct()
-    ordered = routed.repartition("number").sortWithinPartitions("number", "url_key")
+    ordered = routed.repartition(max(1, len(files)), "number").sortWithinPartitions("number", "url_key")
+    places = ordered.mapInArrow(find, "file string, at long, length long")
+    # tasks follow the bytes of the archives, which the places of their records say nothing about
+    size = spark.read.parquet(f"{folder}/captures").agg(F.sum("length")).first()[0] or 0
+    part = F.floor(F.col("at") / READ_BYTES)
+    places = places.repartition(-(-size // READ_BYTES) or 1, "file", part).sortWithinPartitions("file", "at")
     schema = "page string, record_type string, refers_to string, payload_bytes long, payload_digest string"
-    return ordered.mapInArrow(read, schema + (", payload binary" if payload else ""))
+    return places.mapInArrow(read, schema + (", payload binary" if payload else ""))
+
+
+def _locations(found: list) -> pa.RecordBatch:
+    files, at, length = ([f[i] for f in found] for i in range(3))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(files, pa.string()), pa.array(at, pa.int64()), pa.array(length, pa.int64())], ["file", "at", "length"]
+    )
