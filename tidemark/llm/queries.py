@@ -15,7 +15,10 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")  # the same vocabulary
 
 QUERIES: dict = {}
-SQL: dict[str, str] = {"op7_quality_rules": sql.OP7}
+SQL: dict[str, str] = {
+    "op2_ngram_jaccard_join": sql.OP2,
+    "op7_quality_rules": sql.OP7,
+}
 
 
 def query(fn):

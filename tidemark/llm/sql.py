@@ -47,3 +47,35 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        AND left_words > 0 AND 100 * left_words >= {quality.LEAST_LEFT} * (left_words + failed_words) AS kept
 FROM counted
 """
+
+OP2 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(
+    string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda w: w <> '') AS ws
+  FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i+2], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM d WHERE len(ws) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+  FROM sets x JOIN sets y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY x.doc_id, y.doc_id),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes p ON a = p.doc_id JOIN sizes q ON b = q.doc_id
+  WHERE 100 * shared >= 90 * (p.n + q.n - shared)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM d LEFT JOIN sizes USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
+"""
+
+OP3 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+f AS (SELECT *, CASE WHEN strlen(body) >= 100 THEN min(page_id) OVER (PARTITION BY body) END AS first FROM p)
+SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha256(body) AS payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM f
+"""
