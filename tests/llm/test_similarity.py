@@ -110,21 +110,24 @@ def test_rows_with_null_keys_are_grouped(spark, stored):
     assert sorted(out, key=str) == [(5, 5), (None, 5), (None, None)]
 
 
-def test_sketches_within_the_distance_share_a_key():
+@pytest.mark.parametrize("percent", [80, 90])
+def test_sketches_within_the_distance_share_a_key(percent):
     import numpy as np
 
+    t = percent / 100
+
     rng = np.random.default_rng(5)
     for n in (10, 15, 40, 150, 700, 3000):
         for _ in range(60):
             a = np.unique(rng.integers(0, 1 << 62, n, dtype=np.uint64))
-            most = int(len(a) * (1 - 0.9))
+            most = int(len(a) * (1 - t) + 1e-9)
             drop = rng.choice(len(a), rng.integers(0, most + 1), replace=False)
             b = np.delete(a, drop)
-            spare = int((len(b) - 0.9 * len(a)) / 0.9)
+            spare = int((len(b) - t * len(a)) / t)
             b = np.unique(np.concatenate([b, rng.integers(0, 1 << 62, rng.integers(0, spare + 1), dtype=np.uint64)]))
-            if len(np.intersect1d(a, b)) * 10 < 9 * len(np.union1d(a, b)) or len(a) == len(b) == len(np.intersect1d(a, b)):
+            if len(np.intersect1d(a, b)) * 100 < percent * len(np.union1d(a, b)) or len(a) == len(b) == len(np.intersect1d(a, b)):
                 continue
-            keys = [jaccard.sketch_keys(x, Fraction(9, 10)) for x in (a, b)]
+            keys = [jaccard.sketch_keys(x, Fraction(percent, 100)) for x in (a, b)]
             assert len(np.intersect1d(*keys)), (n, len(a), len(b))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.runtime import materialize
 
 MOST_PIVOTS = 32  # rows of a bucket that are compared with all others of it in one round
+BROADCAST_ROWS = 1_000_000  # most shared buckets that go to every task; more are joined by a shuffle
 SMALL = 32  # a bucket of at most so many rows that the first round leaves is finished at once
 
 
@@ -84,8 +85,9 @@ def linked_groups(
     pivots a round, from the smallest groups. Copies of a (bucket, node) row are harmless.
     """
     spans = members.groupBy("bucket").agg(F.min("node").alias("_least"), F.max("node").alias("_most"))
-    shared = spans.filter(F.col("_least") < F.col("_most")).select("bucket")
-    active = members.join(shared, "bucket", "left_semi").distinct()
+    shared = materialize(spans.filter(F.col("_least") < F.col("_most")).select("bucket"), "shared")
+    few = shared.count() <= BROADCAST_ROWS
+    active = members.join(F.broadcast(shared) if few else shared, "bucket", "left_semi").distinct()
     active = materialize(active.select("bucket", "node", F.col("node").alias("root"), F.lit(1).cast("long").alias("size")), "members")
     roots, first = None, True
     while not active.isEmpty():

@@ -21,8 +21,9 @@ from tidemark.llm.graph import components, linked_groups
 from tidemark.llm.sets import mix, shingles, words
 
 BAND_RATIO = Fraction(5, 4)  # sizes of one band differ by at most this factor
-SPARSE = 2  # a block of so few elements tells little
-SPARE = 16  # one block more for every so many, which pays for leaving sparse blocks out
+#: (elements a block must hold on average, elements up to which it is sparse and tells little, share of blocks that are
+#: spare, which pays for leaving sparse ones out); the first that fits holds.
+SPARSE = [(8, 2, Fraction(1, 16)), (0, 1, Fraction(1, 4))]
 CHUNK_SETS = 2048  # of a crowded group, compared with as many others in one task
 CHUNK_ELEMENTS = 4_000_000
 BROADCAST_ROWS = 500_000  # most wanted documents whose ids go to every task; more are joined by a shuffle
@@ -47,7 +48,8 @@ def sketch_blocks(elements: np.ndarray, top: int, threshold: Fraction) -> np.nda
     apart = int(2 * top * (1 - threshold) / (1 + threshold))
     if apart == 0:
         return np.empty(0, np.uint64)
-    spare = apart // SPARE
+    few, share = next((few, share) for least, few, share in SPARSE if top >= least * (apart + 1))
+    spare = int(apart * share)
     blocks = apart + 1 + spare
     cells = mix(elements ^ np.uint64(top))
     block = (cells % np.uint64(blocks)).astype(np.int64)
@@ -59,7 +61,7 @@ def sketch_blocks(elements: np.ndarray, top: int, threshold: Fraction) -> np.nda
     parity[some] = np.bitwise_xor.reduceat(mix(cells)[order], starts[some])
     name = np.arange(blocks, dtype=np.uint64) + (np.uint64(top) << np.uint64(32))
     keys = mix(mix(name) + parity)
-    dense = sizes > SPARSE
+    dense = sizes > few
     return keys[dense] if blocks - dense.sum() <= spare else keys
 
 
