@@ -23,7 +23,7 @@ from tidemark.llm.sets import mix, shingles, words
 BAND_RATIO = Fraction(5, 4)  # sizes of one band differ by at most this factor
 #: (elements a block must hold on average, elements up to which it is sparse and tells little, share of blocks that are
 #: spare, which pays for leaving sparse ones out); the first that fits holds.
-SPARSE = [(8, 2, Fraction(1, 16)), (0, 1, Fraction(1, 4))]
+SPARSE = [(8, 2, Fraction(1, 16)), (0, 0, Fraction(1, 8))]
 CHUNK_SETS = 2048  # of a crowded group, compared with as many others in one task
 CHUNK_ELEMENTS = 4_000_000
 BROADCAST_ROWS = 500_000  # most wanted documents whose ids go to every task; more are joined by a shuffle
