@@ -58,7 +58,7 @@ def test_components_of_chains_stars_and_loops(spark):
 def test_linked_groups_lose_no_link_of_a_bucket(spark, monkeypatch, small, most):
     """One bucket for all nodes, which are linked in short chains: pivots alone see few of the links."""
     monkeypatch.setattr(graph, "SMALL", small)
-    monkeypatch.setattr(graph, "MOST_PIVOTS", most)
+    monkeypatch.setattr(graph, "PIVOTS", most)
     n, linked = 40, {(i, i + 1) for i in range(40) if i % 4 != 3}
     members = spark.createDataFrame([(0, i) for i in range(n)] + [(1, 5), (1, 5)], "bucket long, node long")
     near = F.array(*[F.struct(F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b")) for a, b in linked])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.runtime import materialize
 
-MOST_PIVOTS = 32  # rows of a bucket that are compared with all others of it in one round
+PIVOTS = 32  # about so many rows of a large bucket, doubled with each round, are compared with all others of it
 BROADCAST_ROWS = 1_000_000  # most shared buckets that go to every task; more are joined by a shuffle
 SMALL = 32  # a bucket of at most so many rows that the first round leaves is finished at once
 
@@ -80,43 +80,40 @@ def linked_groups(
     counts towards the groups. In each round some pivots of a bucket are paired with its nodes of other groups and
     then leave it: they have met everyone they could still join. A bucket whose nodes are all in one group is
     finished. So a bucket of near copies costs a few pairs a node, and no pair that could join two
-    groups is left out. After the first round, buckets of at most SMALL nodes are paired in full; the larger ones go to ``dense``,
-    which returns links (a, b) that connect all linked nodes of a bucket, or without it have MOST_PIVOTS
-    pivots a round, from the smallest groups. Copies of a (bucket, node) row are harmless.
+    groups is left out. After the first round, which has one pivot, buckets of at most SMALL nodes are paired in full; the larger
+    ones go to ``dense``, which returns links (a, b) that connect all linked nodes of a bucket, or without it have twice as
+    many pivots in every round, so that a bucket of m nodes takes log m rounds. Copies of a (bucket, node) row are harmless.
     """
     spans = members.groupBy("bucket").agg(F.min("node").alias("_least"), F.max("node").alias("_most"))
     shared = materialize(spans.filter(F.col("_least") < F.col("_most")).select("bucket"), "shared")
     few = shared.count() <= BROADCAST_ROWS
     active = members.join(F.broadcast(shared) if few else shared, "bucket", "left_semi").distinct()
     active = materialize(active.select("bucket", "node", F.col("node").alias("root"), F.lit(1).cast("long").alias("size")), "members")
-    roots, first = None, True
+    roots, turn = None, 0
     while not active.isEmpty():
-        pivots = 1 if first else MOST_PIVOTS
-        order = [F.struct("size", F.xxhash64("node", F.lit(i)) if i else F.col("node")) for i in range(pivots)]
-        sized = active.groupBy("bucket").agg(
-            F.count("node").alias("_n"),
-            F.array_distinct(F.array(*[F.min_by(F.struct("node", "root"), o) for o in order])).alias("_pivots"),
-        )
+        sized = active.groupBy("bucket").agg(F.count("node").alias("_n"), F.min_by("node", F.struct("size", "node")).alias("_least"))
+        tagged = active.join(sized, "bucket")
         found = []
-        large = active.join(sized if first else sized.filter(F.col("_n") > SMALL), "bucket")
-        if not first:
-            few = materialize(active.join(sized.filter(F.col("_n") <= SMALL).select("bucket"), "bucket", "left_semi"), "small")
+        if turn:
+            tagged = materialize(tagged, "tagged")
+            few = tagged.filter(F.col("_n") <= SMALL).select("bucket", "node", "root")
             others = few.select("bucket", F.col("node").alias("_node"), F.col("root").alias("_root"))
             found.append(verify(_pairs(few.join(others, "bucket").filter("node < _node"))))
-            large = materialize(large, "large")
-        if dense is not None and not first:
-            found.append(dense(large.select("bucket", "node", "root")))
+            tagged = tagged.filter(F.col("_n") > SMALL)
+        if turn and dense is not None:
+            found.append(dense(tagged.select("bucket", "node", "root")))
         else:
-            pivot = F.explode("_pivots").alias("_p")
-            met = large.select("node", "root", pivot).select(
-                "node", "root", F.col("_p.node").alias("_node"), F.col("_p.root").alias("_root")
-            )
-            found.append(verify(_pairs(met)))
+            # one in so many nodes by hash, more with every round, and the node of the smallest group
+            some = F.ceil(F.col("_n") / (PIVOTS << turn)) if turn else None
+            pivot = F.col("node") == F.col("_least")
+            pivot = pivot | (F.pmod(F.xxhash64("node", F.lit(turn)), some) == 0) if turn else pivot
+            chosen = tagged.filter(pivot).select("bucket", F.col("node").alias("_node"), F.col("root").alias("_root"))
+            found.append(verify(_pairs(tagged.select("bucket", "node", "root").join(chosen, "bucket"))))
         links = materialize(reduce(DataFrame.unionByName, [f.select("a", "b") for f in found]), "links")
         roots = _joined(roots, links)
-        if dense is not None and not first:
+        if turn and dense is not None:
             break
-        rest = large.filter(~F.array_contains(F.col("_pivots.node"), F.col("node"))).select("bucket", "node")
+        rest = tagged.filter(~pivot).select("bucket", "node")
         sizes = roots.groupBy("root").agg(F.count("node").alias("size"))
         rest = rest.join(roots.join(sizes, "root"), "node", "left").select(
             "bucket", "node", F.coalesce("root", "node").alias("root"), F.coalesce("size", F.lit(1)).alias("size")
@@ -124,7 +121,7 @@ def linked_groups(
         apart = rest.groupBy("bucket").agg(F.min("root").alias("_least"), F.max("root").alias("_most"))
         apart = apart.filter(F.col("_least") < F.col("_most")).select("bucket")
         active = materialize(rest.join(apart, "bucket", "left_semi"), "members")
-        first = False
+        turn += 1
     if roots is None:
         return members.sparkSession.createDataFrame([], "node long, root long")
     return roots
