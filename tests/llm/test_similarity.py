@@ -185,6 +185,52 @@ def test_distant_lines_stay(spark, stored):
     assert lines.dedup_lines(docs).agg(F.sum("n_removed")).first()[0] == 0
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        left, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            left, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, left + (x != y))
+    return row[-1]
+
+
+def test_similar_lines_of_10_to_100_words_against_brute_force(spark, stored):
+    """One word changed, words changed up to the bound, and scattered letters changed: the share that is found."""
+    rng, pairs = random.Random(11), {}
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 8)))
+    for kind in ("one word", "words", "letters 5 %", "letters 9 %"):
+        for n in [10, 12, 15, 20, 20, 30, 40, 60, 80, 100] * 3:
+            words = [word() for _ in range(n)]
+            a, own = " ".join(words), list(words)
+            if kind == "one word":
+                own[rng.randrange(n)] = word()
+            elif kind == "words":
+                left = len(a) // 10
+                for i in rng.sample(range(n), n):
+                    new = word()
+                    if max(len(new), len(own[i])) <= left:
+                        left -= max(len(new), len(own[i]))
+                        own[i] = new
+            else:
+                letters = list(a)
+                for i in rng.sample(range(len(a)), len(a) * int(kind.split()[1]) // 100):
+                    letters[i] = rng.choice("abcdefghijklmnop")
+                own = "".join(letters).split(" ")
+            b = " ".join(own)
+            if a != b and edits(a, b) * 10 <= max(len(a), len(b)):
+                pairs.setdefault(kind, []).append((a, b))
+    rows = [(i, line) for i, line in enumerate(line for both in pairs.values() for pair in both for line in pair)]
+    docs = stored(rows, "doc_id long, text string")
+    gone = {r.doc_id: r.n_removed for r in lines.dedup_lines(docs).select("doc_id", "n_removed").collect()}
+    at, found = 0, {}
+    for kind, both in pairs.items():
+        found[kind] = sum(gone[at + 2 * i] + gone[at + 2 * i + 1] for i in range(len(both))) / len(both)
+        at += 2 * len(both)
+        assert len(both) > 15
+    print(found)
+    assert found["one word"] >= 0.98 and found["words"] >= 0.95 and found["letters 5 %"] >= 0.95 and found["letters 9 %"] >= 0.6
+
+
 def item(n, seed):
     rng = random.Random(seed)
     return [rng.choice(WORDS) for _ in range(n)]
