@@ -248,3 +248,23 @@ def test_trees_learn_what_urls_tell(spark):
     assert right >= 0.95 * len(test)
     one = urls.fit(spark.createDataFrame([("http://x", 1), ("http://y", 1)], "url string, blocked int"))
     assert urls.judge(spark.createDataFrame([("http://z",)], "url string"), one, []).first().verdict == "block"
+
+
+@pytest.mark.parametrize("bound", [urls.BROADCAST_SUFFIXES, 0])
+def test_suffixes_count_all_labels_and_a_hot_url_does_not_fill_the_sample(spark, monkeypatch, bound):
+    monkeypatch.setattr(urls, "TRAINING_ROWS", 200)
+    monkeypatch.setattr(urls, "LEAST_ROWS", 40)
+    monkeypatch.setattr(urls, "BROADCAST_SUFFIXES", bound)
+    hot = [("http://hot.example.org/", 0)] * 3000
+    rows = hot + [(f"http://h{i}.example.org/{i}", 0) for i in range(500)] + [(f"http://win{i}.biz/?a=1&b={i}", 1) for i in range(300)]
+    rows += [(f"http://x{i}.rare{i % 5}/", 1) for i in range(50)]
+    model = urls.fit(spark.createDataFrame(rows, "url string, blocked int"))
+    seen = {r._suffix: (r.f_suffix_seen, r.f_suffix_rate) for r in model.suffixes.collect()}
+    rate = 350 / len(rows)
+    assert {k: v[0] for k, v in seen.items()} == {"org": 3500, "biz": 300, **{f"rare{i}": 10 for i in range(5)}}
+    assert abs(seen["rare3"][1] - (10 + 10 * rate) / 20) < 1e-12 and model.rate == rate and model.few == (bound > 0)
+    asked = spark.createDataFrame([("http://win999.biz/?a=1&b=5",), ("http://h7.example.org/9",)], "url string")
+    assert {r.url[7]: r.verdict for r in urls.judge(asked, model, []).collect()} == {"w": "block", "h": "allow"}
+    counted = spark.createDataFrame(rows, "_url string, label int").groupBy("_url", "label").agg(F.count("label").alias("_n"))
+    drawn = {r.label: r["count"] for r in urls._sample(counted, len(rows), 350).groupBy("label").count().collect()}
+    assert 150 < drawn[0] < 220 and 20 < drawn[1] < 60

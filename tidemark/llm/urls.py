@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import lean_disk, materialize
 
-TRAINING_ROWS = 20_000  # most labelled URLs that the trees are fitted on: those of least hash
+TRAINING_ROWS = 20_000  # about the most labelled URLs that the trees are fitted on
+LEAST_ROWS = 1_000  # of them for a rare label, if there are so many
+BROADCAST_SUFFIXES = 100_000  # most suffixes that go to every task; more are joined by a shuffle
 TREES = 12
 DEPTH = 4
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -102,40 +104,61 @@ def lexical(df: DataFrame, url: str) -> DataFrame:
 class UrlModel:
     trees: GBTClassificationModel | None  # none where the labels have one class only
     default: float  # the probability of a block then
-    suffixes: DataFrame  # _suffix, f_suffix_seen, f_suffix_rate: at most TRAINING_ROWS rows
+    suffixes: DataFrame  # _suffix, f_suffix_seen, f_suffix_rate
+    few: bool  # whether the suffixes may go to every task
     rate: float
 
 
-def _assembled(df: DataFrame, suffixes: DataFrame, rate: float) -> DataFrame:
-    df = df.join(F.broadcast(suffixes), "_suffix", "left").fillna({"f_suffix_seen": 0.0, "f_suffix_rate": rate})
+def _assembled(df: DataFrame, suffixes: DataFrame, few: bool, rate: float) -> DataFrame:
+    df = df.join(F.broadcast(suffixes) if few else suffixes, "_suffix", "left").fillna({"f_suffix_seen": 0.0, "f_suffix_rate": rate})
     return VectorAssembler(inputCols=FEATURES, outputCol="_features").transform(df)
 
 
 def fit(labelled: DataFrame, url: str = "url", label: str = "blocked") -> UrlModel:
-    """Trees on the TRAINING_ROWS labelled URLs of least hash; ``label`` is 1 for block, 0 for allow.
+    """Trees on a sample of about TRAINING_ROWS labelled URLs; ``label`` is 1 for block, 0 for allow.
 
     Rows with a null label are left out; a null URL is an empty one. Repeated rows weigh as often as they occur. Without
     rows of both labels the model gives their common label, or allow if there are none. Suffix statistics are the number of
-    training URLs with the host's last label and the smoothed share of blocks among them.
+    labelled URLs with the host's last label and the smoothed share of blocks among them, over all labelled rows.
     """
     lean_disk(labelled.sparkSession)
-    rows = labelled.filter(F.col(label).isNotNull()).select(F.col(url).alias("_url"), F.col(label).cast("double").alias("label"))
-    rows = rows.orderBy(F.xxhash64("_url"), "_url", "label").limit(TRAINING_ROWS)
-    rows = materialize(lexical(rows, "_url"), "url-training")
-    seen = rows.agg(F.count("label").alias("n"), F.sum("label").alias("blocked")).first()
-    rate = (seen.blocked or 0.0) / seen.n if seen.n else 0.0
-    suffixes = materialize(
-        rows.groupBy("_suffix").agg(
-            F.count("label").cast("double").alias("f_suffix_seen"),
-            ((F.sum("label") + 10 * rate) / (F.count("label") + 10)).alias("f_suffix_rate"),
-        ),
-        "url-suffixes",
+    rows = labelled.filter(F.col(label).isNotNull()).select(F.coalesce(url, F.lit("")).alias("_url"), F.col(label).cast("double").alias("label"))
+    counted = materialize(rows.groupBy("_url", "label").agg(F.count("label").alias("_n")), "url-labels")
+    suffix = F.substring_index(host_of(F.col("_url")), ".", -1)
+    sums = counted.groupBy(suffix.alias("_suffix")).agg(
+        F.sum("_n").alias("_all"), F.sum(F.when(F.col("label") > 0, F.col("_n")).otherwise(0)).alias("_blocked")
+    )
+    sums = materialize(sums, "url-suffix-counts")
+    seen = sums.agg(F.sum("_all").alias("n"), F.sum("_blocked").alias("blocked"), F.count("_all").alias("suffixes")).first()
+    n, blocked, few = seen.n or 0, seen.blocked or 0, seen.suffixes <= BROADCAST_SUFFIXES
+    rate = blocked / n if n else 0.0
+    suffixes = sums.select(
+        "_suffix",
+        F.col("_all").cast("double").alias("f_suffix_seen"),
+        ((F.col("_blocked") + 10 * rate) / (F.col("_all") + 10)).alias("f_suffix_rate"),
     )
     trees = None
     if 0 < rate < 1:
-        learner = GBTClassifier(featuresCol="_features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=7, maxBins=64)
-        trees = learner.fit(_assembled(rows, suffixes, rate).select("_features", "label"))
-    return UrlModel(trees, rate, suffixes, rate)
+        sample = _assembled(materialize(lexical(_sample(counted, n, blocked), "_url"), "url-training"), suffixes, few, rate)
+        learner = GBTClassifier(
+            featuresCol="_features", labelCol="label", weightCol="_weight", maxIter=TREES, maxDepth=DEPTH, seed=7, maxBins=64
+        )
+        trees = learner.fit(sample.select("_features", "label", "_weight"))
+    return UrlModel(trees, rate, suffixes, few, rate)
+
+
+def _sample(counted: DataFrame, n: int, blocked: int) -> DataFrame:
+    """(_url, label, _weight): about TRAINING_ROWS of the ``n`` rows behind (_url, label, _n), drawn for each label apart.
+
+    Of a URL's copies the same share is drawn as of all rows, the odd one by the URL's hash; so the sample depends on the
+    rows alone. A rare label has a larger share and a smaller weight.
+    """
+    usual = min(1.0, TRAINING_ROWS / n)
+    shares = [min(1.0, max(usual, LEAST_ROWS / of)) for of in (n - blocked, blocked)]
+    share = F.when(F.col("label") > 0, shares[1]).otherwise(shares[0])
+    draw = F.pmod(F.xxhash64("_url", "label"), F.lit(1 << 32)) / float(1 << 32)
+    drawn = counted.withColumn("_copies", F.floor(F.col("_n") * share + draw).cast("int")).filter(F.col("_copies") > 0)
+    return drawn.select("_url", "label", (usual / share).alias("_weight"), F.explode(F.sequence(F.lit(1), "_copies"))).drop("col")
 
 
 def judge(df: DataFrame, model: UrlModel, rules: Sequence[Rule], url: str = "url", threshold: float = 0.5) -> DataFrame:
@@ -148,7 +171,7 @@ def judge(df: DataFrame, model: UrlModel, rules: Sequence[Rule], url: str = "url
     added = ["host", "path", "rule", "p_block", "verdict"]
     df = df.drop(*added, *FEATURES)
     own = [F.col(f"`{c}`") for c in df.columns]
-    rows = _assembled(lexical(df, url), model.suffixes, model.rate)
+    rows = _assembled(lexical(df, url), model.suffixes, model.few, model.rate)
     if model.trees is None:
         p = F.lit(model.default)
     else:
