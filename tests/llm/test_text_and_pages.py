@@ -95,6 +95,9 @@ def test_elias_fano_reads_and_finds():
         assert (found[~has] == -1).all() and (values[found[has]] == ask[has]).all()
 
 
+WORDS = [f"w{i}" for i in range(60)]
+
+
 def brute_scores(train, texts, order, mu):
     tok = lambda t: (t or "").encode().lower().split() + [b""]
     c1, c2, c3 = Counter(), Counter(), Counter()
@@ -144,6 +147,32 @@ def test_scores_match_brute_force(spark, order):
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
 
 
+def test_followers_of_a_heavy_pair_lie_in_several_shards(spark):
+    rng = random.Random(8)
+    train = ["of the " + rng.choice(WORDS) for _ in range(400)] + ["in in " * 300 + "x"] + [" ".join(rng.sample(WORDS, 9)) for _ in range(20)]
+    texts = train[:3] + ["of the x", "in in w3 w4", "in in of the in x", "in in x", "w1 w2 unseen w3", None]
+    folder = scratch_path(spark, "lm")
+    ngram_trie.train(spark.createDataFrame([(t,) for t in train], "text string"), folder, order=3)
+    model, heavy, order = ngram_trie.load_model(spark, folder)
+    of, the = (int(i) for i in model.lookup(np.concatenate([ngram_trie._tokens(w)[:1] for w in (b"of", b"the")]))[0])
+    pair = np.uint64(of << 32 | the)
+    assert order == 3 and pair in heavy[3][0]
+    assert len(np.unique(model.shard(np.full(60, pair), np.arange(60), heavy, 3))) > 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    for r, (n, *_, score) in zip(ngram_trie.score(docs, folder).orderBy("id").collect(), brute_scores(train, texts, 3, ngram_trie.PRIOR), strict=True):
+        assert abs(r.score - score) <= n * 3 * ngram_trie.STEP / 2 + 1e-9, r.text
+
+
+def test_the_query_scores_with_triples(spark, monkeypatch):
+    from tidemark.llm import queries
+
+    used, train = [], ngram_trie.train
+    monkeypatch.setattr(ngram_trie, "train", lambda *a, **k: used.append(k.get("order")) or train(*a, **k))
+    docs = spark.createDataFrame([(i, "a b c a b c") for i in range(20)], "doc_id long, text string")
+    monkeypatch.setattr(queries, "table", lambda *_: docs)
+    assert queries.op10_lm_scoring(spark, "").count() == 20 and used == [3]
+
+
 def test_a_model_of_nothing(spark):
     folder = scratch_path(spark, "lm")
     ngram_trie.train(spark.createDataFrame([], "text string"), folder)

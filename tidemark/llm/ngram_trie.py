@@ -199,19 +199,26 @@ class Model:
             self._end = int(self.lookup(np.array([END], U))[0][0])
         return self._end
 
-    def shard(self, context: np.ndarray, ids: np.ndarray, heavy: np.ndarray, order: int) -> np.ndarray:
-        """Where an n-gram lies: by its context, for two words' heavy contexts by the next word as well."""
-        if order == 2 and len(heavy):
-            split = np.isin(context, heavy)
-            return mix(np.where(split, (context << _32) ^ ids.astype(U), context)) % U(self.shards)
+    def shard(self, context: np.ndarray, ids: np.ndarray, heavy: dict, order: int) -> np.ndarray:
+        """Where an n-gram lies: by its context, for heavy contexts by the next word as well."""
+        keys = heavy[order][0]
+        if len(keys):
+            place = context << _32 if order == 2 else mix(context)
+            context = np.where(np.isin(context, keys), place ^ ids.astype(U), context)
         return mix(context) % U(self.shards)
 
-    def log10(self, order: int, context: np.ndarray, ids: np.ndarray, known: np.ndarray, lower: np.ndarray, heavy: np.ndarray) -> np.ndarray:
+    def log10(self, order: int, context: np.ndarray, ids: np.ndarray, known: np.ndarray, lower: np.ndarray, heavy: dict) -> np.ndarray:
         """log10 P(id | context) at ``order``, given the lower order's; ``known`` says where a context exists."""
         out = lower.copy()
         ask = np.flatnonzero(known)
         if not len(ask):
             return out
+        keys, totals = heavy[order]
+        if len(keys):  # a heavy context lies in those shards only where it has followers
+            place = np.minimum(np.searchsorted(keys, context[ask]), len(keys) - 1)
+            split = keys[place] == context[ask]
+            own, total = ask[split], totals[place[split]]
+            out[own] -= STEP * _codes(np.log10(self.prior / (total + self.prior))).astype(np.float64)
         shard = self.shard(context[ask], ids[ask], heavy, order)
         by = np.argsort(shard, kind="stable")
         edges = np.searchsorted(shard[by], np.arange(self.shards + 1, dtype=U))
@@ -274,7 +281,7 @@ def train(docs: DataFrame, folder: str, order: int = 2, text: str = "text", prio
     )
     word_files = _file_list(spark, folder, 1)
     model = Model(folder, bits, word_files, {}, shards, prior)
-    heavy = heavy_words(spark, model)
+    heavy = {2: heavy_words(spark, model)}
 
     for k in range(2, order + 1):
 
@@ -304,9 +311,12 @@ def train(docs: DataFrame, folder: str, order: int = 2, text: str = "text", prio
         ).write.parquet(f"{folder}/files/level={k}")
         levels = {**model.levels, k: {b: f for b, f, _, _ in _file_list(spark, folder, k)}}
         model = Model(folder, bits, word_files, levels, shards, prior)
+        if k < order:
+            heavy[k + 1] = heavy_pairs(spark, model)
+    listed = [(k, [int(h) for h in keys], [int(t) for t in totals]) for k, (keys, totals) in heavy.items()]
     spark.createDataFrame(
-        [(bits, shards, order, float(prior), [int(h) for h in heavy])],
-        "bits int, shards int, order int, prior double, heavy array<long>",
+        [(bits, shards, order, float(prior), listed)],
+        "bits int, shards int, order int, prior double, heavy array<struct<level int, contexts array<long>, totals array<long>>>",
     ).coalesce(1).write.parquet(f"{folder}/model")
 
 
@@ -367,6 +377,10 @@ def _build_level(model, k, shard, context, ids, counts, heavy) -> pa.Table:
         total = _counts_of(model, distinct.astype(np.int64))
     else:
         total = np.add.reduceat(counts, start)
+        keys, totals = heavy[k]
+        if len(keys):  # of these, other shards have followers too
+            at = np.minimum(np.searchsorted(keys, distinct), len(keys) - 1)
+            total = np.where(keys[at] == distinct, totals[at], total)
     lower = model.unigram(_counts_of(model, ids))
     if k == 3:
         last = context & U(0xFFFFFFFF)
@@ -379,6 +393,9 @@ def _build_level(model, k, shard, context, ids, counts, heavy) -> pa.Table:
         "codes": _codes(np.log10(p)),
         "backoffs": _codes(np.log10(model.prior / (total + model.prior))),
     }
+    if k == 2:
+        large = counts > heavy_bar(model)
+        arrays["large"], arrays["times"] = (context[large] << _32) | ids[large].astype(U), counts[large]
     return _file_row(k, shard, _save(model.folder, f"level{k}-{shard}", arrays), len(ids), int(counts.sum()))
 
 
@@ -394,31 +411,55 @@ def _file_list(spark: SparkSession, folder: str, level: int) -> list[tuple]:
     return sorted((r.bucket, r.file, r.n, r.tokens) for r in rows)
 
 
-def heavy_words(spark: SparkSession, model: Model) -> np.ndarray:
-    """Ids of words that hold more than a quarter of a shard's mean share of all tokens: under 4 for each shard."""
-    bar = model.tokens / (4 * model.shards)
+def heavy_bar(model: Model) -> float:
+    """A quarter of a shard's mean share of all tokens: under 4 words, and under 4 pairs, for each shard occur more often."""
+    return model.tokens / (4 * model.shards)
+
+
+def heavy_words(spark: SparkSession, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the words above ``heavy_bar``, in order, and their counts."""
+    bar = heavy_bar(model)
     bases = np.cumsum([0, *[n for _, _, n, _ in model.word_files]])
-    plan = [(int(base), name) for base, (_, name, _, _) in zip(bases, model.word_files)]
+
+    def over(base, arrays):
+        found = np.flatnonzero(arrays["counts"] > bar)
+        return found + base, arrays["counts"][found]
+
+    return _heavy(spark, model.folder, [(int(base), name) for base, (_, name, _, _) in zip(bases, model.word_files)], over)
+
+
+def heavy_pairs(spark: SparkSession, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs above ``heavy_bar`` as contexts of triples, in order, and their counts.
+
+    Every text ends with a token that is no context of triples, so all other pairs stand before a token as often as they occur.
+    """
+    return _heavy(
+        spark, model.folder, [(0, name) for name in model.levels[2].values()], lambda _, a: (a["large"].view(np.int64), a["times"])
+    )
+
+
+def _heavy(spark: SparkSession, folder: str, plan: list, over) -> tuple[np.ndarray, np.ndarray]:
     if not plan:
-        return np.empty(0, U)
-    folder = model.folder
+        return np.empty(0, U), np.empty(0, np.int64)
 
-    def over(batches):
+    def read(batches):
         for b in batches:
             for base, name in zip(b.column("base").to_pylist(), b.column("file").to_pylist()):
-                found = np.flatnonzero(_load(folder, name)["counts"] > bar) + base
-                yield pa.RecordBatch.from_pydict({"id": pa.array(found, pa.int64())})
+                ids, n = over(base, _load(folder, name))
+                yield pa.RecordBatch.from_pydict({"id": pa.array(ids, pa.int64()), "n": pa.array(n, pa.int64())})
 
-    rows = spark.createDataFrame(plan, "base long, file string").repartition("file").mapInArrow(over, "id long").collect()
-    return np.sort(np.array([r.id for r in rows], U))
+    rows = spark.createDataFrame(plan, "base long, file string").repartition("file").mapInArrow(read, "id long, n long").collect()
+    rows.sort(key=lambda r: r.id)
+    return np.array([r.id for r in rows], np.int64).astype(U), np.array([r.n for r in rows], np.int64)
 
 
-def load_model(spark: SparkSession, folder: str) -> tuple[Model, np.ndarray, int]:
-    """(model, heavy words, order) as tasks need them: names and sizes of files, not their contents."""
+def load_model(spark: SparkSession, folder: str) -> tuple[Model, dict, int]:
+    """(model, heavy contexts by level, order) as tasks need them: names and sizes of files, not their contents."""
     row = spark.read.parquet(f"{folder}/model").first()
     levels = {k: {b: f for b, f, _, _ in _file_list(spark, folder, k)} for k in range(2, row.order + 1)}
     model = Model(folder, row.bits, _file_list(spark, folder, 1), levels, row.shards, row.prior)
-    return model, np.array(row.heavy, np.int64).astype(U), row.order
+    heavy = {h.level: (np.array(h.contexts, np.int64).astype(U), np.array(h.totals, np.int64)) for h in row.heavy}
+    return model, heavy, row.order
 
 
 def score(docs: DataFrame, folder: str, text: str = "text") -> DataFrame:

@@ -81,11 +81,11 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    """Log-probabilities of all documents under a word-pair model of those that are not held out."""
+    """Log-probabilities of all documents under a word-triple model of those that are not held out."""
     held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2, F.lit(False))
     docs = table(spark, folder, "documents").select("doc_id", "text", held_out.alias("held_out"))
     model = scratch_path(spark, "ngram-model")
-    ngram_trie.train(docs.filter(~F.col("held_out")), model)
+    ngram_trie.train(docs.filter(~F.col("held_out")), model, order=3)
     return ngram_trie.score(docs, model).drop("text")
 
 
