@@ -131,6 +131,17 @@ def test_sketches_within_the_distance_share_a_key(percent):
             assert len(np.intersect1d(*keys)), (n, len(a), len(b))
 
 
+def test_low_thresholds_reach_bands_beyond_the_next():
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    for percent, n, m in ((50, 10, 20), (50, 40, 80), (60, 30, 50), (50, 300, 600)):
+        for _ in range(20):
+            b = np.unique(rng.integers(0, 1 << 62, m, dtype=np.uint64))
+            a = np.sort(rng.choice(b, n, replace=False))
+            assert len(np.intersect1d(*[jaccard.sketch_keys(x, Fraction(percent, 100)) for x in (a, b)])), (n, m)
+
+
 def test_fingerprints_are_majorities_and_blocks_hold_the_radius(spark):
     rng = random.Random(9)
     hashes = {i: [rng.getrandbits(64) - 2**63 for _ in range(rng.choice([1, 2, 7, 40]))] for i in range(30)}

@@ -66,13 +66,15 @@ def sketch_blocks(elements: np.ndarray, top: int, threshold: Fraction) -> np.nda
 
 
 def sketch_keys(elements: np.ndarray, threshold: Fraction) -> np.ndarray:
-    """Keys in the set's own band and, if a set of the next band can be similar, in that band too."""
+    """Keys in the set's own band and in each further band in which a set can be similar."""
     n = len(elements)
-    tops = band_tops(max(n, 1) * 2)
+    tops = band_tops(max(int(n / threshold), 1) * 2)
     own = next(i for i, top in enumerate(tops) if top >= n)
     keys = [sketch_blocks(elements, tops[own], threshold)]
-    if n >= threshold * (tops[own] + 1):
-        keys.append(sketch_blocks(elements, tops[own + 1], threshold))
+    for below, top in zip(tops[own:], tops[own + 1 :]):
+        if n < threshold * (below + 1):
+            break
+        keys.append(sketch_blocks(elements, top, threshold))
     return np.concatenate(keys)
 
 
