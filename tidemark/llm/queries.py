@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard, lines, ngram_trie, packing, quality, sql, token_counts, token_files, urls, warc
+from tidemark.llm import decontaminate, infill, jaccard, lines, ngram_trie, packing, quality, sql, token_counts, token_files, urls, warc
 from tidemark.llm.common import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -18,6 +18,7 @@ QUERIES: dict = {}
 SQL: dict[str, str] = {
     "op2_ngram_jaccard_join": sql.OP2,
     "op7_quality_rules": sql.OP7,
+    "op12_fill_in_middle": sql.OP12,
 }
 
 
@@ -140,3 +141,19 @@ def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     labelled = pages.withColumn("doc_id", F.when(shown != "", shown.cast("long"))).join(labels, "doc_id")
     model = urls.fit(labelled.select("url", "blocked"))
     return urls.judge(pages, model, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents rearranged for infilling at line ends, and put back together."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    out = infill.restore(infill.fill_in_middle(docs).drop("text"))
+    return out.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
