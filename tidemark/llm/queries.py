@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, infill, jaccard, lines, ngram_trie, packing, quality, sql, token_counts, token_files, urls, warc
+from tidemark.llm import decontaminate, hyperminhash, infill, jaccard, lines, ngram_trie, packing, quality, sql, token_counts, token_files, urls, warc
 from tidemark.llm.common import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -19,6 +19,7 @@ SQL: dict[str, str] = {
     "op2_ngram_jaccard_join": sql.OP2,
     "op7_quality_rules": sql.OP7,
     "op12_fill_in_middle": sql.OP12,
+    "op13_minhash_near_dedup": sql.OP13,
 }
 
 
@@ -157,3 +158,9 @@ def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("output", 256).alias("output_sha256"),
         F.sha2("restored", 256).alias("restored_sha256"),
     )
+
+
+@query
+def op13_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents with a Jaccard similarity of 0.85 or more on five-word shingles; the smallest id of each is kept."""
+    return hyperminhash.near_duplicates(table(spark, folder, "documents"), size=5, threshold=Fraction(85, 100))

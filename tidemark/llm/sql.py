@@ -103,3 +103,10 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form,
        sha256(t) AS restored_sha256
 FROM p
 """
+
+OP13 = (
+    OP2.replace("ws[i:i+2]", "ws[i:i+4]")
+    .replace("greatest(len(ws) - 1, 2)", "greatest(len(ws) - 3, 2)")
+    .replace("90 * (", "85 * (")
+    .replace("AS n_shingles, component_id", "AS n_shingles, component_id, doc_id = component_id AS kept")
+)
