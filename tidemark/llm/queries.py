@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, hyperminhash, infill, jaccard, lines, ngram_trie, packing, quality, sql, token_counts, token_files, urls, warc
+from tidemark.llm import decontaminate, divergence, hyperminhash, infill, jaccard, lines, ngram_trie, packing, quality, sql, token_counts, token_files, urls, warc
 from tidemark.llm.common import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -18,6 +18,7 @@ QUERIES: dict = {}
 SQL: dict[str, str] = {
     "op2_ngram_jaccard_join": sql.OP2,
     "op7_quality_rules": sql.OP7,
+    "op11_source_divergence": sql.OP11,
     "op12_fill_in_middle": sql.OP12,
     "op13_minhash_near_dedup": sql.OP13,
 }
@@ -164,3 +165,9 @@ def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
 def op13_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents with a Jaccard similarity of 0.85 or more on five-word shingles; the smallest id of each is kept."""
     return hyperminhash.near_duplicates(table(spark, folder, "documents"), size=5, threshold=Fraction(85, 100))
+
+
+@query
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """Distances between the sources of a language, and the terms each source uses more than its language."""
+    return divergence.divergence_audit(table(spark, folder, "documents"), least_docs=10, most=10)
