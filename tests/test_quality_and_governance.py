@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
@@ -208,15 +209,41 @@ def test_median_is_the_element_at_half(spark, values):
     assert rows(amount_stats(df, "v")) == [(len(s), s[0], s[len(s) // 2], s[-1])]
 
 
-def test_median_narrows_in_steps(spark, monkeypatch):
+@pytest.mark.parametrize("bins", [1 << 16, 5])
+def test_median_narrows_in_steps(spark, monkeypatch, bins):
     from tidemark.operators import summaries
 
-    monkeypatch.setattr(summaries, "FINAL_ROWS", 10)
+    monkeypatch.setattr(summaries, "BINS", bins)
     df = spark.range(200_000).select(((F.col("id") * 7919) % 200_003).alias("v"))
     want = sorted((i * 7919) % 200_003 for i in range(200_000))[100_000]
     assert amount_stats(df, "v").first().median == want
 
 
+@pytest.mark.parametrize(
+    "kind,values",
+    [
+        ("double", [1e300, -1e300, 0.0, -0.0, 5e-324, -5e-324, 1.5, float("inf"), float("-inf"), 2.5, -7.25]),
+        ("float", [1.5, -2.5, 0.25, 2.0**100, -(2.0**-100)]),
+        ("bigint", [2**63 - 1, -(2**63), 0, 5, -5, 7]),
+        ("decimal(38,4)", [Decimal("9" * 34), Decimal("-" + "9" * 34), Decimal("0.0001"), Decimal("0.0002"), Decimal("-1")]),
+        ("decimal(18,2)", [Decimal("9" * 16 + ".99"), Decimal("-0.01"), Decimal("0.01"), Decimal("5.00")]),
+        ("date", [date(1500, 1, 1), date(2024, 2, 29), date(1969, 12, 31), date(9999, 12, 31)]),
+        ("timestamp_ntz", [datetime(1969, 12, 31, 23, 59, 59, 999999), datetime(2024, 1, 1), datetime(1, 1, 1), datetime(2024, 1, 1, 0, 0, 0, 1)]),
+    ],
+)
+def test_median_of_every_type(spark, monkeypatch, kind, values):
+    from tidemark.operators import summaries
+
+    monkeypatch.setattr(summaries, "BINS", 300)
+    for n in range(1, len(values) + 1):
+        if n not in (1, 2, len(values) - 1, len(values)):
+            continue
+        part = values[:n]
+        df = spark.createDataFrame([(v,) for v in [*part, None]], f"v {kind}")
+        s = sorted(part)
+        assert tuple(amount_stats(df, "v").first()) == (n, s[0], s[n // 2], s[-1])
+
+
 def test_median_of_nothing(spark):
     assert amount_stats(spark.createDataFrame([], "v int"), "v").first().n == 0
 

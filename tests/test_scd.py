@@ -6,6 +6,9 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from tidemark.operators.hotkeys import cut_hot
 from tidemark.operators.scd import END, START, scd1, scd1_merge, scd2, scd2_as_of, scd2_current, scd2_merge
 from tidemark.runtime import materialize
 
@@ -141,6 +144,39 @@ def test_in_order_batches_do_not_need_the_log(spark):
     assert got(merged) == expected_scd2(log)
 
 
+def test_late_events_beside_rows_do_not_need_the_log(spark):
+    """Rows of one event each: late ones that come before, between, extend or join them are spliced in without any log."""
+    rng = random.Random(17)
+    log = [(k, f"t{i % 3}", None, f"n{i}", 10 * i) for k in range(40) for i in range(1, 9)]
+    rng.shuffle(log)
+    dim = materialize(scd2(spark.createDataFrame(log, SCHEMA), ["k"], "at", TRACK), "test-dim")
+    late = [(k, f"t{rng.randrange(3)}", None, f"m{i}", rng.randint(0, 95)) for k in range(40) for i in range(6)]
+    merged = scd2_merge(dim, spark.createDataFrame([], SCHEMA), spark.createDataFrame(late, SCHEMA), ["k"], "at", TRACK)
+    assert got(merged) == expected_scd2(log + late)
+
+
+@pytest.mark.parametrize("bar", [None, 4, 40])
+def test_many_events_of_one_instant(spark, bar):
+    """A large key with few instants: one winner each is left before segments are cut."""
+    rng = random.Random(23)
+    log = [(0, rng.choice("AB"), None, f"n{rng.randrange(10**6)}", rng.randint(1, 3)) for _ in range(600)] + random_events(5)
+    assert got(scd2(spark.createDataFrame(log, SCHEMA), ["k"], "at", TRACK, rows_per_task=bar)) == expected_scd2(log)
+
+
+@pytest.mark.parametrize("bar", [5, 60, 300])
+def test_no_segment_exceeds_the_bar(spark, bar):
+    rng = random.Random(29)
+    rows = [(0 if rng.random() < 0.4 else rng.randint(1, 500), rng.randint(0, 10**6)) for _ in range(12_000)]
+    df = spark.createDataFrame(rows, "k int, at int")
+    cut, segment = cut_hot(df, ["k"], ["at"], bar)
+    sizes = cut.filter(F.col(segment) >= 0).groupBy("k", segment).agg(F.count("*").alias("n"), F.min("at").alias("lo"), F.max("at").alias("hi"))
+    found = sizes.orderBy("k", segment).collect()
+    assert found and max(r.n for r in found) <= bar and sum(r.n for r in found if r.k == 0) == sum(k == 0 for k, _ in rows)
+    assert all(a.hi <= b.lo for a, b in zip(found, found[1:]) if a.k == b.k)
+    left = cut.filter(F.col(segment) < 0).groupBy("k").count().agg(F.max("count")).first()[0]
+    assert (left or 0) <= bar
+
+
 def test_a_batch_applied_twice_changes_nothing(spark, events):
     df = spark.createDataFrame(events, SCHEMA)
     dim = materialize(scd2(df, ["k"], "at", TRACK), "test-dim")

@@ -20,6 +20,8 @@ TIER_LADDER = ("semente", "bronze", "prata", "ouro", "diamante")
 CPF_FORMAT = "^[0-9]{11}$"
 CPF_MASK = "***.***.***-**"
 
+START, END = "__START_AT", "__END_AT"  # the half-open window of a type 2 row
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c

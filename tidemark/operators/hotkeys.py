@@ -1,61 +1,69 @@
 """Ordered work per key when one key may hold a large share of all rows.
 
-A window partitioned by key sends the whole key to one task. ``split_hot`` measures the
-keys with one aggregate; when none is too large, callers run the plain window. Otherwise
-rows of the large keys are range-partitioned by (key, order), each range becomes a segment
-with a stable number, and ``neighbours`` / ``carried`` link adjacent segments through one
-summary row per segment. How that summary is joined is left to the planner, which sees its size.
+A window partitioned by key sends the whole key to one task. ``cut_hot`` draws a thin sample, finds in it the keys that
+one task should not hold alone, and gives their rows a segment number by binary search in sampled bounds. All rows then go
+through one plan and one shuffle, by key and segment; ``neighbours`` and ``carried`` link the segments of a
+key through one summary row each. How these are joined is left to the planner, which sees their size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.runtime import materialize
+from tidemark.runtime import estimated_bytes, materialize
 
 ROWS_PER_TASK = 4_000_000  # rows of one key that one task still sorts comfortably
-MAX_SEGMENTS = 32_768  # bounds the number of large keys, whose list is broadcast, and of segments
+ROW_BYTES = 8  # an input estimated below so much for each of these rows needs no sample: one task could hold all of it
+DRAWN = 32  # rows drawn, on average, of ROWS_PER_TASK
+STEP = 8  # drawn rows between two bounds, so a segment holds a quarter of ROWS_PER_TASK, and more than all of it once in 10**9
 SEGMENT = "_segment"
 
 
-@dataclass(frozen=True)
-class HotSplit:
-    cold: DataFrame
-    hot: DataFrame | None  # carries SEGMENT, materialized
+def _bounds(df: DataFrame, keys: Sequence[str], order: Sequence[str], bar: int) -> DataFrame:
+    """(keys, cuts, steps): the bounds of each key that may have more than ``bar`` rows, a few for each ``bar`` rows of it.
 
+    Of 10**12 rows about 8 million are drawn, which leaves at most a million bounds.
+    """
+    thin = bar > DRAWN
+    rows = df.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.struct(*order).alias("_order"))
+    if thin:
+        rows = rows.filter(F.rand() < DRAWN / bar)
+    hot_keys = [f"_hot_{k}" for k in keys]
+    most, step = (STEP, STEP) if thin else (bar, max(1, bar // 4))
+    counted = rows.withColumns(
+        {
+            "_n": F.count(F.lit(1)).over(Window.partitionBy(*hot_keys)),
+            "_i": F.row_number().over(Window.partitionBy(*hot_keys).orderBy("_order")),
+        }
+    )
+    cuts = counted.filter((F.col("_n") > most) & (F.col("_i") % step == 0))
+    cuts = cuts.groupBy(*hot_keys).agg(F.sort_array(F.collect_set("_order")).alias("_cuts"))
+    depth = F.floor(F.log2(F.size("_cuts"))).cast("int")
+    powers = F.transform(F.sequence(depth, F.lit(0), F.lit(-1)), lambda i: F.pow(F.lit(2), i).cast("int"))
+    return materialize(cuts.withColumn("_steps", powers), "bounds")
 
-def split_hot(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_task: int | None = None
-) -> HotSplit:
-    """Separate the rows of keys with more than ``rows_per_task`` rows and cut them into segments.
 
-    At most MAX_SEGMENTS keys qualify, since the bar rises with the total, so their list
-    is small enough to broadcast whatever the data holds.
-    """
+def cut_hot(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_task: int | None = None
+) -> tuple[DataFrame, str | None]:
+    """``df`` with a segment number for each row of a large key, -1 for others; without large keys ``df`` as it is and None."""
     bar = rows_per_task or ROWS_PER_TASK
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    seen = sizes.agg(F.sum("_n").alias("total"), F.max("_n").alias("largest")).first()
-    if not seen.total or seen.largest <= bar:
-        return HotSplit(df, None)
-    bar = max(bar, -(-seen.total // MAX_SEGMENTS))
-    large = materialize(sizes.filter(F.col("_n") > bar), "hot-keys")
-    hot_rows = large.agg(F.sum("_n")).first()[0]
-    if not hot_rows:
-        return HotSplit(df, None)
-
-    large = F.broadcast(large.select(*[F.col(k).alias(f"_hot_{k}") for k in keys]))
-    same = _same(keys, "_hot_")
-    cold = df.join(large, same, "left_anti")
-    hot = (
-        df.join(large, same, "left_semi")
-        .repartitionByRange(int(-(-hot_rows // bar)), *keys, *order)
-        .withColumn(SEGMENT, F.spark_partition_id())
-    )
-    return HotSplit(cold, materialize(hot, "hot-rows"))
+    if estimated_bytes(df) < bar * ROW_BYTES:
+        return df, None
+    bounds = _bounds(df, keys, order, bar)
+    if bounds.isEmpty():
+        return df, None
+    at = F.struct(*order)
+
+    def deeper(low: Column, step: Column) -> Column:
+        return F.when(F.get("_cuts", low + step - 1) <= at, low + step).otherwise(low)
+
+    place = F.when(F.col("_cuts").isNull(), -1).otherwise(F.aggregate("_steps", F.lit(0), deeper))
+    marked = df.join(F.broadcast(bounds), _same(keys, "_hot_"), "left").withColumn(SEGMENT, place)
+    return marked.drop("_cuts", "_steps", *[f"_hot_{k}" for k in keys]), SEGMENT
 
 
 def _same(keys: Sequence[str], prefix: str) -> Column:
@@ -71,11 +79,17 @@ def by_heat(
     order: Sequence[str],
     plan: Callable[[DataFrame, str | None], DataFrame],
     rows_per_task: int | None = None,
+    collapse: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Run ``plan(rows, segment_column)`` on ordinary keys, and on large keys in segments."""
-    parts = split_hot(df, keys, order, rows_per_task)
-    done = plan(parts.cold, None)
-    return done if parts.hot is None else done.unionByName(plan(parts.hot, SEGMENT))
+    """``plan(rows, segment_column)`` over all rows, with large keys in segments; without any the segment is None.
+
+    ``collapse`` may reduce the rows beforehand where there are segments, for an order that cannot tell all rows of a key apart.
+    """
+    rows, segment = cut_hot(df, keys, order, rows_per_task)
+    if segment is None:
+        return plan(rows, None)
+    rows = collapse(rows) if collapse else rows
+    return plan(rows.repartition(*keys, segment), segment)  # the summaries read this shuffle again
 
 
 def neighbours(
@@ -102,7 +116,8 @@ def neighbours(
     at = F.struct(*order)
     across = Window.partitionBy(*keys).orderBy(segment)
     edges = (
-        rows.groupBy(*part)
+        rows.filter(F.col(segment) >= 0)
+        .groupBy(*part)
         .agg(F.min_by("_value", at).alias("_first"), F.max_by("_value", at).alias("_last"))
         .select(
             *[F.col(k).alias(f"_edge_{k}") for k in part],
@@ -131,7 +146,8 @@ def carried(
     earlier = Window.partitionBy(*keys).orderBy(segment).rowsBetween(Window.unboundedPreceding, -1)
     at = F.when(F.col(value).isNotNull(), F.struct(*order))
     edges = (
-        df.groupBy(*part)
+        df.filter(F.col(segment) >= 0)
+        .groupBy(*part)
         .agg(F.max_by(value, at).alias("_last"))
         .select(
             *[F.col(k).alias(f"_edge_{k}") for k in part],

@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.expressions import END, START
 from tidemark.operators.hotkeys import by_heat, carried
-from tidemark.operators.scd import END, START, scd2_current
+
+
 
 def join_current(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Each fact with the open row of its key. The planner picks the strategy from sizes."""
-    return fact.join(scd2_current(dim), key)
+    return fact.join(dim.filter(F.col(END).isNull()), key)
 
 
 def not_in(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -60,7 +62,7 @@ def mark_granted(
 def as_of_join(
     fact: DataFrame,
     dim: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     ts: str,
     start: str = START,
     end: str = END,
@@ -72,31 +74,34 @@ def as_of_join(
     not ended: linear in both, however many versions a key has. So where windows overlap, the one that starts last counts. Keys
     with more than ``rows_per_task`` rows are cut into segments, also between facts of one instant.
     """
-    shared = [c for c in dim.columns if c in fact.columns and c != key]
+    keys = [key] if isinstance(key, str) else list(key)
+    shared = [c for c in dim.columns if c in fact.columns and c not in keys]
     if shared:
         raise ValueError(f"columns on both sides: {shared}")
-    extra = [c for c in dim.columns if c != key]
+    extra = [c for c in dim.columns if c not in keys]
     # A version sorts before a fact of the same instant: start is inclusive.
-    own = [c for c in fact.columns if c != key]
+    own = [c for c in fact.columns if c not in keys]
     facts = fact.select(
-        key, F.col(ts).alias("_at"), F.lit(1).alias("_side"), F.xxhash64(*own).alias("_spread"), F.struct(*own).alias("_fact")
+        *keys, F.col(ts).alias("_at"), F.lit(1).alias("_side"), F.xxhash64(*own).alias("_spread"), F.struct(*own).alias("_fact")
     )
     versions = dim.select(
-        key, F.col(start).alias("_at"), F.lit(0).alias("_side"), F.xxhash64(*extra).alias("_spread"), F.struct(*extra).alias("_version")
+        *keys, F.col(start).alias("_at"), F.lit(0).alias("_side"), F.xxhash64(*extra).alias("_spread"), F.struct(*extra).alias("_version")
     )
-    both = versions.unionByName(facts, allowMissingColumns=True).filter(F.col(key).isNotNull())
+    both = versions.unionByName(facts, allowMissingColumns=True)
+    for k in keys:
+        both = both.filter(F.col(k).isNotNull())
 
     order = ["_at", "_side", "_spread"]  # the last cuts many facts of one instant apart
 
     def plan(rows: DataFrame, segment: str | None) -> DataFrame:
         return (
-            carried(rows, [key], order, "_version", segment, "_state")
+            carried(rows, keys, order, "_version", segment, "_state")
             .filter("_side = 1 AND _state IS NOT NULL")
             .select(
-                *[F.col(key) if c == key else F.col("_fact").getField(c).alias(c) for c in fact.columns],
+                *[F.col(c) if c in keys else F.col("_fact").getField(c).alias(c) for c in fact.columns],
                 *[F.col("_state").getField(c).alias(c) for c in extra],
             )
             .filter(F.col(end).isNull() | (F.col(ts) < F.col(end)))
         )
 
-    return by_heat(both, [key], order, plan, rows_per_task)
+    return by_heat(both, keys, order, plan, rows_per_task)

@@ -8,13 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.expressions import required
-from tidemark.operators.hotkeys import by_heat, neighbours
+from tidemark.functions.expressions import END, START, required
+from tidemark.operators.hotkeys import SEGMENT, by_heat, neighbours
+from tidemark.operators.joins import as_of_join
 from tidemark.operators.merge import widen
 from tidemark.runtime import materialize
 
-START, END = "__START_AT", "__END_AT"
-
 
 def scd1(events: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame:
     """The last row per key. Ties go to the greatest remaining columns, so arrival order is moot.
@@ -130,15 +129,13 @@ def _runs(
             F.col("_closing._end").alias(END),
         )
 
-    return by_heat(placed, keys, ["_at"], plan, rows_per_task)
-
+    def winners(rows: DataFrame) -> DataFrame:
+        """One event for each key and instant, reduced before the shuffle: segments are cut between instants only."""
+        by = [*keys, SEGMENT, "_at"]
+        won = rows.groupBy(*by).agg(F.max(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("_won"))
+        return won.select(*[F.col(c) for c in by], *[F.col("_won").getField(c).alias(c) for c in rest])
 
-def scd2_affected(dim: DataFrame, low: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows of ``dim`` that a batch whose first sequence per key is ``_low`` may change.
-
-    A row that ended before a key's first new event keeps its start, its end and its values.
-    """
-    return dim.join(low, list(keys)).filter(F.col(END).isNull() | (F.col(END) >= F.col("_low")))
+    return by_heat(placed, keys, ["_at"], plan, rows_per_task, winners)
 
 
 def scd2_merge(
@@ -171,56 +168,134 @@ def scd2_delta(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of ``dim`` that stay, and the rows that replace the others.
 
-    Keys whose batch lies after all they have seen need no log: their open row stands in
-    for its whole run, placed at the run's start. Keys with late events reread the log from
-    the start of the first affected run. The work grows with how late a batch is, not with
-    the length of a key's history.
+    Rows that ended before a key's first new event stay. Of the others each stands in for its events: one at its start and
+    its last one. That is enough wherever a new event falls, except within a row and with other tracked values, where the row
+    splits; only the events of such rows are read from the log. So neither rows that an event extends, joins or follows
+    nor a late event between two rows need the log. With ``delete_when`` keys with late events reread it from the first row affected,
+    since rows do not tell when a key was deleted again.
     """
-    on = list(keys)
-    dim, log = widen(dim, batch), widen(log, batch)  # a column added upstream is NULL in what came before
-    columns = [c for c in dim.columns if c not in (START, END)]
+    dim = widen(dim, batch)  # a column added upstream is NULL in what came before
+    tagged = _tagged(dim, batch, keys, sequence)
+    affected = materialize(tagged.filter("_hit").drop("_hit"), "affected")
+    rebuilt = _rebuilt(affected, log, batch, keys, sequence, track, delete_when, rows_per_task)
+    return tagged.filter("NOT _hit").drop("_hit"), rebuilt
+
+
+def scd2_changes(
+    dim: DataFrame,
+    log: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    sequence: str,
+    track: Sequence[str],
+    delete_when: str | None = None,
+    rows_per_task: int | None = None,
+) -> DataFrame:
+    """What a batch changes in ``dim``: (was, now), structs of its columns, one of them NULL where a row comes or goes."""
+    dim = widen(dim, batch)
+    affected = materialize(_tagged(dim, batch, keys, sequence).filter("_hit").drop("_hit"), "affected")
+    rebuilt = _rebuilt(affected, log, batch, keys, sequence, track, delete_when, rows_per_task)
+    return row_changes(affected, rebuilt, [*keys, START])
+
+
+def row_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(was, now): the rows that differ between two frames with the columns of ``new``, each with one row for a key."""
+
+    def side(df: DataFrame, name: str, mark: str) -> DataFrame:
+        row = F.struct(*[F.col(f"`{c}`") for c in new.columns]).alias(name)
+        return df.select(*[F.col(f"`{k}`").alias(f"{mark}{i}") for i, k in enumerate(keys)], row)
+
+    same = [F.col(f"_a{i}").eqNullSafe(F.col(f"_b{i}")) for i in range(len(keys))]
+    both = side(old, "was", "_a").join(side(new, "now", "_b"), same, "full_outer").select("was", "now")
+    return both.filter(~F.col("was").eqNullSafe(F.col("now")))
+
+
+def _tagged(dim: DataFrame, batch: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame:
+    """``dim`` with ``_hit``: the row is open or ended no earlier than the batch's first event of its key."""
+    low = batch.groupBy(*keys).agg(F.min(sequence).alias("_low"))
+    stays = F.col("_low").isNull() | F.coalesce(F.col(END) < F.col("_low"), F.lit(False))
+    return dim.join(low, list(keys), "left").withColumn("_hit", ~stays).drop("_low").select(*dim.columns, "_hit")
+
+
+def _rebuilt(
+    affected: DataFrame,
+    log: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    sequence: str,
+    track: Sequence[str],
+    delete_when: str | None,
+    rows_per_task: int | None,
+) -> DataFrame:
+    """The rows that take the place of the affected ones."""
+    log = widen(log, batch)
+    columns = [c for c in affected.columns if c not in (START, END)]
     seq_type = batch.schema[sequence].dataType
+
+    def place(df: DataFrame, at: str) -> DataFrame:
+        return df.select(*columns, required(at, seq_type, sequence).alias("_at"))
+
+    if delete_when is not None:
+        placed = materialize(_reread(affected, log, batch, keys, sequence, place), "placed")
+        return _runs(placed, columns, keys, track, delete_when, rows_per_task)
+
+    placed, whole = place(batch, sequence), affected
+    split = _split_rows(affected, batch, keys, sequence, track, rows_per_task)
+    reach = split.agg(F.min("_from"), F.max("_upto")).first()
+    if reach[0] is not None:
+        # how far the split rows reach is pushed to the scan of the log
+        since, upto = (F.lit(v).cast(seq_type) for v in reach)
+        near = log.filter((F.col(sequence) >= since) & (F.col(sequence) <= upto))
+        near = near.join(split.select(*keys).distinct(), list(keys), "left_semi")
+        spans = split.withColumn("_never", F.lit(None).cast(seq_type))
+        inner = as_of_join(near, spans, keys, sequence, "_from", "_never", rows_per_task)
+        placed = placed.unionByName(place(inner.filter(F.col(sequence) <= F.col("_upto")), sequence))
+        mine = [affected[k].eqNullSafe(split[k]) for k in keys]
+        whole = affected.join(split, [*mine, affected[START] == split["_from"]], "left_anti")
+    last = whole.filter(F.col(sequence) > F.col(START))
+    placed = placed.unionByName(place(whole, START)).unionByName(place(last, sequence))
+    return _runs(placed, columns, keys, track, delete_when, rows_per_task)
+
+
+def _split_rows(
+    affected: DataFrame, batch: DataFrame, keys: Sequence[str], sequence: str, track: Sequence[str], rows_per_task: int | None
+) -> DataFrame:
+    """(keys, _from, _upto): rows of several events, with the time of the last, into which an event with other tracked values falls."""
+    events = batch.select(*keys, F.col(sequence).alias("_new"), F.struct(*track).alias("_as"))
+    spans = affected.select(
+        *keys, F.col(START).alias("_from"), F.col(END).alias("_until"), F.col(sequence).alias("_upto"), F.struct(*track).alias("_is")
+    )
+    met = as_of_join(events, spans, keys, "_new", "_from", "_until", rows_per_task)
+    inside = (F.col("_from") < F.col("_upto")) & (F.col("_new") <= F.col("_upto")) & ~F.col("_as").eqNullSafe(F.col("_is"))
+    return materialize(met.filter(inside).select(*keys, "_from", "_upto").distinct(), "split")
+
+
+def _reread(affected: DataFrame, log: DataFrame, batch: DataFrame, keys: Sequence[str], sequence: str, place) -> DataFrame:
+    """Events from which the rows of the batch's keys follow: the open row and the batch, or the log for keys with late events."""
+    on = list(keys)
     low = batch.groupBy(*on).agg(F.min(sequence).alias("_low"))
-    anchors = (
-        scd2_affected(dim, low, keys)
-        .groupBy(*on)
-        .agg(
-            F.min(START).alias("_first"),
-            F.max(sequence).alias("_seen"),
-            F.bool_or(F.col(END).isNull()).alias("_open"),
-        )
+    anchors = affected.groupBy(*on).agg(
+        F.min(START).alias("_first"),
+        F.max(sequence).alias("_seen"),
+        F.bool_or(F.col(END).isNull()).alias("_open"),
     )
-    # Without deletes a key absent from the affected rows is new: only its batch matters.
-    new_key = F.lit(delete_when is None) & F.col("_first").isNull()
-    in_order = F.coalesce(F.col("_open") & (F.col("_seen") < F.col("_low")), F.lit(False)) | new_key
     reach = low.join(anchors, on, "left").select(
         *on,
-        "_low",
-        in_order.alias("_in_order"),
+        F.coalesce(F.col("_open") & (F.col("_seen") < F.col("_low")), F.lit(False)).alias("_in_order"),
         F.least(F.coalesce("_first", "_low"), F.col("_low")).alias("_from"),
     )
-    # One row per key of the batch, used several times below.
-    reach = materialize(reach, "reach")
-
-    tagged = dim.join(reach.select(*on, "_low"), on, "left")
-    stays = F.col("_low").isNull() | F.coalesce(F.col(END) < F.col("_low"), F.lit(False))
-    kept = tagged.filter(stays).drop("_low")
-
-    def place(df: DataFrame, at: str) -> DataFrame:
-        return df.select(*columns, required(at, seq_type, sequence).alias("_at"))
-
+    reach = materialize(reach, "reach")  # one row per key of the batch
     forward = reach.filter("_in_order").select(*on)
-    placed = place(dim.filter(F.col(END).isNull()).join(forward, on, "left_semi"), START).unionByName(
+    placed = place(affected.filter(F.col(END).isNull()).join(forward, on, "left_semi"), START).unionByName(
         place(batch.join(forward, on, "left_semi"), sequence)
     )
     late = reach.filter(~F.col("_in_order")).select(*on, "_from")
     since = late.agg(F.min("_from")).first()[0]
-    if since is not None:
-        # The earliest point of any late key reaches the scan of the log as a pushed filter.
-        recent = log.filter(F.col(sequence) >= F.lit(since).cast(seq_type))
-        reread = recent.join(late, on).filter(F.col(sequence) >= F.col("_from"))
-        placed = placed.unionByName(place(reread, sequence))
-    return kept, _runs(materialize(placed, "placed"), columns, keys, track, delete_when, rows_per_task)
+    if since is None:
+        return placed
+    # The earliest point of any late key reaches the scan of the log as a pushed filter.
+    recent = log.filter(F.col(sequence) >= F.lit(since))
+    return placed.unionByName(place(recent.join(late, on).filter(F.col(sequence) >= F.col("_from")), sequence))
 
 
 def scd2_current(dim: DataFrame) -> DataFrame:

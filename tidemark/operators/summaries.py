@@ -6,10 +6,9 @@ from collections.abc import Mapping, Sequence
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from tidemark.runtime import materialize
+from pyspark.sql import types as T
 
 
 def value_counts(df: DataFrame, *cols: str) -> DataFrame:
@@ -64,31 +63,62 @@ def shares_vs_target(df: DataFrame, col: str, target: Mapping[str, float], tol:
     return counted.select(F.inline(F.array(*rows, row(None, F.col("_other"), 0))))
 
 
-def amount_stats(df: DataFrame, col: str) -> DataFrame:
-    """Count, min, max and the element at index n // 2 of the sorted values, all exact.
+BINS = 1 << 16  # counts that a task of a selection step may hand on, and that reach the driver
+
+
+def ordered_code(value: Column, kind: T.DataType) -> Column:
+    """A whole number that orders like the value: whole numbers, decimals, dates, times, float and double."""
+    if isinstance(kind, T.DecimalType):
+        if kind.precision <= 18:
+            return (value.cast(f"decimal(38,{kind.scale})") * F.lit(10**kind.scale)).cast("long")
+        return F.replace(value.cast("string"), F.lit("."), F.lit("")).cast("decimal(38,0)")  # all its digits
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return value.cast("long")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value).cast("long")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(value.cast("timestamp"))
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        # the bits of a double, turned round for negative ones; adding 0.0 makes -0.0 equal to 0.0
+        bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value.cast("double") + F.lit(0.0))
+        bits = bits.cast("long")
+        return F.when(bits < 0, F.bitwise_not(bits) - F.lit((1 << 63) - 1) - F.lit(1)).otherwise(bits)
+    raise ValueError(f"no order-preserving code for {kind.simpleString()}")
+
+
+def nth_value(values: DataFrame, rank: int, lowest: int, highest: int):
+    """The value at ``rank`` (from 0) among the rows (v, code), exact; all codes lie between the two given.
 
-    The distinct values with their counts are range-partitioned and written; the totals of the ranges, one row each,
-    tell which one holds the wanted rank, and only that range is ranked value by value.
+    Digit selection: counts by BINS equal parts of the codes' range tell which part holds the rank, and only that part is
+    counted again, in finer ones: four times at most for 64 bits. Tasks count before anything is shuffled, so
+    neither values nor samples of them move.
     """
-    values = df.select(F.col(col).alias("v")).filter("v IS NOT NULL")
-    tally = values.groupBy("v").agg(F.count(F.lit(1)).alias("n")).repartitionByRange("v")
-    tally = materialize(tally.withColumn("part", F.spark_partition_id()), "tally")
-    ranges = tally.groupBy("part").agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    total, low, high, wanted, before = 0, None, None, -1, 0
-    ranges = sorted(ranges.collect(), key=lambda r: r.part)
-    for r in ranges:
-        low, high, total = r.lo if low is None else low, r.hi, total + r.n
-    reached = 0
-    for r in ranges:
-        if reached <= total // 2 < reached + r.n:
-            wanted, before = r.part, reached
-        reached += r.n
-    upto = F.sum("n").over(Window.partitionBy("part").orderBy("v")) + F.lit(before)
-    inside = tally.filter(F.col("part") == wanted).withColumn("upto", upto)
+    found = None
+    while found is None or lowest < highest:
+        wide = highest - lowest >= 1 << 63 or values.schema["code"].dataType != T.LongType()
+        kind = "DECIMAL(38,0)" if wide else "BIGINT"
+        low, high = (f"CAST('{x}' AS {kind})" for x in (lowest, highest))
+        step = max(1, -(-(highest - lowest + 1) // BINS))
+        inside = values.filter(f"CAST(code AS {kind}) BETWEEN {low} AND {high}")
+        part = F.expr(f"(CAST(code AS {kind}) - {low}) DIV CAST('{step}' AS {kind})")
+        if lowest < 0 <= highest and highest - lowest >= 10**38:  # beyond what a decimal holds: the sign first
+            part = F.when(F.col("code") < 0, 0).otherwise(1)
+        bins = inside.groupBy(part.alias("bin")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("code").alias("lo"), F.max("code").alias("hi"), F.min("v").alias("v")
+        )
+        for r in sorted(bins.collect(), key=lambda r: r.bin):
+            if rank < r.n:
+                lowest, highest, found = int(r.lo), int(r.hi), r.v
+                break
+            rank -= r.n
+    return found
+
+
+def amount_stats(df: DataFrame, col: str) -> DataFrame:
+    """Count, min, max and the element at index n // 2 of the sorted non-null values, all exact."""
     kind = df.schema[col].dataType
-    return inside.filter(F.col("upto") > total // 2).agg(F.min("v").alias("median")).select(
-        F.lit(total).cast("bigint").alias("n"),
-        F.lit(low).cast(kind).alias("lowest"),
-        F.col("median").cast(kind).alias("median"),
-        F.lit(high).cast(kind).alias("highest"),
-    )
+    values = df.select(F.col(f"`{col}`").alias("v")).filter("v IS NOT NULL").withColumn("code", ordered_code(F.col("v"), kind))
+    all_ = values.agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.min("code"), F.max("code")).first()
+    median = nth_value(values, all_.n // 2, int(all_[3]), int(all_[4])) if all_.n else None
+    schema = T.StructType([T.StructField("n", T.LongType()), *[T.StructField(c, kind) for c in ("lowest", "median", "highest")]])
+    return values.sparkSession.createDataFrame([(all_.n, all_.lo, median, all_.hi)], schema)

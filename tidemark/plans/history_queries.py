@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import money
 from tidemark.operators.changes import CHANGED, VERSION, apply_changes, read_changes, snapshot_diff
-from tidemark.operators.hotkeys import ROWS_PER_TASK
 from tidemark.operators.joins import join_current
 from tidemark.operators.scd import (
     END,
@@ -33,7 +32,7 @@ from tidemark.plans.reports import (
 
 # Rates for event kinds standing in for tiers; "error" is left out, so its rate is NULL.
 EVENT_RATES = {"signup": "0.0200", "view": "0.0300", "click": "0.0500"}
-SKEW_PARTS = 16  # the skewed key is cut where it exceeds one sixteenth of all rows
+SKEW_BAR = 2_000  # rows beyond which a key is cut, so that the skewed one is on small tables too
 
 
 def tier_changes(events: DataFrame) -> DataFrame:
@@ -109,7 +108,8 @@ def _(t: Tables) -> DataFrame:
 
 @query("asof_commission_merge", COMMISSION, decimals=["amount", "comissao_devida"])
 def _(t: Tables) -> DataFrame:
-    return commission_of(t, purchases_of(t), dim_of(t))
+    """The same from a stored dimension, with a sample drawn for large keys."""
+    return commission_of(t, purchases_of(t), t.keep(dim_of(t), "dim"), rows_per_task=SKEW_BAR)
 
 
 def skewed_events(t: Tables) -> DataFrame:
@@ -118,10 +118,6 @@ def skewed_events(t: Tables) -> DataFrame:
     return t.events.withColumn("user_id", one.cast("bigint"))
 
 
-def skew_bar(t: Tables) -> int:
-    return max(1, min(ROWS_PER_TASK, t.events.count() // SKEW_PARTS))
-
-
 def skewed_sql(sql: str) -> str:
     one = "CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END"
     skewed = f"skewed AS (SELECT * REPLACE ({one} AS user_id) FROM events),\nlog AS ("
@@ -131,7 +127,7 @@ def skewed_sql(sql: str) -> str:
 @query("asof_skewed", skewed_sql(COMMISSION), decimals=["amount", "comissao_devida"])
 def _(t: Tables) -> DataFrame:
     """Both the dimension and the join cut the large key into segments."""
-    events, bar = skewed_events(t), skew_bar(t)
+    events, bar = skewed_events(t), SKEW_BAR
     dim = scd2(tier_changes(events), ["user_id"], "ts", ["tier"], rows_per_task=bar)
     dim = t.keep(dim, "dim")
     return commission_of(t, purchases(events), dim, rows_per_task=bar)
@@ -146,7 +142,7 @@ SAME_DAY = skewed_sql(COMMISSION).replace(
 @query("asof_same_day", SAME_DAY, decimals=["amount", "comissao_devida"])
 def _(t: Tables) -> DataFrame:
     """Orders of a large key that fall on a few instants only."""
-    events, bar = skewed_events(t), skew_bar(t)
+    events, bar = skewed_events(t), SKEW_BAR
     dim = t.keep(scd2(tier_changes(events), ["user_id"], "ts", ["tier"], rows_per_task=bar), "dim")
     fact = purchases(events).withColumn("ts", F.date_trunc("day", "ts").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY"))
     return commission_of(t, fact, dim, rows_per_task=bar)
@@ -160,7 +156,35 @@ def _(t: Tables) -> DataFrame:
 @query("scd2_skewed", skewed_sql(DIM_SQL), decimals=["amount"])
 def _(t: Tables) -> DataFrame:
     log = tier_changes(skewed_events(t))
-    return plain_windows(scd2(log, ["user_id"], "ts", ["tier"], rows_per_task=skew_bar(t)))
+    return plain_windows(scd2(log, ["user_id"], "ts", ["tier"], rows_per_task=SKEW_BAR))
+
+
+SAME_INSTANT = """WITH ev AS (
+  SELECT CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user_id, event_type AS tier, event_id,
+         CAST(value AS DECIMAL(18,2)) AS amount, date_trunc('day', ts) AS at
+  FROM events WHERE event_type <> 'purchase'),
+won AS (
+  SELECT * FROM ev
+  QUALIFY row_number() OVER (PARTITION BY user_id, at ORDER BY tier DESC, event_id DESC, amount DESC) = 1),
+marked AS (
+  SELECT *, CASE WHEN lag(tier) OVER (PARTITION BY user_id ORDER BY at) IS DISTINCT FROM tier THEN 1 ELSE 0 END AS opens FROM won),
+runs AS (
+  SELECT user_id, tier, event_id, amount, at, sum(opens) OVER (PARTITION BY user_id ORDER BY at) AS run FROM marked),
+rows AS (
+  SELECT user_id, run, arg_max(tier, at) AS tier, arg_max(event_id, at) AS event_id, arg_max(amount, at) AS amount,
+         max(at) AS at, min(at) AS start_at
+  FROM runs GROUP BY user_id, run)
+SELECT user_id, tier, event_id, amount, CAST(at AS TIMESTAMP) AS at, CAST(start_at AS TIMESTAMP) AS start_at,
+       CAST(lead(start_at) OVER (PARTITION BY user_id ORDER BY start_at) AS TIMESTAMP) AS end_at
+FROM rows"""
+
+
+@query("scd2_same_instant", SAME_INSTANT, decimals=["amount"])
+def _(t: Tables) -> DataFrame:
+    """Events by day, so that a key with a third of all rows has few instants, each with very many events."""
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    log = tier_changes(skewed_events(t)).select("user_id", "tier", "event_id", "amount", day.alias("at"))
+    return plain_windows(scd2(log, ["user_id"], "at", ["tier"], rows_per_task=SKEW_BAR))
 
 
 @query("scd2_incremental", DIM_SQL, decimals=["amount"])

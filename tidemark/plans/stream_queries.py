@@ -23,12 +23,14 @@ from tidemark.plans.registry import Tables, query
 from tidemark.plans.table_queries import MERGE, source_orders, target_orders, typed_orders
 from tidemark.runtime import Files
 from tidemark.sources.files import ingest_files, read_widened, stream_table, write_chunked
-from tidemark.sources.tables import KeyedTable, ensure_table, replace_partitions, truncate
+from tidemark.sources.runs import GROUP, NEWEST, RunTable
+from tidemark.sources.tables import ensure_table, replace_partitions, truncate
 from tidemark.streaming.flows import (
     append_flow,
     merge_sink,
     refresh,
-    scd2_table,
+    scd1_runs,
+    scd2_runs,
     stream_expect,
     stream_scd,
 )
@@ -181,7 +183,7 @@ def _(t: Tables) -> DataFrame:
     root = t.scratch("scd1")
     lines = lines_of(t)
     part = F.pmod(F.xxhash64("l_partkey", "l_suppkey"), F.lit(2))
-    table = KeyedTable(t.spark, f"{root}/fact", LINE_KEY, BUCKETS)
+    table = scd1_runs(t.spark, f"{root}/fact", LINE_KEY, "l_shipdate")
     for step in (1, 0):
         drop(lines.filter(part == step), f"{root}/src")
         stream_scd(stream_table(t.spark, f"{root}/src", lines.schema), table, 1, "l_shipdate", f"{root}/checkpoint")
@@ -194,7 +196,7 @@ def _(t: Tables) -> DataFrame:
     root = t.scratch("scd2")
     log = changes_of(t)
     part = F.pmod(F.xxhash64("event_id"), F.lit(3))
-    table = scd2_table(t.spark, f"{root}/dim", ["user_id"], BUCKETS)
+    table = scd2_runs(t.spark, f"{root}/dim", ["user_id"])
     for steps in ((0, 2), (1,)):
         drop(log.filter(part.isin(*steps)), f"{root}/src")
         stream_scd(
@@ -233,7 +235,7 @@ def _(t: Tables) -> DataFrame:
 
 def _merged(t: Tables, strategy: str, batches: list[DataFrame], keys: list[str]) -> DataFrame:
     root = t.scratch("merge")
-    table = KeyedTable(t.spark, f"{root}/target", keys, BUCKETS)
+    table = RunTable(t.spark, f"{root}/target", keys, GROUP if strategy == "delete_insert" else NEWEST)
     for batch in batches:
         drop(batch, f"{root}/src")
         stream = stream_table(t.spark, f"{root}/src", batch.schema)

@@ -83,6 +83,11 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The planner's estimate of a result's size, from file sizes; it may be far too large, as behind a join."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 class Files:
     """The few file-system calls that a staged, all-or-nothing publish needs."""
 
@@ -117,6 +122,11 @@ class Files:
             names.append(found.next().getPath().toString())
         return sorted(names)
 
+    def size(self, path: str) -> int:
+        """Bytes of all files below ``path``."""
+        fs, p = self._open(path)
+        return fs.getContentSummary(p).getLength()
+
     def set_modified(self, path: str, milliseconds: int) -> None:
         fs, p = self._open(path)
         fs.setTimes(p, milliseconds, -1)
