@@ -346,7 +346,7 @@ def test_refresh_incremental_and_full(spark, root):
 
 def test_pipeline_end_to_end(spark, root):
     n = 3000
-    sales = DirectSales(spark, f"{root}/tables", buckets=2, today=TODAY)
+    sales = DirectSales(spark, f"{root}/tables", today=TODAY)
     write_chunked(G.generate_orders(spark, n, today=TODAY).coalesce(1), f"{root}/landing", 1000)
     counts = sales.run_orders(f"{root}/landing")
     assert sum(c["valor_positivo"] for c in counts) == 5 and sum(c["data_passada"] for c in counts) == 3

@@ -9,11 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import CPF_MASK
 from tidemark.operators.joins import granted_values, mark_granted, semi_granted
+from tidemark.sources.runs import GONE, NEWEST, RunTable
 
 GRANT_SCHEMA = "email string, regiao string, cpf string"
 
@@ -161,3 +162,82 @@ def user_like(user, pattern: str) -> Column:
 def session_user() -> Column:
     return F.current_user()
 
+
+
+class GrantTable:
+    """Grants as a stored table that is changed while others read it; later entries win over earlier ones."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str = GRANT_SCHEMA):
+        self.spark, self.empty = spark, spark.createDataFrame([], schema)
+        self.log = RunTable(spark, path, self.empty.columns, NEWEST)
+
+    def _rows(self, rows: DataFrame | Sequence[tuple]) -> DataFrame:
+        if not isinstance(rows, DataFrame):
+            rows = self.spark.createDataFrame(list(rows), self.empty.schema)
+        return rows.select(*self.empty.columns).distinct()
+
+    def grant(self, rows: DataFrame | Sequence[tuple]) -> None:
+        """Add grants; those already there stay once."""
+        self.log.commit(self._rows(rows))
+
+    def revoke(self, rows: DataFrame | Sequence[tuple]) -> None:
+        """Withdraw grants; whoever reads from now on does without them."""
+        self.log.commit(self._rows(rows).withColumn(GONE, F.lit(True)))
+
+    def reset(self, baseline: DataFrame | Sequence[tuple]) -> None:
+        """Leave the baseline and no other grant."""
+        self.log.commit(self._rows(baseline), replace=True)
+
+    def read(self) -> DataFrame:
+        return self.log.read(self.empty.schema)
+
+
+FILTER, MASK = "filter", "mask"
+POLICY_SCHEMA = "table string, kind string, column string, by string, grant_column string, shown string"
+
+
+class PolicyTable:
+    """Policies as rows beside the tables they govern, compiled into filters and masks when a table is read."""
+
+    def __init__(self, spark: SparkSession, path: str, grants: GrantTable):
+        self.spark, self.grants = spark, grants
+        self.rows = RunTable(spark, path, ["table", "kind", "column"], NEWEST)
+
+    def _put(self, row: tuple, gone: bool = False) -> "PolicyTable":
+        df = self.spark.createDataFrame([row], POLICY_SCHEMA)
+        self.rows.commit(df.withColumn(GONE, F.lit(gone)))
+        return self
+
+    def set_filter(self, table: str, on: str, grant_column: str | None = None) -> "PolicyTable":
+        return self._put((table, FILTER, on, on, grant_column or on, None))
+
+    def drop_filter(self, table: str, on: str) -> "PolicyTable":
+        return self._put((table, FILTER, on, None, None, None), True)
+
+    def set_mask(
+        self, table: str, column: str, by: str | None = None, grant_column: str | None = None, shown: str | None = CPF_MASK
+    ) -> "PolicyTable":
+        """``shown`` stands in for values that the reader may not see, cast to the column's type; None for NULL."""
+        return self._put((table, MASK, column, by or column, grant_column or by or column, shown))
+
+    def drop_mask(self, table: str, column: str) -> "PolicyTable":
+        return self._put((table, MASK, column, None, None, None), True)
+
+    def read(self, table: str, df: DataFrame, user: str | Column | None = None) -> DataFrame:
+        """The rows and values of ``df`` that a user, by default the session's own, may see. Every filter of the table must let a row pass."""
+        user = session_user() if user is None else user
+        held = self.rows.read(self.spark.createDataFrame([], POLICY_SCHEMA).schema)
+        policies = held.filter(F.col("table") == table).orderBy("column").collect()  # few: one for each governed column
+        for p in policies:
+            if p.kind == FILTER and p.column not in df.columns:
+                raise ValueError(f"{table} has a filter on {p.column}, which is not there")
+        filters = [p for p in policies if p.kind == FILTER]
+        governed = GovernedTable(lambda: df, self.grants.read)
+        for p in policies:
+            if p.kind == MASK and p.column in df.columns:
+                governed.set_mask(p.column, by=p.by, grant_col=p.grant_column, masked=F.lit(p.shown))
+        rows = df
+        for p in filters:
+            rows = row_filter(rows, self.grants.read(), user, p.column, p.grant_column)
+        governed.table = lambda: rows
+        return governed.read(user)

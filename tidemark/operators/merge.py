@@ -7,10 +7,11 @@ adaptive skew handling, never gathered.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class DuplicateKeys(ValueError):
@@ -39,6 +40,15 @@ def widen(target: DataFrame, source: DataFrame) -> DataFrame:
     return target.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in new]) if new else target
 
 
+def widen_schema(known: T.StructType | None, found: Iterable[T.StructType]) -> T.StructType:
+    """The known columns as they are, followed by new ones in order of appearance; names differ by more than case."""
+    fields = {f.name.lower(): f for f in (known.fields if known else [])}
+    for schema in found:
+        for f in schema.fields:
+            fields.setdefault(f.name.lower(), T.StructField(f.name, f.dataType, True))
+    return T.StructType(list(fields.values()))
+
+
 def upsert(
     target: DataFrame, source: DataFrame, keys: Sequence[str], delete_when: str | None = None
 ) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -84,10 +84,16 @@ def apply_expectations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return keep_passing(df, rules)
 
 
-def write_checked(df: DataFrame, rules: Sequence[Rule], path: str, name: str = "expectations") -> dict[str, int]:
+def write_checked(
+    df: DataFrame,
+    rules: Sequence[Rule],
+    path: str,
+    name: str = "expectations",
+    beside: Callable[[str], None] | None = None,
+) -> dict[str, int]:
     """Write passing rows to ``path`` in one pass; on a violated fail rule nothing appears there.
 
-    Rows go to a staging directory first and move into place once the counts are known.
+    Rows go to a staging directory first and move into place once the counts are known, with what ``beside`` adds to it.
     Returns the rows seen and the violations per rule.
     """
     files = Files(df.sparkSession)
@@ -101,6 +107,8 @@ def write_checked(df: DataFrame, rules: Sequence[Rule], path: str, name: str = "
     except ExpectationFailed:
         files.delete(staged)
         raise
+    if beside:
+        beside(staged)
     if files.exists(path):
         files.delete(path)
     files.rename(staged, path)

@@ -63,7 +63,7 @@ def shares_vs_target(df: DataFrame, col: str, target: Mapping[str, float], tol:
     return counted.select(F.inline(F.array(*rows, row(None, F.col("_other"), 0))))
 
 
-BINS = 1 << 16  # counts that a task of a selection step may hand on, and that reach the driver
+BINS = 1 << 12  # counts that a task of a selection step may hand on, and that reach the driver
 
 
 def ordered_code(value: Column, kind: T.DataType) -> Column:
@@ -90,7 +90,7 @@ def nth_value(values: DataFrame, rank: int, lowest: int, highest: int):
     """The value at ``rank`` (from 0) among the rows (v, code), exact; all codes lie between the two given.
 
     Digit selection: counts by BINS equal parts of the codes' range tell which part holds the rank, and only that part is
-    counted again, in finer ones: four times at most for 64 bits. Tasks count before anything is shuffled, so
+    counted again, in finer ones: six times at most for 64 bits, twice for most amounts. Tasks count before anything is shuffled, so
     neither values nor samples of them move.
     """
     found = None

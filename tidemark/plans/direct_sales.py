@@ -14,15 +14,17 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import CPF_FORMAT, align_ts, ladder_step, money
 from tidemark.operators.audit import audit, not_empty, require_passed
-from tidemark.operators.changes import apply_changes, read_changes, snapshot_diff
+from tidemark.operators.changes import read_changes
 from tidemark.operators.merge import guarded_update
 from tidemark.operators.projection import project_typed, select_except
 from tidemark.operators.quality import Rule, expect, expect_or_drop, expect_or_fail
-from tidemark.plans.reports import asof_commission, rep_months, sales_rollup
+from tidemark.plans.maintained import SalesReports
+from tidemark.runtime import Files
 from tidemark.sources.files import INGEST_COLUMNS, RESCUED, BronzeTable, ingest_files, stream_table
 from tidemark.sources.generate import HERO_AFTER, HERO_CHANGE, HERO_ID
-from tidemark.sources.tables import KeyedTable
-from tidemark.streaming.flows import scd2_table, stream_expect, stream_scd
+from tidemark.sources.runs import RunTable
+from tidemark.sources.snapshots import SnapshotTable
+from tidemark.streaming.flows import SOURCE, scd1_runs, scd2_runs, stream_expect, stream_scd
 
 # Columns of a rep, those whose history is kept, the second promotion date, rule names.
 REP_COLUMNS: Mapping[str, str | None] = {
@@ -38,6 +40,7 @@ REP_COLUMNS: Mapping[str, str | None] = {
 }
 REP_HISTORY = ("tier", "regiao", "email", "ativo")
 PROMOTION_DAY = date(2025, 11, 1)
+MAX_FILES = 1000  # of one micro-batch
 
 REP_RULES = (
     expect_or_fail("pk_consultora", "consultora_id IS NOT NULL"),
@@ -60,9 +63,9 @@ def curate_orders(bronze: DataFrame) -> DataFrame:
     return select_except(bronze, drop=(RESCUED, *INGEST_COLUMNS), valor_total=money("valor_total"))
 
 
-def curate_reps(changes: DataFrame) -> DataFrame:
-    """New states of reps from change events, with fixed columns and types."""
-    return project_typed(read_changes(changes), REP_COLUMNS)
+def curate_reps(changes: DataFrame, *kept: str) -> DataFrame:
+    """New states of reps from change events, with fixed columns and types, and those of ``kept`` as they are."""
+    return project_typed(read_changes(changes), {**REP_COLUMNS, **dict.fromkeys(kept)})
 
 
 def promote_reps(reps: DataFrame) -> DataFrame:
@@ -83,28 +86,48 @@ class DirectSales:
 
     spark: SparkSession
     root: str
-    buckets: int = 64
     today: date | None = None
+    orders_gone: str | None = None  # a predicate over order events that remove their order
 
     def _at(self, *parts: str) -> str:
-        return "/".join([self.root.rstrip("/"), *parts])
+        """A path of the present epoch; ``refresh_all`` moves all tables to a new one at once."""
+        return "/".join([self.root.rstrip("/"), f"epoch={self.epoch}", *parts])
+
+    def __post_init__(self):
+        self.epoch = Files(self.spark).latest(f"{self.root.rstrip('/')}/_epoch") or 0
 
     @property
     def bronze_orders(self) -> BronzeTable:
         return BronzeTable(self.spark, self._at("bronze", "orders"))
 
     @property
-    def fact(self) -> KeyedTable:
-        return KeyedTable(self.spark, self._at("gold", "fact"), ["pedido_id"], self.buckets)
+    def fact(self) -> RunTable:
+        return scd1_runs(self.spark, self._at("gold", "fact"), ["pedido_id"], "updated_at")
+
+    @property
+    def dim(self) -> RunTable:
+        return scd2_runs(self.spark, self._at("gold", "dim"), ["consultora_id"])
 
     @property
-    def dim(self) -> KeyedTable:
-        return scd2_table(self.spark, self._at("gold", "dim"), ["consultora_id"], self.buckets)
+    def reps(self) -> SnapshotTable:
+        """Current state of the source's rep table; like the change feed beside it, it outlives epochs."""
+        return SnapshotTable(self.spark, f"{self.root.rstrip('/')}/source/reps", ["consultora_id"])
 
     @property
-    def reps(self) -> KeyedTable:
-        """Current state of the source's rep table."""
-        return KeyedTable(self.spark, self._at("bronze", "reps"), ["consultora_id"], self.buckets)
+    def reports(self) -> SalesReports:
+        return SalesReports(
+            self.spark,
+            self._at("gold", "reports"),
+            self.fact,
+            self.dim,
+            (self._at("gold", "fact_feed"), self._at("gold", "dim_feed")),
+            "consultora_id",
+            "pedido_id",
+            "data_pedido",
+            "valor_total",
+            ["regiao", "tier"],
+            align_ts("data_pedido"),
+        )
 
     # --- orders ---
 
@@ -117,13 +140,16 @@ class DirectSales:
         if not bronze.batches():
             return []
         silver, checkpoint = self._at("silver", "orders"), self._at("_checkpoints", "silver_orders")
-        counts = stream_expect(curate_orders(bronze.stream()), order_rules(self.today), silver, checkpoint)
+        raw = bronze.stream(maxFilesPerTrigger=MAX_FILES).withColumn(SOURCE, F.col("_metadata.file_path"))
+        counts = stream_expect(curate_orders(raw), order_rules(self.today), silver, checkpoint, source=SOURCE)
         stream_scd(
-            stream_table(self.spark, f"{silver}/batch=*", self.silver_schema()),
+            stream_table(self.spark, f"{silver}/batch=*", self.silver_schema(), maxFilesPerTrigger=MAX_FILES),
             self.fact,
             1,
             "updated_at",
             self._at("_checkpoints", "fact"),
+            delete_when=self.orders_gone,
+            feed=self._at("gold", "fact_feed"),
         )
         return counts
 
@@ -142,35 +168,34 @@ class DirectSales:
         An empty snapshot is refused, as it would read as the deletion of every rep.
         """
         require_passed(audit(snapshot, [not_empty("source_not_empty")]))
-        version = self.reps.version() + 1
-        before = self.reps.read(schema=self.reps.schema() or snapshot.schema)
-        feed = self._at("bronze", "rep_changes", f"version={version}")
-        snapshot_diff(before, snapshot, ["consultora_id"], version).write.mode("overwrite").parquet(feed)
-        changes = self.spark.read.parquet(feed)
-        cells = self.reps.cells_of(changes)
-        touched = self.reps.read(cells, schema=before.schema)
-        self.reps.replace(apply_changes(touched, changes, ["consultora_id"]), cells)
+        self.reps.sync(snapshot, self._rep_changes())
+
+    def _rep_changes(self) -> str:
+        return f"{self.root.rstrip('/')}/source/rep_changes"
 
     def run_reps(self) -> list[dict[str, int]]:
         """Change events not seen before through the rules into the versioned dimension."""
-        feed = self._at("bronze", "rep_changes")
+        feed = self._rep_changes()
         schema = self.spark.read.parquet(f"{feed}/version=*").schema
-        events = stream_table(self.spark, f"{feed}/version=*", schema)
+        events = stream_table(self.spark, f"{feed}/version=*", schema, maxFilesPerTrigger=MAX_FILES)
+        events = events.withColumn(SOURCE, F.col("_metadata.file_path"))
         silver, checkpoint = self._at("silver", "reps"), self._at("_checkpoints", "silver_reps")
-        counts = stream_expect(curate_reps(events), REP_RULES, silver, checkpoint)
+        curated = curate_reps(events, SOURCE)
+        counts = stream_expect(curated, REP_RULES, silver, checkpoint, source=SOURCE)
         typed = curate_reps(self.spark.createDataFrame([], schema)).schema
         stream_scd(
-            stream_table(self.spark, f"{silver}/batch=*", typed),
+            stream_table(self.spark, f"{silver}/batch=*", typed, maxFilesPerTrigger=MAX_FILES),
             self.dim,
             2,
             "updated_at",
             self._at("_checkpoints", "dim"),
             track=REP_HISTORY,
+            feed=self._at("gold", "dim_feed"),
         )
         return counts
 
     def change_feed(self) -> DataFrame:
-        return self.spark.read.parquet(self._at("bronze", "rep_changes")).drop("version")
+        return self.spark.read.parquet(self._rep_changes()).drop("version")
 
     def silver_reps(self) -> DataFrame:
         return self.spark.read.parquet(self._at("silver", "reps")).drop("batch")
@@ -178,23 +203,40 @@ class DirectSales:
     # --- reports ---
 
     def sales_by_region(self) -> DataFrame:
-        """Sales by region, current tier and month."""
-        months = rep_months(self.fact.read(), "consultora_id", "data_pedido", "valor_total", "pedido_id")
-        return sales_rollup(months, self.dim.read(), "consultora_id", ["regiao", "tier"]).withColumnRenamed(
-            "tier", "tier_atual"
-        )
+        """Sales by region, current tier and month, from the stored report after its upkeep."""
+        self.reports.refresh()
+        return self.reports.read_rollup().withColumnRenamed("tier", "tier_atual")
 
     def commission(self) -> DataFrame:
-        """Commission per order at the tier valid when it was placed."""
-        orders = self.fact.read().withColumn("_placed", align_ts("data_pedido"))
-        report = asof_commission(
-            orders, self.dim.read(), "consultora_id", "pedido_id", "_placed", "valor_total"
-        )
-        return report.withColumn("data_pedido", F.col("_placed").cast("timestamp_ntz")).select(
+        """Commission per order at the tier valid when it was placed, from the stored report after its upkeep."""
+        self.reports.refresh()
+        return self.reports.read_commission().select(
             "pedido_id",
             "consultora_id",
-            "data_pedido",
+            F.col("_placed").cast("timestamp_ntz").alias("data_pedido"),
             "valor_total",
             "tier_no_momento_do_pedido",
             "comissao_devida",
         )
+
+    # --- starting over ---
+
+    def refresh_all(self, landing: str) -> int:
+        """Build every table anew from the landing files and the reps' change feed, and switch to all of them at once.
+
+        The new tables lie in an epoch of their own, schemas included, so columns that no landing file has any more are gone.
+        Readers see the old epoch until the pointer moves; an attempt that failed leaves an epoch that nobody
+        points to, which the next one skips.
+        """
+        files = Files(self.spark)
+        root = self.root.rstrip("/")
+        taken = [int(n.split("=", 1)[1]) for n in files.list(root) if n.startswith("epoch=")]
+        fresh = DirectSales(self.spark, self.root, self.today, self.orders_gone)
+        fresh.epoch = max(taken, default=-1) + 1
+        fresh.run_orders(landing)
+        if files.has_data(self._rep_changes()):
+            fresh.run_reps()
+        fresh.reports.refresh()
+        files.supersede(f"{root}/_epoch", fresh.epoch)
+        self.epoch = fresh.epoch
+        return self.epoch

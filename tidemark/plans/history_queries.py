@@ -20,7 +20,7 @@ from tidemark.operators.scd import (
     scd2_current,
     scd2_merge,
 )
-from tidemark.plans.registry import Tables, query
+from tidemark.plans.registry import SQL, Tables, query
 from tidemark.plans.reports import (
     asof_commission,
     refresh_asof,
@@ -29,6 +29,7 @@ from tidemark.plans.reports import (
     rep_months,
     sales_rollup,
 )
+from tidemark.sources.snapshots import SnapshotTable
 
 # Rates for event kinds standing in for tiers; "error" is left out, so its rate is NULL.
 EVENT_RATES = {"signup": "0.0200", "view": "0.0300", "click": "0.0500"}
@@ -161,20 +162,20 @@ def _(t: Tables) -> DataFrame:
 
 SAME_INSTANT = """WITH ev AS (
   SELECT CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user_id, event_type AS tier, event_id,
-         CAST(value AS DECIMAL(18,2)) AS amount, date_trunc('day', ts) AS at
+         CAST(value AS DECIMAL(18,2)) AS amount, date_trunc('day', ts) AS day
   FROM events WHERE event_type <> 'purchase'),
 won AS (
   SELECT * FROM ev
-  QUALIFY row_number() OVER (PARTITION BY user_id, at ORDER BY tier DESC, event_id DESC, amount DESC) = 1),
+  QUALIFY row_number() OVER (PARTITION BY user_id, day ORDER BY tier DESC, event_id DESC, amount DESC) = 1),
 marked AS (
-  SELECT *, CASE WHEN lag(tier) OVER (PARTITION BY user_id ORDER BY at) IS DISTINCT FROM tier THEN 1 ELSE 0 END AS opens FROM won),
+  SELECT *, CASE WHEN lag(tier) OVER (PARTITION BY user_id ORDER BY day) IS DISTINCT FROM tier THEN 1 ELSE 0 END AS opens FROM won),
 runs AS (
-  SELECT user_id, tier, event_id, amount, at, sum(opens) OVER (PARTITION BY user_id ORDER BY at) AS run FROM marked),
+  SELECT user_id, tier, event_id, amount, day, sum(opens) OVER (PARTITION BY user_id ORDER BY day) AS run FROM marked),
 rows AS (
-  SELECT user_id, run, arg_max(tier, at) AS tier, arg_max(event_id, at) AS event_id, arg_max(amount, at) AS amount,
-         max(at) AS at, min(at) AS start_at
+  SELECT user_id, run, arg_max(tier, day) AS tier, arg_max(event_id, day) AS event_id, arg_max(amount, day) AS amount,
+         max(day) AS day, min(day) AS start_at
   FROM runs GROUP BY user_id, run)
-SELECT user_id, tier, event_id, amount, CAST(at AS TIMESTAMP) AS at, CAST(start_at AS TIMESTAMP) AS start_at,
+SELECT user_id, tier, event_id, amount, CAST(day AS TIMESTAMP) AS day, CAST(start_at AS TIMESTAMP) AS start_at,
        CAST(lead(start_at) OVER (PARTITION BY user_id ORDER BY start_at) AS TIMESTAMP) AS end_at
 FROM rows"""
 
@@ -183,8 +184,8 @@ FROM rows"""
 def _(t: Tables) -> DataFrame:
     """Events by day, so that a key with a third of all rows has few instants, each with very many events."""
     day = F.date_trunc("day", "ts").cast("timestamp_ntz")
-    log = tier_changes(skewed_events(t)).select("user_id", "tier", "event_id", "amount", day.alias("at"))
-    return plain_windows(scd2(log, ["user_id"], "at", ["tier"], rows_per_task=SKEW_BAR))
+    log = tier_changes(skewed_events(t)).select("user_id", "tier", "event_id", "amount", day.alias("day"))
+    return plain_windows(scd2(log, ["user_id"], "day", ["tier"], rows_per_task=SKEW_BAR))
 
 
 @query("scd2_incremental", DIM_SQL, decimals=["amount"])
@@ -323,20 +324,29 @@ def _(t: Tables) -> DataFrame:
 
 @query("sales_rollup_incremental", ROLLUP, decimals=["total_vendas"], days=["mes"])
 def _(t: Tables) -> DataFrame:
-    """The first half of January, then the rest: orders and dimension rows change together."""
+    """The first half of January, then the rest: orders are added, changed and removed while dimension rows change.
+
+    At first every third order has another amount and time, and orders that never were are there as well.
+    """
     edge = F.lit(datetime(2024, 1, 16)).cast("timestamp_ntz")
     fact, log, by = purchases_of(t), regional_log(t), ["regiao", "tier"]
-    late = F.col("ts") >= edge
+    late, changed = F.col("ts") >= edge, F.col("order_id") % 3 == 0
+    early = fact.filter(~late)
+    wrong = early.filter(changed).select(
+        "order_id", "user_id", (F.col("ts") - F.expr("INTERVAL 20 DAY")).alias("ts"), money(F.col("amount") + 5).alias("amount")
+    )
+    never = early.filter("order_id % 7 = 0").withColumn("order_id", -F.col("order_id") - 1)
     dim_before = t.keep(regional_dim(t, log.filter(~late)), "dim")
-    months_before = t.keep(months_of(fact.filter(~late)), "months")
+    months_before = t.keep(months_of(early.filter(~changed).unionByName(wrong).unionByName(never)), "months")
     rollup = t.keep(sales_rollup(months_before, dim_before, "user_id", by), "rollup")
 
     dim_after = t.keep(
         scd2_merge(dim_before, log, log.filter(late), ["user_id"], "ts", ["tier", "regiao"]), "dim"
     )
-    added = months_of(fact.filter(late))
-    months_after = t.keep(refresh_rep_months(months_before, added.limit(0), added, "user_id"), "months")
-    touched = log.filter(late).select("user_id").union(fact.filter(late).select("user_id"))
+    removed = months_of(wrong.unionByName(never))
+    added = months_of(fact.filter(late).unionByName(early.filter(changed)))
+    months_after = t.keep(refresh_rep_months(months_before, removed, added, "user_id"), "months")
+    touched = log.filter(late).select("user_id").union(removed.select("user_id")).union(added.select("user_id"))
     return refresh_rollup(rollup, months_before, months_after, dim_before, dim_after, touched, "user_id", by)
 
 
@@ -455,6 +465,22 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@query("snapshot_diff_pruned", SQL["snapshot_diff"], decimals=["c_acctbal"])
+def _(t: Tables) -> DataFrame:
+    """The same changes from a stored snapshot, of which only buckets whose digests differ are read."""
+    state = SnapshotTable(t.spark, t.scratch("snapshots"), ["c_custkey"])
+    state.sync(old_snapshot(t), t.scratch("feed"))
+    diff, _, _ = state.changes(new_snapshot(t))
+    return diff.select(
+        "c_custkey",
+        "c_name",
+        "c_mktsegment",
+        "c_acctbal",
+        F.col("_change_type").alias("change_type"),
+        F.concat_ws(",", CHANGED).alias("changed"),
+    )
+
+
 @query("apply_changes", f"WITH {SNAPSHOTS} SELECT * FROM n", decimals=["c_acctbal"])
 def _(t: Tables) -> DataFrame:
     old = old_snapshot(t)

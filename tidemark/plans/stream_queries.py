@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import time
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators import audit as A
 from tidemark.operators.quality import expect, expect_or_drop
 from tidemark.plans.direct_sales import DirectSales
 from tidemark.plans.history_queries import (
@@ -26,6 +28,7 @@ from tidemark.sources.files import ingest_files, read_widened, stream_table, wri
 from tidemark.sources.runs import GROUP, NEWEST, RunTable
 from tidemark.sources.tables import ensure_table, replace_partitions, truncate
 from tidemark.streaming.flows import (
+    SOURCE,
     append_flow,
     merge_sink,
     refresh,
@@ -35,8 +38,6 @@ from tidemark.streaming.flows import (
     stream_scd,
 )
 
-BUCKETS = 8
-
 
 def drop(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
@@ -102,6 +103,34 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "rescued_lossy",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 1 THEN -1 ELSE CAST(o_custkey AS DOUBLE) END AS amount,
+  CASE WHEN o_orderkey % 5 = 2 THEN '' ELSE '2020-01-02' END AS day,
+  CASE o_orderkey % 5 WHEN 1 THEN '{"amount":"' || o_custkey || '.255"}' WHEN 2 THEN '{"day":"2020-01-02 10:00:00"}' ELSE '' END AS rescued
+FROM orders""",
+)
+def _(t: Tables) -> DataFrame:
+    """Text for a decimal and a date: what a cast would round or cut off is rescued, other spellings are taken."""
+    root = t.scratch("lossy")
+    key, cust = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    typed = T.StructType.fromDDL("o_orderkey bigint, amount decimal(18,2), day date")
+    amount = (
+        F.when(key % 5 == 0, F.concat(F.lit(" +0"), cust, F.lit(".000 ")))
+        .when(key % 5 == 1, F.concat(cust, F.lit(".255")))
+        .otherwise(cust)
+    )
+    day = F.when(key % 5 == 2, "2020-01-02 10:00:00").when(key % 5 == 3, "2020-01-02 00:00:00").otherwise("2020-01-02")
+    drop(t.orders.select("o_orderkey", amount.alias("amount"), day.alias("day")), f"{root}/landing")
+    rows = ingest_files(t.spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint", seed=typed).read()
+    return rows.select(
+        "o_orderkey",
+        F.coalesce(F.col("amount").cast("double"), F.lit(-1.0)).alias("amount"),
+        F.coalesce(F.col("day").cast("string"), F.lit("")).alias("day"),
+        F.coalesce("_rescued_data", F.lit("")).alias("rescued"),
+    )
+
+
 @query("ingest_incremental", ORDERS_BY_THREE)
 def _(t: Tables) -> DataFrame:
     """Two drops and a run that finds nothing new: each file is read once."""
@@ -143,25 +172,35 @@ def _(t: Tables) -> DataFrame:
     return bronze.read().select(*orders.columns)
 
 
-@query("ingest_metadata", "SELECT count(*) AS n, count(*) AS with_path, count(*) AS with_mtime, count(*) AS with_ts FROM orders")
+@query(
+    "ingest_metadata",
+    "SELECT o_orderkey, o_custkey, true AS path_known, true AS mtime_right, true AS read_later FROM orders",
+)
 def _(t: Tables) -> DataFrame:
+    """Path and time of every row are those of a file that was landed, as a listing of the folder has them."""
     root = t.scratch("metadata")
     drop(t.orders, f"{root}/landing")
     rows = ingest_files(t.spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint").read()
-    return rows.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("_ingest_file_path").endswith(".parquet")).alias("with_path"),
-        F.count("_ingest_file_mtime").alias("with_mtime"),
-        F.count("_ingest_ts").alias("with_ts"),
+    listing = t.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{root}/landing")
+    listing = listing.select(F.regexp_replace("path", "^file:/+", "/").alias("_path"), F.col("modificationTime").alias("_mtime"))
+    rows = rows.withColumn("_path", F.regexp_replace("_ingest_file_path", "^file:/+", "/")).join(listing, "_path", "left")
+    return rows.select(
+        "o_orderkey",
+        "o_custkey",
+        F.col("_mtime").isNotNull().alias("path_known"),
+        (F.col("_ingest_file_mtime") == F.col("_mtime")).alias("mtime_right"),
+        (F.col("_ingest_ts") >= F.col("_mtime")).alias("read_later"),
     )
 
 
-@query("chunked_sink", "SELECT count(*) AS n, true AS within_cap FROM orders")
+@query("chunked_sink", "SELECT o_orderkey, o_custkey, o_totalprice, true AS within_cap FROM orders")
 def _(t: Tables) -> DataFrame:
+    """Every row is in a file of at most a thousand."""
     path = t.scratch("chunks")
     write_chunked(t.orders, path, 1000)
-    per_file = t.spark.read.parquet(path).groupBy(F.col("_metadata.file_name")).count()
-    return per_file.agg(F.sum("count").alias("n"), (F.max("count") <= 1000).alias("within_cap"))
+    rows = t.spark.read.parquet(path).select("o_orderkey", "o_custkey", "o_totalprice", F.col("_metadata.file_name").alias("_name"))
+    small = rows.groupBy("_name").count().select("_name", (F.col("count") <= 1000).alias("within_cap"))
+    return rows.join(small, "_name").drop("_name")
 
 
 @query("stream_table", ORDERS_BY_THREE)
@@ -233,6 +272,18 @@ def _(t: Tables) -> DataFrame:
     return kept.unionByName(t.spark.createDataFrame(seen, "what string, n bigint"))
 
 
+@query("stream_expect_new_checkpoint", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 1000")
+def _(t: Tables) -> DataFrame:
+    """The checkpoint is lost between three drops: a curated table takes each file in once, whatever stream brings it."""
+    root, rules = t.scratch("expect-again"), [expect_or_drop("positive", "o_totalprice > 1000")]
+    orders = t.orders.select("o_orderkey", "o_totalprice")
+    for part in (0, 1, 2):
+        drop(orders.filter(F.col("o_orderkey") % 3 == part), f"{root}/src")
+        stream = stream_table(t.spark, f"{root}/src", orders.schema).withColumn(SOURCE, F.col("_metadata.file_path"))
+        stream_expect(stream, rules, f"{root}/out", f"{root}/checkpoint-{min(part, 1)}", source=SOURCE)
+    return t.spark.read.schema(orders.schema).parquet(f"{root}/out/batch=*")
+
+
 def _merged(t: Tables, strategy: str, batches: list[DataFrame], keys: list[str]) -> DataFrame:
     root = t.scratch("merge")
     table = RunTable(t.spark, f"{root}/target", keys, GROUP if strategy == "delete_insert" else NEWEST)
@@ -267,24 +318,28 @@ def _(t: Tables) -> DataFrame:
     return _merged(t, "delete_insert", [target_orders(t), source_orders(t)], ["o_custkey"])
 
 
-@query("full_refresh", "SELECT count(*) AS resumed, 2 * count(*) AS files_total, count(*) AS rebuilt FROM orders")
+@query(
+    "full_refresh",
+    "SELECT 'resumed' AS run, o_orderkey FROM orders UNION ALL SELECT 'rebuilt', o_orderkey FROM orders WHERE o_orderkey % 2 = 1",
+)
 def _(t: Tables) -> DataFrame:
-    """An incremental run after the second drop adds the rest; a full run rebuilds everything."""
+    """An incremental run after the second drop adds the rest; a full run, when the first drop is gone, has the second alone."""
     root = t.scratch("refresh")
-    orders = t.orders.select("o_orderkey")
+    orders, files = t.orders.select("o_orderkey"), Files(t.spark)
 
     def copy(out: str, checkpoint: str) -> DataFrame:
-        stream = stream_table(t.spark, f"{root}/src", orders.schema)
+        stream = stream_table(t.spark, f"{root}/src/part=*", orders.schema)
         append_flow(stream, lambda b, i: b.write.mode("overwrite").parquet(f"{out}/batch={i}"), checkpoint)
         return t.spark.read.parquet(out)
 
     for part in (0, 1):
-        drop(orders.filter(F.col("o_orderkey") % 2 == part), f"{root}/src")
+        drop(orders.filter(F.col("o_orderkey") % 2 == part), f"{root}/src/part={part}")
         resumed = refresh({"copy": copy}, f"{root}/tables", t.spark)["copy"]
+    files.delete(f"{root}/src/part=0")
     rebuilt = refresh({"copy": copy}, f"{root}/tables", t.spark, full=True)["copy"]
-    both = resumed.agg(F.count(F.lit(1)).alias("resumed")).select("resumed")
-    n = rebuilt.agg(F.count(F.lit(1))).scalar()
-    return both.select("resumed", (F.col("resumed") + n).alias("files_total"), n.alias("rebuilt"))
+    runs = [(resumed, "resumed"), (rebuilt, "rebuilt")]
+    one, two = (df.select(F.lit(name).alias("run"), "o_orderkey") for df, name in runs)
+    return one.unionByName(two)
 
 
 @query(
@@ -303,18 +358,24 @@ def _(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).select("o_orderkey", "o_orderstatus", "o_custkey")
 
 
-@query("ensure_and_truncate", "SELECT 0 AS before, count(*) AS filled, 0 AS after FROM orders")
+@query(
+    "ensure_and_truncate",
+    "SELECT 'filled' AS step, o_orderkey, o_custkey FROM orders UNION ALL SELECT 'again', o_orderkey, o_custkey FROM orders WHERE o_orderkey % 5 = 0",
+)
 def _(t: Tables) -> DataFrame:
+    """An empty table is filled, left alone by a second call, emptied, and takes rows of the same schema again."""
     path = t.scratch("ensure")
     schema = typed_orders(t).schema
     ensure_table(t.spark, path, schema)
-    before = t.spark.read.parquet(path).count()
+    steps = [t.keep(t.spark.read.parquet(path).select(F.lit("before").alias("step"), "o_orderkey", "o_custkey"), "before")]
     drop(typed_orders(t), path)
     ensure_table(t.spark, path, schema)  # has data: left alone
-    filled = t.spark.read.parquet(path).count()
+    steps.append(t.keep(t.spark.read.parquet(path).select(F.lit("filled").alias("step"), "o_orderkey", "o_custkey"), "filled"))
     truncate(t.spark, path)
-    after = t.spark.read.parquet(path).agg(F.count(F.lit(1)).cast("int").alias("after"))
-    return after.select(F.lit(before).cast("int").alias("before"), F.lit(filled).cast("bigint").alias("filled"), "after")
+    steps.append(t.keep(t.spark.read.parquet(path).select(F.lit("after").alias("step"), "o_orderkey", "o_custkey"), "after"))
+    drop(typed_orders(t).filter("o_orderkey % 5 = 0"), path)
+    steps.append(t.spark.read.parquet(path).select(F.lit("again").alias("step"), "o_orderkey", "o_custkey"))
+    return reduce(DataFrame.unionByName, steps)
 
 
 # --- the whole pipeline -------------------------------------------------------------------------
@@ -333,10 +394,8 @@ dim AS (
   UNION ALL SELECT c_custkey, r_name, 'prata', TIMESTAMP '1998-01-01', NULL FROM v WHERE moved)"""
 
 
-def _deployment(t: Tables) -> DirectSales:
-    root = t.scratch("sales")
-    sales = DirectSales(t.spark, f"{root}/tables", BUCKETS, date(2000, 6, 30))
-    orders = t.orders.select(
+def _orders(t: Tables) -> DataFrame:
+    return t.orders.select(
         F.col("o_orderkey").alias("pedido_id"),
         F.col("o_custkey").cast("int").alias("consultora_id"),
         F.col("o_orderdate").alias("data_pedido"),
@@ -345,8 +404,33 @@ def _deployment(t: Tables) -> DirectSales:
         F.col("o_orderpriority").alias("forma_pagamento"),
         F.col("o_orderdate").alias("updated_at"),
     )
-    write_chunked(orders, f"{root}/landing", 100_000)
 
+
+def _first_drop(orders: DataFrame) -> DataFrame:
+    """Every fifth order as it was before it changed its rep, time and amount, and copies of every seventh that will be removed."""
+    day, changed = F.expr("INTERVAL 40 DAY"), (F.col("pedido_id") % 5 == 0) & (F.to_date("data_pedido") <= F.lit(date(2000, 6, 30)))
+    older = orders.filter(changed).withColumns(
+        {
+            "consultora_id": (F.col("consultora_id") + 1).cast("int"),
+            "data_pedido": F.col("data_pedido") - day,
+            "updated_at": F.col("updated_at") - day,
+            "valor_total": F.col("valor_total") + 100,
+        }
+    )
+    copies = orders.filter("pedido_id % 7 = 0").withColumn("pedido_id", -F.col("pedido_id") - 1)
+    return orders.filter(~changed).unionByName(older).unionByName(copies)
+
+
+def _second_drop(orders: DataFrame) -> DataFrame:
+    """The orders that changed, and the copies marked as removed."""
+    gone = orders.filter("pedido_id % 7 = 0").withColumns(
+        {"pedido_id": -F.col("pedido_id") - 1, "status": F.lit("gone"), "updated_at": F.col("updated_at") + F.expr("INTERVAL 1 DAY")}
+    )
+    return orders.filter("pedido_id % 5 = 0").unionByName(gone)
+
+
+def _reps(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """The reps as of 1996, and after some were promoted in 1998."""
     first, second = (F.lit(datetime(y, 1, 1)).cast("timestamp") for y in (1996, 1998))
     key = F.col("c_custkey")
     tier = F.when(key % 2 == 0, "bronze").otherwise("semente")
@@ -370,10 +454,21 @@ def _deployment(t: Tables) -> DirectSales:
     later = reps.withColumn("tier", F.when(moved, "prata").otherwise(F.col("tier"))).withColumn(
         "updated_at", F.when(moved, second).otherwise(F.col("updated_at"))
     )
-    sales.run_orders(f"{root}/landing")
-    for snapshot in (reps, later):
+    return reps, later
+
+
+def _deployment(t: Tables) -> DirectSales:
+    """Two drops of orders and two snapshots of reps; the reports are brought up to date after each."""
+    root = t.scratch("sales")
+    sales = DirectSales(t.spark, f"{root}/tables", date(2000, 6, 30), orders_gone="status = 'gone'")
+    orders = _orders(t)
+    reps, later = _reps(t)
+    for part, snapshot in ((_first_drop(orders), reps), (_second_drop(orders), later)):
+        write_chunked(part, f"{root}/landing", 100_000, "append")
+        sales.run_orders(f"{root}/landing")
         sales.sync_reps(snapshot)
         sales.run_reps()
+        sales.reports.refresh()
     return sales
 
 
@@ -386,7 +481,7 @@ FROM fact JOIN dim ON o_custkey = c_custkey AND o_orderdate >= s AND (e IS NULL
     decimals=["valor_total", "comissao_devida"],
 )
 def _(t: Tables) -> DataFrame:
-    """Landing files and two rep snapshots through every stage to the as-of report."""
+    """Two drops of landing files and two rep snapshots through every stage to the stored as-of report, which follows the changes."""
     return _deployment(t).commission()
 
 
@@ -399,5 +494,39 @@ FROM fact JOIN dim ON o_custkey = c_custkey AND e IS NULL GROUP BY 1, 2, 3""",
     days=["mes"],
 )
 def _(t: Tables) -> DataFrame:
-    """The same deployment to the current-snapshot report."""
+    """The same deployment to the stored current-snapshot report."""
     return _deployment(t).sales_by_region()
+
+
+@query(
+    "pipeline_full_refresh",
+    f"""{PIPELINE}, back AS (SELECT o_orderkey, o_custkey, amount FROM fact WHERE o_orderkey % 5 <> 0)
+SELECT 'row' AS what, CAST(o_orderkey AS VARCHAR) AS id, CAST(amount AS DOUBLE) AS amount, true AS passed FROM back
+UNION ALL SELECT 'report', CAST(o_orderkey AS VARCHAR), CAST(amount AS DOUBLE), true
+FROM back JOIN v ON o_custkey = c_custkey JOIN orders USING (o_orderkey) WHERE o_orderdate >= DATE '1996-01-01'
+UNION ALL SELECT 'check', 'column:valor_total', 0, true
+UNION ALL SELECT 'check', 'no_column:canal_origem', 0, true""",
+)
+def _(t: Tables) -> DataFrame:
+    """A drop with a further column is taken back from the landing folder and everything is built anew: neither its rows nor its column are left."""
+    root, orders = t.scratch("full-refresh"), _orders(t)
+    sales = DirectSales(t.spark, f"{root}/tables", date(2000, 6, 30))
+    evolved = F.col("pedido_id") % 5 == 0
+    write_chunked(orders.filter(~evolved), f"{root}/landing/plain", 100_000)
+    write_chunked(orders.filter(evolved).withColumn("canal_origem", F.lit("app")), f"{root}/landing/evolved", 100_000)
+    sales.run_orders(f"{root}/landing")
+    sales.sync_reps(_reps(t)[0])
+    sales.run_reps()
+    wide = "canal_origem" in sales.fact.schema().names
+    Files(t.spark).delete(f"{root}/landing/evolved")
+    sales.refresh_all(f"{root}/landing")
+    again = DirectSales(t.spark, f"{root}/tables", date(2000, 6, 30))  # another reader sees the new epoch
+    fact = again.fact.read()
+    rows = fact.select(F.lit("row").alias("what"), F.col("pedido_id").cast("string").alias("id"), F.col("valor_total").cast("double").alias("amount"))
+    report = again.commission().select(
+        F.lit("report").alias("what"), F.col("pedido_id").cast("string").alias("id"), F.col("valor_total").cast("double").alias("amount")
+    )
+    checks = A.schema_contract(fact, {"valor_total": "decimal(18,2)"}, ["canal_origem"]).select(
+        F.lit("check").alias("what"), F.col("check").alias("id"), F.lit(0.0).alias("amount"), (F.col("passed") & F.lit(wide)).alias("passed")
+    )
+    return rows.unionByName(report).withColumn("passed", F.lit(True)).unionByName(checks)

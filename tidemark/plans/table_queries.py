@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import (
@@ -24,12 +24,15 @@ from tidemark.functions.expressions import (
 from tidemark.operators import audit as A
 from tidemark.operators.governance import (
     GovernedTable,
+    GrantTable,
+    PolicyTable,
     mask_column,
     mask_tiered,
     member,
     policy,
     row_filter,
     row_filter_groups,
+    session_user,
     thousands,
     user_like,
 )
@@ -73,8 +76,9 @@ from tidemark.plans.history_queries import (
     dim_of,
     purchases_of,
 )
-from tidemark.plans.registry import Tables, query
+from tidemark.plans.registry import SQL, Tables, query
 from tidemark.sources import generate as G
+from tidemark.sources.parts import PartTable
 
 # --- rules and projections ----------------------------------------------------------------------
 
@@ -334,6 +338,29 @@ def _(t: Tables) -> DataFrame:
     return replace_window(target_orders(t), source_orders(t), "o_orderdate", low, high)
 
 
+def month_parts(t: Tables, split: str = "date_format(o_orderdate, 'yyyy-MM')") -> PartTable:
+    table = PartTable(t.spark, t.scratch("parts"), "o_orderdate", split)
+    table.append(target_orders(t))
+    return table
+
+
+@query("replace_where_stored", SQL["replace_window"], decimals=["o_totalprice"])
+def _(t: Tables) -> DataFrame:
+    """Half a year of a table stored by month is replaced in one commit."""
+    table = month_parts(t)
+    low, high = (datetime(1997, m, 1) for m in (1, 7))
+    table.replace_range(source_orders(t), low, high)
+    return table.read()
+
+
+@query("backfill_stored", SQL["backfill_override"], decimals=["o_totalprice"])
+def _(t: Tables) -> DataFrame:
+    """The range of one run, on parts of which one is NULL and the others hold a colon; the range cuts through all of them."""
+    table = month_parts(t, "CASE WHEN o_orderstatus <> 'P' THEN concat(o_orderstatus, ':', o_custkey % 3) END")
+    table.replace_range(source_orders(t), datetime(1998, 1, 1), None, override=(None, datetime(1996, 1, 1)))
+    return table.read()
+
+
 @query("delete_where", f"{MERGE} SELECT * FROM t WHERE NOT (o_orderstatus = 'P' AND o_totalprice > 100000)", decimals=["o_totalprice"])
 def _(t: Tables) -> DataFrame:
     return delete_where(target_orders(t), "o_orderstatus = 'P' AND o_totalprice > 100000")
@@ -547,6 +574,96 @@ def _(t: Tables) -> DataFrame:
     return before.unionByName(granted).unionByName(visible("revoked"))
 
 
+def _stored(t: Tables) -> tuple[GrantTable, PolicyTable]:
+    grants = GrantTable(t.spark, t.scratch("grants"))
+    return grants, PolicyTable(t.spark, t.scratch("policies"), grants)
+
+
+@query("policy_stored", SQL["governed_read"], decimals=["salario"])
+def _(t: Tables) -> DataFrame:
+    """The same policies as rows of a table; one is set twice, another set and dropped again."""
+    grants, policies = _stored(t)
+    grants.grant(grants_of(t))
+    policies.set_filter("reps", "regiao").set_mask("reps", "cpf", shown="?").set_mask("reps", "departamento").set_filter("other", "cpf")
+    policies.set_mask("reps", "cpf").drop_mask("reps", "departamento").set_mask("reps", "salario", by="cpf", shown="0")
+    return policies.read("reps", reps_of(t), USER)
+
+
+@query(
+    "grant_revoke_stored",
+    f"""WITH {REPS} SELECT 'granted' AS step, id, regiao FROM r WHERE regiao IN {_mine('regiao')}
+UNION ALL SELECT 'more', id, regiao FROM r WHERE regiao IN {_mine('regiao')} OR regiao = 'AFRICA'
+UNION ALL SELECT 'revoked', id, regiao FROM r WHERE regiao IN {_mine('regiao')} AND regiao <> 'ASIA'""",
+)
+def _(t: Tables) -> DataFrame:
+    """A grant is added, another withdrawn; each read follows the table as it then is. The reader is the session's own user."""
+    grants, policies = _stored(t)
+    policies.set_filter("reps", "regiao")
+    me = F.when(F.col("email") == USER, session_user()).otherwise(F.col("email"))
+    grants.grant(grants_of(t).withColumn("email", me))
+    mine = grants.read().filter(F.col("email") == session_user()).select("email").distinct()
+
+    def visible(step: str) -> DataFrame:
+        seen = policies.read("reps", reps_of(t)).select(F.lit(step).alias("step"), "id", "regiao")
+        return t.keep(seen, "visible")
+
+    steps = [visible("granted")]
+    none = F.lit(None).cast("string").alias("cpf")
+    grants.grant(mine.select("email", F.lit("AFRICA").alias("regiao"), none))
+    steps.append(visible("more"))
+    grants.revoke(mine.select("email", F.lit("AFRICA").alias("regiao"), none))
+    grants.revoke(grants.read().filter((F.col("email") == session_user()) & (F.col("regiao") == "ASIA")))
+    steps.append(visible("revoked"))
+    return steps[0].unionByName(steps[1]).unionByName(steps[2])
+
+
+@query(
+    "grants_reset",
+    """SELECT DISTINCT 'admin@example.com' AS email, r_name AS regiao, '' AS cpf FROM region""",
+)
+def _(t: Tables) -> DataFrame:
+    """Whatever was granted before, the baseline alone is left."""
+    grants, _ = _stored(t)
+    grants.grant(grants_of(t))
+    grants.revoke([(USER, "ASIA", None)])
+    grants.reset(t.region.select(F.lit("admin@example.com").alias("email"), F.col("r_name").alias("regiao"), F.lit("").alias("cpf")))
+    return grants.read()
+
+
+@query("session_user", f"WITH {REPS} SELECT id, true AS mine FROM r")
+def _(t: Tables) -> DataFrame:
+    """Rows marked with the name of whoever runs the query are that user's own."""
+    marked = reps_of(t).select("id", session_user().alias("owner"))
+    return policy(marked, F.col("owner") == session_user()).select("id", F.col("owner").isNotNull().alias("mine"))
+
+
+@query(
+    "gen_refused",
+    "SELECT c_custkey, step, true AS refused FROM customer, (VALUES ('no orders'), ('too small a pool'), ('too few orders'), ('too few reps')) v(step)"
+    " WHERE c_custkey = (SELECT min(c_custkey) FROM customer)",
+)
+def _(t: Tables) -> DataFrame:
+    """Arguments that cannot hold the planted rows are refused before anything runs; the ids come from a table."""
+    first = t.customer.agg(F.min("c_custkey").alias("c_custkey"))
+    ids = t.orders.select((F.col("o_orderkey") + 1).alias("pedido_id"))
+    calls = {
+        "no orders": lambda: G.generate_orders(t.spark, 0, ids=ids),
+        "too small a pool": lambda: G.generate_orders(t.spark, 100, pool=41, ids=ids),
+        "too few orders": lambda: G.generate_orders(t.spark, 10, ids=ids),
+        "too few reps": lambda: G.generate_reps(t.spark, 41),
+    }
+    rows = None
+    for step, call in calls.items():
+        try:
+            call()
+            refused = False
+        except ValueError:
+            refused = True
+        row = first.select("c_custkey", F.lit(step).alias("step"), F.lit(refused).alias("refused"))
+        rows = row if rows is None else rows.unionByName(row)
+    return rows
+
+
 # --- summaries ----------------------------------------------------------------------------------
 
 
@@ -837,6 +954,13 @@ AUDIT_SQL = (
 )
 
 
+def runs_of(t: Tables) -> int:
+    """How many times a user's tier changes, the first one included: the rows that a type 2 dimension must have."""
+    events = t.events.filter("event_type <> 'purchase'")
+    before = F.lag("event_type").over(Window.partitionBy("user_id").orderBy("ts"))
+    return events.select(F.col("event_type").eqNullSafe(before).alias("same")).filter("NOT same").count()
+
+
 @query("audit_all", AUDIT_SQL)
 def _(t: Tables) -> DataFrame:
     """Every kind of check, over whole tables."""
@@ -859,7 +983,7 @@ def _(t: Tables) -> DataFrame:
             A.audit(
                 dim,
                 [
-                    A.row_count(dim.count()),
+                    A.row_count(runs_of(t)),
                     A.in_domain("tier", ["signup", "view", "click", "error"]),
                     A.unique(["user_id", START]),
                     A.one_open_row(["user_id"]),

@@ -8,6 +8,8 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,9 +68,25 @@ def _scratch_root(spark: SparkSession) -> str:
     return f"{shared_folder(spark).rstrip('/')}/tidemark/{spark.sparkContext.applicationId}"
 
 
+_WATCHERS: list[Callable[[str], None]] = []
+
+
+@contextmanager
+def watch_scratch(told: Callable[[str], None]):
+    """Tell ``told`` each scratch path that is taken in the meantime, so that its folders can go once they have served."""
+    _WATCHERS.append(told)
+    try:
+        yield
+    finally:
+        _WATCHERS.remove(told)
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
-    return f"{_scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{_scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    for told in _WATCHERS:
+        told(path)
+    return path
 
 
 def clear_scratch(spark: SparkSession) -> None:

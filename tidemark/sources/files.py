@@ -9,13 +9,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.merge import widen_schema
 from tidemark.runtime import Files, materialize
+from tidemark.sources.ledger import FileLedger, stream_id, write_names
 
 RESCUED = "_rescued_data"
 INGEST_COLUMNS = ("_ingest_file_path", "_ingest_file_mtime", "_ingest_ts")
 _LISTING = "path string, modificationTime timestamp, length long, content binary"
 _BATCH = "ingest_batch"
-_FILES = "_files"  # inside a committed batch: the names of the files it holds
+_BY = "_by.json"  # inside a committed batch: the stream that brought it and that stream's number for it
 EVERY_AGE = "36500d"  # a file is new when it was not seen, however old its time stamp is
 
 
@@ -71,15 +73,6 @@ def files_by_schema(paths: DataFrame) -> list[list[str]]:
     return [r.paths for r in groups.orderBy(F.element_at("paths", 1)).collect()]
 
 
-def widen_schema(known: T.StructType | None, found: Iterable[T.StructType]) -> T.StructType:
-    """The known columns as they are, followed by new ones in order of appearance; names differ by more than case."""
-    fields = {f.name.lower(): f for f in (known.fields if known else [])}
-    for schema in found:
-        for f in schema.fields:
-            fields.setdefault(f.name.lower(), T.StructField(f.name, f.dataType, True))
-    return T.StructType(list(fields.values()))
-
-
 def discover_schema(spark: SparkSession, src: str, known: T.StructType | None = None) -> T.StructType:
     """Schema of every parquet file below ``src``, added to the known one and never narrowing it."""
     listing = spark.read.format("binaryFile").schema(_LISTING).option("pathGlobFilter", "*.parquet")
@@ -113,11 +106,31 @@ def rescue_misfits(df: DataFrame, target: T.StructType) -> DataFrame:
 def _exact_cast(raw: Column, source: T.DataType, target: T.DataType) -> Column:
     """``try_cast`` that also refuses whatever does not come back as it was; text may be written in other ways."""
     cast = raw.try_cast(target)
-    if isinstance(source, (T.StringType, T.ArrayType, T.MapType, T.StructType)):
+    if isinstance(source, T.StringType):
+        return F.when(_text_kept(raw, cast, target), cast)
+    if isinstance(source, (T.ArrayType, T.MapType, T.StructType)):
         return cast
     return F.when(cast.try_cast(source).eqNullSafe(raw), cast)
 
 
+def _text_kept(raw: Column, cast: Column, target: T.DataType) -> Column:
+    """Whether a cast of text lost nothing: no digits of a fraction, no time of a day, no zone. Signs and outer zeros are free."""
+    text = F.trim(raw)
+    fraction = F.length(F.regexp_extract(text, r"\.(\d*?)0*$", 1))
+    if isinstance(target, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return text.rlike(r"^[+-]?\d+$")
+    if isinstance(target, T.DecimalType):
+        return text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)$") & (fraction <= target.scale)
+    if isinstance(target, T.DateType):
+        return cast.cast("timestamp_ntz").eqNullSafe(text.try_cast("timestamp_ntz"))
+    if isinstance(target, T.TimestampNTZType):
+        seconds = F.length(F.regexp_extract(text, r"\.(\d*?)0*$", 1))
+        return ~text.rlike(r"\d\s*(Z|UTC|GMT|[A-Za-z]+/[A-Za-z_]+)$|:\d+(\.\d+)?\s*[+-]\d") & (seconds <= 6)
+    if isinstance(target, T.TimestampType):
+        return F.length(F.regexp_extract(text, r"\.(\d*?)0*(\D|$)", 1)) <= 6
+    return F.lit(True)
+
+
 def read_widened(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Old and new files under one wider schema (int to bigint and the like); no file is rewritten."""
     return spark.read.schema(schema).parquet(path)
@@ -167,26 +180,31 @@ class BronzeTable:
         names = [n for n in self.files.list(self.path) if n.startswith(f"{_BATCH}=")]
         return sorted(int(n.split("=", 1)[1]) for n in names)
 
-    def new_files(self, paths: DataFrame) -> DataFrame:
-        """Those of ``paths`` that no committed batch holds."""
-        paths = paths.select("path").distinct()
-        if not self.batches():
-            return paths
-        held = self.spark.read.schema("path string").parquet(f"{self.path}/{_BATCH}=*/{_FILES}")
-        return paths.join(held, "path", "left_anti")
+    def ledger(self) -> FileLedger:
+        return FileLedger(self.spark, f"{self.path}/_ledger")
+
+    def _catch_up(self, ledger: FileLedger) -> None:
+        """Batches are numbered; the ledger says how many it has taken in."""
+        known = ledger.table.version() + 1
+        fresh = [self.batch_path(b) for b in self.batches()[known:]]
+        ledger.catch_up({p: tuple(self.files.read_json(f"{p}/{_BY}")) for p in fresh})
 
-    def append(self, paths: DataFrame, batch_id: int) -> None:
+    def append(self, paths: DataFrame, batch_id: int, stream: str = "") -> None:
         """Commit the files of one batch that are not held yet: written aside, then moved into place as a whole.
 
-        The names of its files are part of a batch. So a replay adds nothing, and a stream on a new
+        The names of its files are part of a batch, and go to a ledger. So a replay adds nothing, and a stream on a new
         checkpoint, which counts its batches from 0 again, adds exactly the files that are missing.
         """
-        taken = self.batches()
-        done = self.batch_path(taken[-1] + 1 if taken else 0)
-        paths = materialize(self.new_files(paths), "new-files")
-        groups = files_by_schema(paths)
+        ledger = self.ledger()
+        self._catch_up(ledger)
+        if ledger.has(stream, batch_id):
+            return
+        paths = materialize(ledger.missing(paths.select(F.col("path").alias("file")), stream), "new-files")
+        groups = files_by_schema(paths.withColumnRenamed("file", "path"))
         if not groups:
             return
+        taken = self.batches()
+        done = self.batch_path(taken[-1] + 1 if taken else 0)
         frames = [self.spark.read.parquet(*g) for g in groups]
         target = widen_schema(self.schema(), [f.schema for f in frames])
         rows = None
@@ -195,9 +213,11 @@ class BronzeTable:
             rows = part if rows is None else rows.unionByName(part)
         staged = f"{self.path}/_staged/{_BATCH}={batch_id}"
         rows.write.mode("overwrite").parquet(staged)
-        paths.coalesce(1).write.mode("overwrite").parquet(f"{staged}/{_FILES}")
+        write_names(paths, staged)
+        self.files.write_json(f"{staged}/{_BY}", [stream, batch_id])
         self.save_schema(target)
         self.files.rename(staged, done)
+        ledger.add(paths, stream, batch_id)
 
 
 def _read_into(frame: DataFrame, target: T.StructType) -> DataFrame:
@@ -239,8 +259,11 @@ def ingest_files(
         recursiveFileLookup="true",
         maxFilesPerTrigger=max_files,
     ).select("path")
+    def append(paths: DataFrame, batch_id: int) -> None:
+        bronze.append(paths, batch_id, stream_id(spark, checkpoint))
+
     query = (
-        names.writeStream.foreachBatch(bronze.append)
+        names.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -16,9 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.merge import widen_schema
 from tidemark.operators.scd import scd1
 from tidemark.runtime import Files
-from tidemark.sources.files import widen_schema
 
 FAN = 4  # runs of one size class that are merged into one
 SMALL_BYTES = 64 * 1024  # runs up to this size are one class; each further class is FAN times larger
@@ -222,7 +222,14 @@ class RunTable:
             )
         return rows.filter(~F.col(GONE)) if hide else rows
 
-    def _rows(self, schema: T.StructType | None, near: DataFrame | None, hide: bool) -> DataFrame:
+    def raw(self) -> DataFrame:
+        """All rows of all runs, those that count and those that no longer do, with RUN and GONE."""
+        head = self._head()
+        return self._union(head["rows"], self._stored_schema(head))
+
+    def _rows(
+        self, schema: T.StructType | None, near: DataFrame | None, hide: bool, only: DataFrame | None = None
+    ) -> DataFrame:
         head = self._head()
         if head.get("schema") is None:
             if schema is None:
@@ -230,20 +237,45 @@ class RunTable:
             empty = self.spark.createDataFrame([], schema)
             return empty if hide else empty.withColumn(GONE, F.lit(False))
         rows = self._union(head["rows"], self._stored_schema(head), near)
+        if only is not None:
+            rows = rows.join(only, only.columns, "left_semi")
         if len(head["rows"]) == 1 and (self.rule != SUM):  # a run holds what counted when it was written
             rows = rows.filter(~F.col(GONE)) if hide else rows
         else:
             rows = self._resolved(rows, hide)
         return rows.drop(RUN, GONE) if hide else rows.drop(RUN)
 
-    def read(self, schema: T.StructType | None = None) -> DataFrame:
-        """The rows that count; ``schema`` serves before the first commit."""
-        return self._rows(schema, None, True)
+    def read(self, schema: T.StructType | None = None, only: DataFrame | None = None) -> DataFrame:
+        """The rows that count; ``schema`` serves before the first commit. ``only`` holds the values of some key columns to which the
+        rows are restricted before it is decided which count, so that other rows are not shuffled.
+        """
+        return self._rows(schema, None, True, only)
 
     def near(self, frame: DataFrame, schema: T.StructType | None = None, gone: bool = False) -> DataFrame:
         """The rows that share a prefix with rows of ``frame``: all those with their placing columns, and others."""
         return self._rows(schema, frame, not gone)
 
+    def in_buckets(self, wanted: DataFrame, bucket: Column, name: str, bits: int) -> DataFrame:
+        """The rows that count among those whose ``bucket``, the first ``bits`` of their hash, is in ``wanted`` (name: long).
+
+        Runs laid out by prefix are read only where wanted buckets lie, and no other rows are shuffled.
+        """
+        head = self._head()
+        frames = []
+        for run in head["rows"]:
+            df = self._union([run], self._stored_schema(head))
+            if run["bits"]:
+                up = min(run["bits"], bits)
+                prefixes = wanted.select(F.shiftrightunsigned(name, bits - up).cast("int").alias("p")).distinct().collect()
+                low = [r.p << (run["bits"] - up) for r in prefixes]
+                every = [p + i for p in low for i in range(1 << (run["bits"] - up))]
+                schema = T.StructType([*self._stored_schema(head).fields, T.StructField(PREFIX, T.IntegerType())])
+                df = self.spark.read.schema(schema).parquet(f"{self.path}/runs/{run['name']}").filter(F.col(PREFIX).isin(*every)).drop(PREFIX)
+            frames.append(df)
+        rows = reduce(DataFrame.unionByName, frames)
+        rows = rows.withColumn(name, bucket).join(wanted.select(name), name, "left_semi").drop(name)
+        return self._resolved(rows).drop(RUN, GONE)
+
     def read_log(self, schema: T.StructType | None = None, near: DataFrame | None = None, staged: dict | None = None) -> DataFrame:
         """All rows of the log, or those of prefixes that rows of ``near`` fall into; ``staged`` adds a run that is not committed."""
         head = self._head()

@@ -9,12 +9,13 @@ not at all. A generation left behind by a lost job is named by no commit and ove
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.runtime import Files
+from tidemark.runtime import Files, materialize
 
 CELL = "_cell"
 OPEN = "open"
@@ -32,9 +33,12 @@ def truncate(spark: SparkSession, path: str) -> None:
     spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, by: str, emptied: Sequence[str] = ()) -> None:
-    """Overwrite the partitions ``df`` holds; drop those in ``emptied`` that it does not."""
-    spark = df.sparkSession
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name for NULL
+
+
+def replace_partitions(df: DataFrame, path: str, by: str, emptied: Sequence[str | None] = ()) -> None:
+    """Overwrite the partitions ``df`` holds; drop those in ``emptied`` (None for NULL) that it does not."""
+    df = materialize(df, "partitions")
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -43,11 +47,13 @@ def replace_partitions(df: DataFrame, path: str, by: str, emptied: Sequence[str]
     )
     if not emptied:
         return
-    filled = {str(r[0]) for r in df.filter(F.col(by).cast("string").isin(*emptied)).select(by).distinct().collect()}
-    files = Files(spark)
-    for value in emptied:
-        if value not in filled:
-            files.delete(f"{path}/{by}={value}")
+    filled = {r[0] for r in df.select(F.col(by).cast("string")).distinct().collect()}
+    gone, files = set(emptied) - filled, Files(df.sparkSession)
+    for name in files.list(path):
+        if name.startswith(f"{by}="):
+            value = unquote(name.split("=", 1)[1])  # folders bear special characters as %XX
+            if (None if value == NO_VALUE else value) in gone:
+                files.delete(f"{path}/{name}")
 
 
 class KeyedTable:

@@ -13,10 +13,12 @@ from tidemark.operators.merge import delete_insert, insert_if_absent, merge_full
 from tidemark.operators.quality import Rule, write_checked
 from tidemark.operators.scd import END, START, row_changes, scd1, scd1_merge, scd2, scd2_changes, scd2_delta
 from tidemark.runtime import Files, materialize
+from tidemark.sources.ledger import FileLedger, stream_id, write_names
 from tidemark.sources.runs import GONE, LATEST, NEWEST, RunTable
 from tidemark.sources.tables import OPEN, KeyedTable
 
 Sink = Callable[[DataFrame, int], None]
+SOURCE = "_source"  # the file a streamed row comes from
 
 
 def run_available(query: StreamingQuery) -> StreamingQuery:
@@ -268,23 +270,40 @@ def scd2_table(spark: SparkSession, path: str, keys: Sequence[str], buckets: int
 
 
 def stream_expect(
-    stream: DataFrame, rules: Sequence[Rule], path: str, checkpoint: str
+    stream: DataFrame, rules: Sequence[Rule], path: str, checkpoint: str, source: str | None = None
 ) -> list[dict[str, int]]:
     """Append passing rows batch by batch; returns the counts of each batch committed in this run.
 
     A violated fail rule raises and leaves nothing of its batch behind. Batches are named after their stream, whose id
-    lies in its checkpoint, and their number: a replay adds nothing, and a stream on a new checkpoint appends all
-    it reads. To read a source over, start on a new output (``refresh``), or its rows are there twice.
+    lies in its checkpoint, and their number, so a replay adds nothing. ``source`` names a column with the file that each row
+    comes from; it is not stored. With it a ledger keeps the files taken in, and a stream on a new checkpoint adds exactly
+    the rows of files that are missing. Without it such a stream appends all it reads: start it on a new output (``refresh``).
     """
     counts: list[dict[str, int]] = []
     files = Files(stream.sparkSession)
+    root = path.rstrip("/")
+    ledger = FileLedger(stream.sparkSession, f"{root}/_ledger") if source else None
+    if ledger:
+        found = {}
+        for name in files.list(root):
+            if name.startswith("batch="):
+                stream_name, _, number = name.removeprefix("batch=").rpartition("-")
+                found[f"{root}/{name}"] = (stream_name, int(number))
+        ledger.catch_up(found)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        stream_id = files.read_json(f"{checkpoint.rstrip('/')}/metadata")["id"]
-        target = f"{path.rstrip('/')}/batch={stream_id}-{batch_id}"
+        mine = stream_id(batch.sparkSession, checkpoint)
+        target = f"{root}/batch={mine}-{batch_id}"
         if files.exists(f"{target}/_SUCCESS"):
             return
-        counts.append(write_checked(batch, rules, target))
+        if not ledger:
+            counts.append(write_checked(batch, rules, target))
+            return
+        fresh = materialize(ledger.missing(batch.select(F.col(source).alias("file")), mine), "new-files")
+        if set(ledger.last()) - {mine}:
+            batch = batch.join(fresh, F.col(source) == F.col("file"), "left_semi")
+        counts.append(write_checked(batch.drop(source), rules, target, beside=lambda staged: write_names(fresh, staged)))
+        ledger.add(fresh, mine, batch_id)
 
     append_flow(stream, apply, checkpoint)
     return counts
