@@ -172,6 +172,12 @@ def _scd1_runs_sink(table: RunTable, delete_when: str | None, feed: str | None)
         if not feed:
             table.commit(last)
             return
+        if table.schema() is None:
+            shown = F.when(~F.col(GONE), F.struct(*batch.columns))
+            changes = last.select(F.lit(None).cast(batch.schema).alias("was"), shown.alias("now")).filter("now IS NOT NULL")
+            changes.write.mode("overwrite").parquet(f"{feed}/batch=0")
+            table.commit(last)
+            return
         last = materialize(last, "batch")
         held = table.near(last, batch.schema, gone=True)
         ids = last.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(table.keys)])
