@@ -28,12 +28,12 @@ def stored(spark, tmp_path):
 
 def test_registers_hold_zeros_and_mantissa_of_the_least_hash():
     rng = np.random.default_rng(1)
-    for n, k in ((0, 128), (1, 128), (50, 128), (5000, 128), (5000, 4096)):
+    for n, k in ((0, 128), (1, 128), (50, 80), (5000, 128), (5000, 4096)):
         s = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
-        bits, least = k.bit_length() - 1, {}
-        for h in map(int, mix(s ^ np.uint64(k))):
-            low = (h << bits) % 2**64
-            least[h >> (64 - bits)] = min(low, least.get(h >> (64 - bits), 2**64))
+        least = {}
+        for h, low in zip(map(int, mix(s ^ np.uint64(k))), map(int, mix(mix(s ^ np.uint64(k))))):
+            b = ((h >> 32) * k) >> 32
+            least[b] = min(low, least.get(b, 2**64))
         want = [0] * k
         for b, low in least.items():
             text = f"{low:064b}"
@@ -65,22 +65,29 @@ def test_estimates_are_corrected_for_collisions():
             assert abs(np.mean(raw) - hyperminhash.accidental(np.array([n]), np.array([n]), 512)[0]) < 0.15
 
 
-@pytest.mark.parametrize("level", [0, 1, 2])
-def test_pairs_at_the_threshold_share_a_band_and_pass_the_estimate(level):
-    many, size = hyperminhash.LEVELS[level]
-    assert (1 - 0.85**size) ** many < 1e-8
-    rng, missed, refused, pairs = np.random.default_rng(level), 0, 0, 0
-    for n in (5, 7, 9, 14, 40, 100, 400, 2500):
+def test_pairs_at_the_threshold_share_a_key_and_pass_the_estimate():
+    """Small sets are covered by the pigeonhole principle, large ones but for one pair in 10^10."""
+    assert (1 - 0.85**hyperminhash.BAND_REGISTERS) ** hyperminhash.BANDS < 1e-10
+    rng, small, tried = np.random.default_rng(7), hyperminhash.classes_of_sizes(T), 0
+    assert small[-1][0] > 100 and all(bands <= hyperminhash.BANDS for _, bands, _ in small)
+    for n in (7, 8, 12, 14, 19, 25, 33, 47, 60, 100, 130, 160, 190, 240, 400, 2500):
         for _ in range(60):
             a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
-            b = a[: int(np.ceil(0.85 * len(a)))] if n != 5 else a.copy()
-            one, two = (hyperminhash.registers(x, many * size) for x in (a, b))
-            x, y = one.reshape(many, size), two.reshape(many, size)
-            missed += not ((x == y).all(axis=1) & x.any(axis=1)).any()
-            got, used = hyperminhash.estimate(one[None], two[None], np.array([len(a)]), np.array([len(b)]))
-            refused += not hyperminhash.possible(got, used, 0.85)[0]
-            pairs += 1
-    assert missed == 0 and refused == 0 and pairs == 480
+            lost = int(len(a) * 0.15 + 1e-9)
+            drop = rng.integers(0, lost + 1)
+            b = np.delete(a, rng.choice(len(a), drop, replace=False))
+            more = int((len(b) - 0.85 * len(a)) / 0.85)
+            b = np.unique(np.concatenate([b, rng.integers(0, 1 << 63, max(0, more), dtype=np.uint64)]))
+            union, both = len(np.union1d(a, b)), len(np.intersect1d(a, b))
+            if both == union or 100 * both < 85 * union:
+                continue
+            tried += 1
+            keys = [hyperminhash.set_keys(x, T, small) for x in (a, b)]
+            assert len(np.intersect1d(*keys)), (n, len(a), len(b))
+            one, two = (hyperminhash.registers(x, 128)[None] for x in (a, b))
+            near, used = hyperminhash.estimate(one, two, np.array([len(a)]), np.array([len(b)]))
+            assert hyperminhash.possible(near, used, 0.85)[0]
+    assert tried > 700
 
 
 def shingle_set(text, size):
@@ -107,7 +114,9 @@ def classes_of(sets, threshold):
 
 @pytest.mark.parametrize("small,hot", [(32, 1000), (1, 2)])
 def test_groups_against_brute_force(spark, stored, monkeypatch, small, hot):
-    """With buckets of two already crowded every class goes through the finer levels; with two rows hot every join back is tried."""
+    """With buckets of two already crowded all pairs meet in tiles; with two rows hot every join back is tried."""
+    monkeypatch.setattr(hyperminhash, "CHUNK_SETS", 5 if small == 1 else 1024)
+    monkeypatch.setattr(hyperminhash, "BROADCAST_ROWS", 0 if small == 1 else 500_000)
     monkeypatch.setattr(graph, "SMALL", small)
     monkeypatch.setattr(hyperminhash, "HOT_ROWS", hot)
     rng, rows = random.Random(4), []
@@ -136,8 +145,9 @@ def test_groups_against_brute_force(spark, stored, monkeypatch, small, hot):
 
 
 def test_a_crowd_below_the_threshold_stays_apart(spark, stored, monkeypatch):
-    """Many texts that share most of their words, and pairs that share nearly all: the levels keep what is linked only."""
+    """Many texts that share most of their words, and pairs that share nearly all, compared in tiles."""
     monkeypatch.setattr(graph, "SMALL", 4)
+    monkeypatch.setattr(hyperminhash, "CHUNK_SETS", 30)
     rng = random.Random(9)
     passage, rows = [rng.choice(WORDS) for _ in range(150)], []
     for i in range(60):

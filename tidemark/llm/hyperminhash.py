@@ -13,22 +13,27 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded_batches, materialize, rows_of_bytes
-from tidemark.llm.graph import linked_groups
+from tidemark.llm.graph import components, linked_groups
 from tidemark.llm.sets import mix, shingles, words
 
 MANTISSA = 10  # bits of a register behind its leading zeros, of which there are up to 63
-#: (bands, registers in a band). Sets of similarity 0.85 miss all bands of a level in fewer than one case in 10^8. The next level
-#: serves sets in buckets that stay crowded: its longer bands tell apart what is similar, but not enough.
-LEVELS = [(32, 4), (64, 8), (256, 16)]
+#: Sets of similarity 0.85 agree in none of so many bands of so many registers in fewer than one case in 10^10.
+BANDS, BAND_REGISTERS = 32, 4
+SMALL_REGISTERS = 16  # in a band of a set that has too few elements to fill BANDS of them
+CLASS_RATIO = Fraction(5, 4)  # sizes of one class of small sets differ by at most this factor
+SPARSE = 2  # a band of so few elements tells little
 MISSED = 1e-9  # largest chance that a candidate pair at the threshold is taken for one below it
 HOT_SHARE = 4096  # a set that more than this share of all rows have is joined by broadcast: there are fewer such sets
 HOT_ROWS = 1000
+BROADCAST_ROWS = 500_000  # most candidates, of some 40 bytes, that go to every task that reads texts
+CHUNK_SETS = 1024  # of a crowd, compared with as many others in one task
+CHUNK_ELEMENTS = 2_000_000
 
-_KINDS = "_key {}, n_shingles long, digest binary, registers binary"
+_KINDS = "_key {}, n_shingles long, digest binary, registers binary, keys array<long>"
 
 
 def registers(elements: np.ndarray, buckets: int) -> np.ndarray:
@@ -36,33 +41,68 @@ def registers(elements: np.ndarray, buckets: int) -> np.ndarray:
     out = np.zeros(buckets, np.uint16)
     if not len(elements):
         return out
-    hashes = mix(elements ^ np.uint64(buckets))
+    bucket, value = placed(elements, buckets)
     least = np.full(buckets, np.iinfo(np.uint64).max, np.uint64)
-    bits = np.uint64(buckets.bit_length() - 1)
-    bucket = (hashes >> np.uint64(64 - int(bits))).astype(np.int64)
-    value = hashes << bits
     np.minimum.at(least, bucket, value)
     some = np.unique(bucket)
     low = least[some]
-    # exact number of leading zeros: a float's exponent may round up, so it is corrected
-    zeros = 63 - np.floor(np.log2(np.maximum(low, 1).astype(np.float64))).astype(np.int64)
-    zeros = np.clip(zeros, 0, 62)
-    zeros += ((np.uint64(1) << (63 - zeros).astype(np.uint64)) > low).astype(np.int64)
-    zeros = np.clip(zeros, 0, 62)
+    # a float's exponent may be rounded up, so the number of leading zeros is corrected
+    zeros = np.clip(63 - np.floor(np.log2(np.maximum(low, 1).astype(np.float64))).astype(np.int64), 0, 62)
+    zeros = np.clip(zeros + ((np.uint64(1) << (63 - zeros).astype(np.uint64)) > low), 0, 62)
     mantissa = (low << (zeros + 1).astype(np.uint64)) >> np.uint64(64 - MANTISSA)
     out[some] = (1 + (zeros << MANTISSA) + mantissa.astype(np.int64)).astype(np.uint16)
     return out
 
 
-def bands(sketch: Column, level: int) -> Column:
-    """One key for each band that has an element in it, from the stored registers."""
-    many, size = LEVELS[level]
-    wide = 2 * size
-    cut = lambda i: F.substring(sketch, F.lit(1) + i * F.lit(wide), F.lit(wide))
-    places = F.filter(
-        F.sequence(F.lit(0), F.lit(many - 1)), lambda i: cut(i) != F.lit(bytes(wide))
-    )
-    return F.transform(places, lambda i: F.xxhash64(F.lit(level), i, cut(i)))
+def placed(elements: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bucket of each element, and its hash value there."""
+    hashes = mix(elements ^ np.uint64(buckets))
+    return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64), mix(hashes)
+
+
+def classes_of_sizes(threshold: Fraction) -> list[tuple[int, int, int]]:
+    """(largest size, bands, spare bands) of each class of small sets, until a class needs more than BANDS.
+
+    Two sets of a class differ in at most d elements. An element lies in one band, so of d + 1 + spare bands spare + 1 agree
+    whatever the registers: no pair of small sets is left to chance.
+    """
+    out, top = [], 1
+    while True:
+        apart = int(2 * top * (1 - threshold) / (1 + threshold))
+        spare = max(1, apart // 8)
+        if apart + 1 + spare > BANDS:
+            return out
+        out.append((top, apart + 1 + spare if apart else 0, spare))
+        top = max(top + 1, int(top * CLASS_RATIO))
+
+
+def band_keys(elements: np.ndarray, bands: int, size: int, spare: int | None) -> np.ndarray:
+    """A key for each band that has elements. With ``spare`` bands too many, sparse ones are left out if there are not more of them."""
+    regs = registers(elements, bands * size)
+    content = regs.reshape(bands, size).view(np.uint64)
+    keys = mix(np.arange(bands, dtype=np.uint64) + (np.uint64(bands) << np.uint64(32)) + (np.uint64(size) << np.uint64(48)))
+    for column in content.T:
+        keys = mix(keys * np.uint64(3) + column)
+    used = content.any(axis=1)
+    if spare is None:
+        return keys[used]
+    counts = np.bincount(placed(elements, bands * size)[0] // size, minlength=bands)
+    return keys[counts > SPARSE] if (counts <= SPARSE).sum() <= spare else keys[used]
+
+
+def set_keys(elements: np.ndarray, threshold: Fraction, small: list[tuple[int, int, int]]) -> np.ndarray:
+    """Keys in the set's own class and in each further one in which a similar set can lie.
+
+    Of two sets that differ the smaller gives the larger's keys too. Where no difference is possible there are no keys.
+    """
+    n, out, below = len(elements), [np.empty(0, np.uint64)], 0
+    for top, bands, spare in small:
+        if n <= top and n >= threshold * (below + 1) and bands:
+            out.append(band_keys(elements, bands, SMALL_REGISTERS, spare))
+        below = top
+    if n >= threshold * (below + 1):
+        out.append(band_keys(elements, BANDS, BAND_REGISTERS, None))
+    return np.concatenate(out)
 
 
 def accidental(n: np.ndarray, m: np.ndarray, buckets: int) -> np.ndarray:
@@ -98,19 +138,22 @@ def possible(estimated: np.ndarray, used: np.ndarray, threshold: float) -> np.nd
     return (estimated >= threshold) | (used * apart <= -math.log(MISSED))
 
 
-def sets_of(docs: DataFrame, size: int, key: str, text: str, buckets: int) -> DataFrame:
-    """(key, n_shingles, digest, registers) of each row; without words the digest is null."""
+def sets_of(docs: DataFrame, size: int, threshold: Fraction, key: str, text: str) -> DataFrame:
+    """(key, n_shingles, digest, registers, keys) of each row; without words the digest is null."""
+    small = classes_of_sizes(threshold)
 
     def sketch(batches):
         for b in batches:
-            n, digest, regs = [], [], []
+            n, digest, regs, keys = [], [], [], []
             for t in rows_of_bytes(b.column("_text")):
                 s = shingles(words(t.lower()), size)
                 n.append(len(s))
                 digest.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                regs.append(registers(s, buckets).tobytes() if len(s) else None)
-            arrays = [b.column("_key"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(regs, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, ["_key", "n_shingles", "digest", "registers"])
+                regs.append(registers(s, BANDS * BAND_REGISTERS).tobytes() if len(s) else None)
+                keys.append(set_keys(s, threshold, small).view(np.int64) if len(s) else None)
+            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+            arrays = [b.column("_key"), *[pa.array(v, k) for v, k in zip((n, digest, regs, keys), kinds)]]
+            yield pa.RecordBatch.from_arrays(arrays, ["_key", "n_shingles", "digest", "registers", "keys"])
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))
@@ -124,7 +167,7 @@ def near_duplicates(
 
     A text's set holds its distinct ``size``-word shingles, A-Z lower-cased; fewer words make one shingle; a null or empty text or
     one without words has the empty set and is linked with nothing. Texts link when the Jaccard similarity of their
-    full sets is at least ``threshold`` (0.85 or more, for which LEVELS are laid out); ``component_id`` is the smallest key
+    full sets is at least ``threshold`` (0.85 or more, for which the bands are laid out); ``component_id`` is the smallest key
     reachable by links, ``kept`` tells whether it is the row's own. Equal sets are one class from the start, and hold
     together however many rows have them. Very long texts are read whole; their sketch is no larger. Rows with a null key are grouped as others and
     count last for the smallest; rows that repeat a key come out once each. An empty table gives no rows, and other
@@ -133,13 +176,14 @@ def near_duplicates(
     if threshold < Fraction(85, 100) or threshold > 1:
         raise ValueError("the bands are laid out for thresholds from 0.85 to 1")
     bounded_batches(docs.sparkSession)
-    sets = materialize(sets_of(docs, size, key, text, math.prod(LEVELS[0])), "sets")
+    sets = materialize(sets_of(docs, size, threshold, key, text), "sets")
     full = sets.filter("digest IS NOT NULL")
     classes = full.groupBy("digest").agg(
         F.min("_key").alias("first"),
         F.count(F.lit(1)).alias("rows"),
         F.first("n_shingles").alias("n"),
         F.first("registers").alias("registers"),
+        F.first("keys").alias("keys"),
     )
     # numbered by place, so classes never share a number
     classes = materialize(classes, "numbered").withColumn("node", F.monotonically_increasing_id())
@@ -149,7 +193,8 @@ def near_duplicates(
         """(node, elements) of some classes, from the first text of each."""
         wanted = materialize(nodes.join(classes.select("node", "digest", "first"), "node"), "wanted")
         rows = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))
-        rows = rows.join(wanted, F.col("_key").eqNullSafe(F.col("first"))).select("node", "digest", "_text")
+        near = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted  # so few go to the texts, else these are shuffled
+        rows = rows.join(near, F.col("_key").eqNullSafe(F.col("first"))).select("node", "digest", "_text")
 
         def build(batches):
             for b in batches:
@@ -175,23 +220,34 @@ def near_duplicates(
         ends = close.select(F.col("a").alias("node")).unionByName(close.select(F.col("b").alias("node"))).distinct()
         return both(close, elements(ends), "elements").mapInArrow(lambda it: _similar(it, threshold), "a long, b long")
 
-    def groups(sketches: DataFrame, level: int) -> DataFrame:
-        """Groups of linked classes; those in crowded buckets are told apart by the next level's longer bands."""
-        members = materialize(sketches.select(F.explode(bands(F.col("registers"), level)).alias("bucket"), "node"), "members")
-        return linked_groups(members, verify, (lambda rows: finer(rows, level + 1)) if level + 1 < len(LEVELS) else None)
-
-    def finer(rows: DataFrame, level: int) -> DataFrame:
-        many = math.prod(LEVELS[level])
-
-        def sketch(batches):
-            for b in batches:
-                regs = [registers(np.frombuffer(x, np.uint64), many).tobytes() for x in b.column("elements").to_pylist()]
-                yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(regs, pa.binary())], ["node", "registers"])
-
-        sketches = elements(rows.select("node").distinct()).mapInArrow(sketch, "node long, registers binary")
-        return groups(materialize(sketches, "sketches"), level).select(F.col("node").alias("a"), F.col("root").alias("b"))
-
-    roots = groups(classes, 0)
+    def crowded(rows: DataFrame) -> DataFrame:
+        """Links that connect all similar sets of large buckets (bucket, node, root).
+
+        Such buckets overlap, so sets that share any are one crowd. It is cut by size into classes no wider than the threshold, of
+        which neighbours are compared, and these into chunks; each two chunks are a task. It compares registers and then
+        full sets of those still in different groups, and returns no more links than sets.
+        """
+        least = rows.groupBy("bucket").agg(F.min("node").alias("_least"))
+        crowds = components(rows.join(least, "bucket").select(F.col("_least").alias("a"), F.col("node").alias("b")))
+        sized = crowds.select("node", F.col("root").alias("crowd")).join(classes.select("node", "n"), "node")
+        own = F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(threshold) if threshold < 1 else 1.0)).cast("long")
+        sized = sized.select("node", "crowd", "n", F.explode(F.array(own, own + 1)).alias("class"))
+        chunks = F.greatest(F.ceil(F.count("node") / CHUNK_SETS), F.ceil(F.sum("n") / CHUNK_ELEMENTS))
+        many = sized.groupBy("crowd", "class").agg(chunks.alias("_chunks"))
+        put = sized.join(many, ["crowd", "class"]).withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_chunks")))
+        other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_chunks") - 1)).alias("_other")
+        tiles = put.select("node", "crowd", "class", "n", "_own", other)
+        tiles = tiles.withColumns({"_lo": F.least("_own", "_other"), "_hi": F.greatest("_own", "_other")}).drop("_other")
+        held = rows.select("node", "root").distinct()
+        full = tiles.join(elements(crowds.select("node")), "node").join(classes.select("node", "registers"), "node").join(held, "node")
+
+        def compare(table: pa.Table) -> pa.Table:
+            return _tile_links(table, threshold)
+
+        return full.groupBy("crowd", "class", "_lo", "_hi").applyInArrow(compare, "a long, b long")
+
+    members = materialize(classes.select(F.explode("keys").alias("bucket"), "node"), "members")
+    roots = linked_groups(members, verify, crowded)
     labels = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = labels.groupBy("root").agg(F.min("first").alias("component_id"))
     labels = materialize(labels.join(least, "root").select("digest", "rows", "component_id"), "labels")
@@ -229,11 +285,38 @@ def _estimated(batches, threshold: float):
 
 def _similar(batches, threshold: Fraction):
     """The pairs (a, b) whose full sets are similar."""
-    num, den = threshold.numerator, threshold.denominator
     for b in batches:
-        keep = []
-        for x, y in zip(b.column("elements_a").to_pylist(), b.column("elements_b").to_pylist()):
-            shared = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-            keep.append(den * shared >= num * ((len(x) + len(y)) // 8 - shared))
-        mask = pa.array(keep, pa.bool_())
+        pairs = zip(b.column("elements_a").to_pylist(), b.column("elements_b").to_pylist())
+        mask = pa.array([_near(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), threshold) for x, y in pairs], pa.bool_())
         yield pa.RecordBatch.from_arrays([b.column("a").filter(mask), b.column("b").filter(mask)], ["a", "b"])
+
+
+def _near(x: np.ndarray, y: np.ndarray, threshold: Fraction) -> bool:
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return threshold.denominator * shared >= threshold.numerator * (len(x) + len(y) - shared)
+
+
+def _tile_links(table: pa.Table, threshold: Fraction) -> pa.Table:
+    """Links between two chunks of a crowd, or within one: for each two groups that similar sets join, one."""
+    node, n, own = (table.column(c).to_numpy() for c in ("node", "n", "_own"))
+    _, group = np.unique(table.column("root").to_numpy(), return_inverse=True)
+    regs = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint16).reshape(len(node), -1)
+    sets = [np.frombuffer(x, np.uint64) for x in table.column("elements").to_pylist()]
+    lo, hi = table.column("_lo")[0].as_py(), table.column("_hi")[0].as_py()
+    num, den = threshold.numerator, threshold.denominator
+    links = []
+    for i in range(len(node)):
+        if lo != hi and own[i] != lo:
+            continue
+        met = np.arange(len(node)) > i if lo == hi else own == hi
+        met &= (group != group[i]) & (den * np.minimum(n, n[i]) >= num * np.maximum(n, n[i]))
+        after = np.flatnonzero(met)
+        if not len(after):
+            continue
+        near, used = estimate(np.broadcast_to(regs[i], (len(after), regs.shape[1])), regs[after], np.full(len(after), n[i]), n[after])
+        keep = possible(near, used, float(threshold))
+        for j in after[keep][np.argsort(-near[keep], kind="stable")]:
+            if group[j] != group[i] and _near(sets[i], sets[j], threshold):
+                links.append((int(node[i]), int(node[j])))
+                group[group == group[j]] = group[i]
+    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
