@@ -6,7 +6,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded_batches, materialize, nullable
@@ -14,6 +14,7 @@ from tidemark.llm.tokens import encoder
 
 ITEMS_PER_GROUP = 4096  # what one task packs at a time
 FAN_IN = 16  # most groups that merge into one
+OPENED = 25  # percent of a group's underfull bins, the emptiest, whose items are dealt with one by one in the next round
 SLACK_SHARE = 64  # a bin is nearly full when less than capacity / 64 is free
 
 
@@ -59,12 +60,23 @@ def _pack_group(table: pa.Table, capacity: int) -> pa.Table:
     return pa.table({"_group": group, "_fill": pa.array(filled), "_members": lists})
 
 
+def _opened(bins: DataFrame, size: str) -> DataFrame:
+    """``bins`` with the emptiest of each group taken apart into the items they hold."""
+    emptiest = F.percent_rank().over(Window.partitionBy("_group").orderBy("_fill"))
+    ranked = bins.withColumn("_open", (emptiest <= OPENED / 100) & (F.size("_members") > 1))
+    apart = ranked.filter("_open").select("_group", F.explode("_members").alias("_m"))
+    alone = F.array(F.col("_m").withField("_at", F.lit(0).cast("long"))).alias("_members")
+    apart = apart.select("_group", F.col("_m").getField(size).cast("long").alias("_fill"), alone)
+    return ranked.filter("NOT _open").select("_group", "_fill", "_members").unionByName(apart)
+
+
 def pack(items: DataFrame, size: str, capacity: int) -> DataFrame:
     """``items`` with ``sequence_id`` and ``offset`` (long): few bins of ``capacity``, filled without gaps from 0.
 
     Items of the whole capacity are bins of their own. The others are dealt into groups of about
     ITEMS_PER_GROUP; each group packs best-fit, its nearly full bins leave, and up to FAN_IN groups merge,
-    their underfull bins being the items of the next round, until one group is left or a round saves no bin.
+    their underfull bins being the items of the next round, until one group is left. Of these the OPENED emptiest are taken apart, so that
+    bins more than half full, which cannot join each other, take in their items one by one.
     Sizes run from 0 to ``capacity``; a null or larger size raises. Ties and repeated rows are items like any other; an
     empty table gives no rows. Other columns pass through; ``sequence_id`` and ``offset`` are replaced.
     """
@@ -95,15 +107,14 @@ def pack(items: DataFrame, size: str, capacity: int) -> DataFrame:
             level.groupBy("_group").applyInArrow(lambda t: _pack_group(t, capacity), schema), "pack-round"
         )
         open_bins = packed.filter(F.col("_fill") < capacity - slack)
-        left, before = open_bins.count(), count
-        bins = packed.count()
-        if groups == 1 or bins == before or left == 0:  # nothing is left to merge, or merging saves nothing
+        left = open_bins.count()
+        if groups == 1 or left == 0:  # nothing is left to merge
             done.append(packed.select("_members"))
             break
         done.append(packed.filter(F.col("_fill") >= capacity - slack).select("_members"))
         fan = int(min(FAN_IN, max(2, ITEMS_PER_GROUP * groups // left)))
         groups, count = -(-groups // fan), left
-        level = open_bins.withColumn("_group", F.expr(f"_group div {fan}"))
+        level = _opened(open_bins, size).withColumn("_group", F.expr(f"_group div {fan}"))
 
     union = done[0]
     for more in done[1:]:
@@ -129,8 +140,12 @@ def token_pieces(
 
     A document's ids are its text's and then ``end_id``; a null text is empty and gives the end id alone.
     Documents of more than ``length`` ids are cut so that all pieces but the first are full, which leaves one
-    short piece to pack. ``ids_crc32`` is over the piece's ids as little-endian unsigned 32-bit integers.
+    short piece to pack. ``ids_crc32`` is over the piece's ids as little-endian unsigned 32-bit integers. Very long texts are
+    encoded whole. Rows that repeat a document give its pieces again; an empty table gives none. No other column is read or returned, and
+    a key named ``piece``, ``start``, ``length`` or ``ids_crc32`` is refused.
     """
+    if key in ("piece", "start", "length", "ids_crc32"):
+        raise ValueError(f"the key would share the name {key} with a result column")
     bounded_batches(docs.sparkSession)
     end = np.asarray([end_id], "<u4").tobytes()
     names = ["_key", "piece", "start", "length", "ids_crc32"]
