@@ -247,11 +247,25 @@ def item(n, seed):
     return [rng.choice(WORDS) for _ in range(n)]
 
 
+def test_short_items_are_found_word_for_word(spark, stored):
+    items = {1: "who wrote hamlet", 2: "Paris", 3: "two plus two is", 4: "what is two plus two", 5: "never there"}
+    docs = stored(
+        [(1, "Tell me: who wrote Hamlet? Who wrote, hamlet"), (2, "paris"), (3, "Two plus two is four; what is two plus two."), (4, "who wrote it"), (5, None)],
+        "doc_id long, text string",
+    )
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    for bound in (decontaminate.BROADCAST_SHINGLES, 0):
+        decontaminate.BROADCAST_SHINGLES, kept = bound, decontaminate.BROADCAST_SHINGLES
+        out = sorted((r.doc_id, r.item_id, r.start, r.n_words, r.similarity) for r in decontaminate.contamination(docs, bench).collect())
+        decontaminate.BROADCAST_SHINGLES = kept
+        assert out == [(1, 1, 2, 3, 1.0), (2, 2, 0, 1, 1.0), (3, 3, 0, 4, 1.0), (3, 4, 5, 5, 1.0)]
+
+
 def test_contamination_against_brute_force(spark, stored):
     items = {i: item(n, i) for i, n in enumerate([5, 6, 15, 30, 30, 59, 80])}
     items[7] = items[3][:15] * 2
     rng, docs = random.Random(4), {}
-    for k in range(60):
+    for k in [*range(60), *range(100, 220)]:
         words = item(rng.choice([3, 20, 100, 400]), 1000 + k)
         if k % 2:
             own = list(items[k % 8])

@@ -36,28 +36,37 @@ def shingles_of(words: Column, size: int = SHINGLE) -> Column:
 def _items(benchmark: DataFrame, key: str, text: str) -> DataFrame:
     """(item_id, n_words, shingles) of the items that have a shingle."""
     words = benchmark.select(F.col(key).alias("item_id"), words_of(F.col(text)).alias("_words"))
-    words = words.filter(F.size("_words") >= SHINGLE)
+    words = words.filter(F.size("_words") > 0)
     return words.select("item_id", F.size("_words").alias("n_words"), shingles_of(F.col("_words")).alias("shingles"))
 
 
-def _windows(docs: DataFrame, anchors: DataFrame, few: bool, key: str, text: str) -> DataFrame:
+def _windows(docs: DataFrame, anchors: DataFrame, few: bool, short: list[int], key: str, text: str) -> DataFrame:
     """(window, doc_id, start, n_words, shingles): the item-sized windows that share an aligned shingle with an item."""
     words = docs.select(
         F.monotonically_increasing_id().alias("_row"), F.col(key).alias("doc_id"), words_of(F.col(text)).alias("_words")
     )
     rows = words.filter(F.size("_words") >= SHINGLE).select("_row", "doc_id", shingles_of(F.col("_words")).alias("_all"))
     at = F.posexplode("_all").alias("_pos", "hash")
+    wide = anchors.filter(F.col("n_words") >= SHINGLE)
     if few:
-        hits = rows.select("*", at).join(F.broadcast(anchors), "hash")
+        hits = rows.select("*", at).join(F.broadcast(wide), "hash")
     else:  # the hits are few beside the text, so the shingles of their rows are fetched afterwards
-        hits = materialize(rows.select("_row", at).join(anchors, "hash").select("_row", "_pos", "offset", "n_words").distinct(), "hits")
+        hits = materialize(rows.select("_row", at).join(wide, "hash").select("_row", "_pos", "offset", "n_words").distinct(), "hits")
         hits = rows.join(hits, "_row")
     last = F.greatest(F.size("_all") - (F.col("n_words") - SHINGLE + 1), F.lit(0))
     start = F.least(F.greatest(F.col("_pos") - F.col("offset"), F.lit(0)), last)
     cut = hits.select("_row", "doc_id", start.alias("start"), "n_words", "_all").select(
         "_row", "doc_id", "start", "n_words", F.slice("_all", F.col("start") + 1, F.col("n_words") - SHINGLE + 1).alias("shingles")
     )
-    found = cut.dropDuplicates(["_row", "start", "n_words"]).drop("_row")
+    found = cut.dropDuplicates(["_row", "start", "n_words"])
+    for n in short:  # items of fewer words than a shingle: runs of their own length
+        run = words.filter(F.size("_words") >= n).select(
+            "_row", "doc_id", F.posexplode(shingles_of(F.col("_words"), n)).alias("start", "hash"), F.lit(n).alias("n_words")
+        )
+        own = anchors.filter(F.col("n_words") == n).select("hash")
+        run = run.join(F.broadcast(own) if few else own, "hash")
+        found = found.unionByName(run.select("_row", "doc_id", "start", "n_words", F.array("hash").alias("shingles")))
+    found = found.drop("_row")
     return materialize(found.withColumn("window", F.monotonically_increasing_id()), "windows")
 
 
@@ -88,16 +97,17 @@ def contamination(
 
     Words are lower-cased runs of letters and digits, ``start`` counts them from 0, and windows have an item's number of
     words (or are the whole of a shorter document). An item matches where the weighted similarity of the
-    five-word shingles is at least ``similarity`` percent; ties go to the first window. Items of under five words are not searched: they
-    can't be told from chance. Null and empty texts match nothing; empty tables give no rows; rows that repeat a key
-    are reported as one. Neither table's other columns matter. ``docs`` is read once, or twice for a very large benchmark.
+    five-word shingles is at least ``similarity`` percent; ties go to the first window. An item of one to four words is one run and
+    matches where a document has it word for word, by chance as well. Very long texts are searched whole. Null and empty texts match nothing; empty tables give no rows; rows that repeat a key
+    are reported as one. Neither table's other columns matter. ``docs`` is read once, or twice for a very large benchmark, and once more for each length of items under five words.
     """
     lean_disk(docs.sparkSession)
     items = materialize(_items(benchmark, item_key, item_text), "items")
     anchors = items.select("n_words", F.posexplode("shingles").alias("offset", "hash")).distinct()
     anchors = materialize(anchors, "anchors")
     few = anchors.count() <= BROADCAST_SHINGLES
-    windows = _windows(docs, anchors, few, key, text)
+    short = [r.n_words for r in items.filter(F.col("n_words") < SHINGLE).select("n_words").distinct().collect()]
+    windows = _windows(docs, anchors, few, sorted(short), key, text)
 
     prints = materialize(_fingerprints(windows, "window"), "window-prints")
     own = materialize(_fingerprints(items, "item_id"), "item-prints")
