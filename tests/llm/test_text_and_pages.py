@@ -55,7 +55,7 @@ def test_lines_go_before_documents(spark):
         (1, f"{PROSE}\nHome | About | Shop | Login\nAll rights reserved.\nMenu\n\n{OTHER}"),
         (2, f"{PROSE}\n" + "\n".join(f"BUY!! NOW!! CHEAP!! No{i}!!" for i in range(20))),
         (3, "Licensed under the Apache License, Version 2.0."),
-        (4, f"{PROSE}\nThis work is licensed under the GNU General Public License and so on and so forth for ever."),
+        (4, f"{PROSE}\nThis work is licensed under the GNU General Public License and so on and so forth for ever.\n{OTHER}"),
         (5, " ".join(["again and again and again"] * 30)),
         (6, "few words"),
         (7, None),
@@ -63,18 +63,20 @@ def test_lines_go_before_documents(spark):
         (9, " \n\t\n"),
         (1, f"{PROSE}\nHome | About | Shop | Login\nAll rights reserved.\nMenu\n\n{OTHER}"),
         (10, " ".join(f"w{i}" for i in range(200_000))),
+        (11, f"{PROSE}\n" + "\n".join(f"Click here a{i} b{i} c{i} d{i} e{i} f{i}." for i in range(40))),
     ]
     docs = spark.createDataFrame(rows, "doc_id int, text string").withColumn("kept", F.lit("old")).withColumn("a.b", F.lit(1))
     out = quality.clean(docs, cleaned="text").collect()
     kept = [(r.doc_id, r.text) for r in out if r.kept]
     assert sorted(k for k, _ in kept) == [1, 1, 4, 10]
-    assert dict(kept)[1] == f"{PROSE}\n\n{OTHER}" and dict(kept)[4] == PROSE
+    assert dict(kept)[1] == f"{PROSE}\n\n{OTHER}" and dict(kept)[4] == f"{PROSE}\n{OTHER}"
     by = {r.doc_id: r for r in out}
     assert by[5].base_failed and by[6].base_failed and by[7].text is None and by[7].n_words == 0 and by[8].text == ""
     assert not by[2].base_failed and not by[2].kept and not by[3].kept
     assert quality.clean(docs.limit(0)).isEmpty() and "a.b" in quality.clean(docs).columns
     other = quality.clean(docs, cleaned="cleaned").filter("doc_id = 4").first()
-    assert other.cleaned == PROSE and other.text == rows[3][1]
+    assert other.cleaned == f"{PROSE}\n{OTHER}" and other.text == rows[3][1]
+    assert not by[11].base_failed and not by[11].kept  # boilerplate is text lost like any other
 
 
 # --- language model ---

@@ -25,7 +25,7 @@ LEAST_WORDS = 10
 MOST_REPEATED = 20  # percent of the words
 MOST_MARKED = 20  # percent of a line's words that carry a symbol or two exclamation marks
 NAVIGATION_WORDS = 3  # a line of at most so many words that ends like no sentence is a menu entry
-LEAST_LEFT = 50  # percent of the words outside boilerplate that must be left
+LEAST_LEFT = 50  # percent of the words that must be left
 
 _MARKED = re.compile(rb"[#*$%&|<>]|!!")
 _BOILERPLATE = re.compile("|".join(map(re.escape, BOILERPLATE)), re.IGNORECASE | re.ASCII)
@@ -45,7 +45,7 @@ def line_fails(line: str, tokens: list[bytes]) -> bool:
 
 
 def line_is_boilerplate(line: str) -> bool:
-    """Licence, consent and subscription lines: they go, but say nothing about the text around them."""
+    """Licence, consent and subscription lines."""
     return _BOILERPLATE.search(line) is not None
 
 
@@ -74,9 +74,7 @@ def judge(text: str) -> tuple[list[int], str]:
         if own:
             with_words += 1
             seen.add(line)
-            if line_is_boilerplate(line):
-                continue
-            if line_fails(line, own):
+            if line_is_boilerplate(line) or line_fails(line, own):
                 failed += len(own)
                 continue
             left += len(own)
@@ -99,7 +97,7 @@ def clean(docs: DataFrame, text: str = "text", cleaned: str | None = None) -> Da
     A null text has no words, and null stays null when cleaned. Words are runs of characters other than blank and 0x09 to
     0x0D, lines end at line feeds, lines without a word are kept and counted nowhere. ``base_failed`` is true
     under LEAST_WORDS words or above MOST_REPEATED percent repeated ones; ``kept`` is false then, where no word is
-    left, and where under LEAST_LEFT percent of the words outside boilerplate lines are left. Repeated rows are judged alike; an empty table gives no
+    left, and where under LEAST_LEFT percent of all words are left. Repeated rows are judged alike; an empty table gives no
     rows. Other columns pass through, the new names replace older ones.
     """
     bounded_batches(docs.sparkSession)

@@ -31,7 +31,7 @@ judged AS (
   FROM lines),
 by_doc AS (
   SELECT r, count(*) - count(DISTINCT l) AS dups, coalesce(sum(n) FILTER (WHERE NOT boiler AND NOT fails), 0) AS left_words,
-         coalesce(sum(n) FILTER (WHERE NOT boiler AND fails), 0) AS failed_words
+         coalesce(sum(n) FILTER (WHERE boiler OR fails), 0) AS failed_words
   FROM judged GROUP BY r),
 counted AS (
   SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
