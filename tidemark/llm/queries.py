@@ -17,6 +17,7 @@ BYTE_BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")  # the same voc
 QUERIES: dict = {}
 SQL: dict[str, str] = {
     "op2_ngram_jaccard_join": sql.OP2,
+    "op3_warc": sql.OP3,
     "op7_quality_rules": sql.OP7,
     "op11_source_divergence": sql.OP11,
     "op12_fill_in_middle": sql.OP12,
