@@ -175,6 +175,14 @@ def test_the_query_scores_with_triples(spark, monkeypatch):
     assert queries.op10_lm_scoring(spark, "").count() == 20 and used == [3]
 
 
+def test_too_many_words_for_packed_ids_raise(spark, monkeypatch):
+    monkeypatch.setattr(ngram_trie, "MOST_WORDS", 3)
+    few, many = (spark.createDataFrame([(t,)], "text string") for t in ("a b", "a b c"))  # the end is a word too
+    ngram_trie.train(few, scratch_path(spark, "few"))
+    with pytest.raises(ValueError, match="4 distinct words"):
+        ngram_trie.train(many, scratch_path(spark, "many"))
+
+
 def test_a_model_of_nothing(spark):
     folder = scratch_path(spark, "lm")
     ngram_trie.train(spark.createDataFrame([], "text string"), folder)

@@ -37,6 +37,7 @@ CHUNK_TOKENS = 4_000_000  # what a task counts at a time
 SHARD_BYTES = 16 * 2**20  # text for each shard
 PRIOR = 4.0  # weight of the lower order's probability, in occurrences of the context
 STEP = 1 / 16  # width of a quantised log10 probability
+MOST_WORDS = (1 << 32) - 1  # distinct words whose ids fit the halves of a packed n-gram
 _32 = U(32)
 
 
@@ -250,7 +251,7 @@ def train(docs: DataFrame, folder: str, order: int = 2, text: str = "text", prio
     one more token, also a null, empty or repeated one. P(w | context) = (c + prior * P(w | shorter context))
     / (total + prior), below which lies the add-one probability of single words. Tasks send counts of chunks, not tokens, so
     a word, pair or text that a third of all rows hold costs one entry a chunk. An empty table
-    gives a model without words.
+    gives a model without words. More than MOST_WORDS distinct words raise.
     """
     if order not in (2, 3):
         raise ValueError("order is 2 or 3")
@@ -281,6 +282,8 @@ def train(docs: DataFrame, folder: str, order: int = 2, text: str = "text", prio
     )
     word_files = _file_list(spark, folder, 1)
     model = Model(folder, bits, word_files, {}, shards, prior)
+    if model.size > MOST_WORDS:
+        raise ValueError(f"{model.size} distinct words are more than n-grams can be packed from")
     heavy = {2: heavy_words(spark, model)}
 
     for k in range(2, order + 1):
