@@ -242,6 +242,57 @@ def test_similar_lines_of_10_to_100_words_against_brute_force(spark, stored):
     assert found["one word"] >= 0.98 and found["words"] >= 0.95 and found["letters 5 %"] >= 0.95 and found["letters 9 %"] >= 0.6
 
 
+def test_crowds_of_unlike_lines_are_compared_in_two_rounds(spark, stored, monkeypatch):
+    """Lines that share a block, and so keys, but are unlike; a few are near copies."""
+    rng, calls, similar = random.Random(12), [], lines.similar
+    letters = lambda n: "".join(rng.choices("abcdefghijklmnop", k=n))
+    block = letters(90)
+    own = [f"{block} {letters(110)}" for _ in range(120)]
+    copies = [x[:150] + "xyz" + x[153:] for x in own[:9]]
+    monkeypatch.setattr(lines, "similar", lambda *a: calls.append(1) or similar(*a))
+    monkeypatch.setattr(lines, "TILE", 16, raising=False)
+    docs = stored(list(enumerate(own + copies)), "doc_id long, text string")
+    gone = {r.doc_id: r.n_removed for r in lines.dedup_lines(docs).select("doc_id", "n_removed").collect()}
+    assert sum(gone.values()) == 9 and all(gone[i] + gone[120 + i] == 1 for i in range(9))
+    assert len(calls) == 2
+
+
+def test_members_of_a_bucket_in_different_groups_meet(spark, stored, monkeypatch):
+    monkeypatch.setattr(lines, "TILE", 16)
+    rng = random.Random(13)
+    rows = []
+    for node in range(260):
+        root = 7 if node % 2 else 9 if node % 5 == 0 else 1000 + node
+        rows += [(b, node, root, rng.randint(90, 140), *[0] * 5) for b in (1, 2) if node < 200 or b == 1]
+    rows += [(3, 500 + i, 500 + i, 100 + i, *[0] * 5) for i in range(5)] + [(4, 600, 1, 99, *[0] * 5), (4, 601, 1, 99, *[0] * 5)]
+    of = {}
+    for b, node, root, length, *_ in rows:
+        of.setdefault(b, []).append((node, root, length))
+    want = {
+        (x[0], y[0]) for own in of.values() for x in own for y in own
+        if x[0] < y[0] and x[1] != y[1] and 10 * abs(x[2] - y[2]) <= max(x[2], y[2]) // 10 * 10
+    }
+    members = stored(rows, "bucket long, node long, root long, length int, " + ", ".join(f"{f} long" for f in lines.FEW))
+    out = [(r.a, r.b) for r in lines._met_apart(members.select("node", "bucket", "length", *lines.FEW, "root")).collect()]
+    assert len(out) == len(set(out)) and set(out) == want
+
+
+def test_no_pair_within_the_edit_distance_is_refused_before_it(spark, stored):
+    rng, rows = random.Random(14), []
+    for n in (10, 11, 40, 90, 300, 700):
+        for k in (n // 10, n // 10, n // 20):
+            a = list("".join(rng.choices("abcdeé ü", k=n)))
+            b, at = list(a), sorted(rng.sample(range(n), k), reverse=True)
+            for i in at:
+                kind = rng.randrange(3)
+                b[i : i + 1] = [] if kind == 0 else ["x"] if kind == 1 else [b[i], "y"]
+            rows.append(("".join(a), "".join(b)))
+    texts = stored([(i, t) for i, t in enumerate(t for both in rows for t in both)], "node long, norm string")
+    near = stored([(2 * i, 2 * i + 1) for i in range(len(rows))], "a long, b long")
+    want = {2 * i for i, (a, b) in enumerate(rows) if edits(a, b) <= max(len(a), len(b)) // 10}
+    assert len(want) > 12 and {r.a for r in lines.similar(near, texts).collect()} == want
+
+
 def item(n, seed):
     rng = random.Random(seed)
     return [rng.choice(WORDS) for _ in range(n)]
