@@ -307,3 +307,32 @@ def test_suffixes_count_all_labels_and_a_hot_url_does_not_fill_the_sample(spark,
     counted = spark.createDataFrame(rows, "_url string, label int").groupBy("_url", "label").agg(F.count("label").alias("_n"))
     drawn = {r.label: r["count"] for r in urls._sample(counted, len(rows), 350).groupBy("label").count().collect()}
     assert 150 < drawn[0] < 220 and 20 < drawn[1] < 60
+
+
+def test_sequences_and_orders_against_numpy():
+    rng = np.random.default_rng(8)
+    for n, below in ((1, 1), (5, 100), (1000, 1001), (3000, 1 << 40), (70000, 1 << 62), (2, 1 << 63)):
+        values = np.sort(rng.integers(0, below, n, dtype=np.uint64))
+        own = EliasFano(build(values, below))
+        asked = np.concatenate([values[:500], rng.integers(0, below, 500, dtype=np.uint64), np.array([below, 2 * below - 1], np.uint64)])
+        at = np.searchsorted(values, asked)
+        there = (at < n) & (values[np.minimum(at, n - 1)] == asked)
+        assert (own.find(asked) == np.where(there, at, -1)).all() and (own.successor(asked) == at).all()
+        assert (own.get(np.arange(n)) == values).all()
+        for limit in (below, 1 << 64):
+            keys = rng.permutation(values)
+            assert (keys[ngram_trie._order(keys, limit)] == values).all()
+            found, back = ngram_trie._distinct(keys, limit)
+            assert (found == np.unique(keys)).all() and (found[back] == keys).all()
+
+
+def test_a_context_is_looked_up_once_for_all_its_followers(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([("the cat sat on the mat and the cat lay on the mat",)] * 3, "text string")
+    ngram_trie.train(docs, str(tmp_path / "model"), order=3)
+    model, heavy, _ = ngram_trie.load_model(spark, str(tmp_path / "model"))
+    ids, counts, opens = model.tokens_of([ngram_trie._tokens(b"the cat sat on the mat")] * 50)
+    context, known = model.contexts(ids, opens, 2)
+    asked, find = [], EliasFano.find
+    monkeypatch.setattr(EliasFano, "find", lambda self, x, first=None, last=None: asked.append(len(x) * (first is None)) or find(self, x, first, last))
+    model.log10(2, context, ids, known, model.unigram(counts), heavy)
+    assert sum(asked) <= len(ids) // 10

@@ -14,17 +14,46 @@ _ONE, _SIX, _LAST = U(1), U(6), U(63)
 _BLOCK = 1 << 17  # numbers packed at a time
 
 
+def _table() -> np.ndarray:
+    """Position of each set bit of each byte."""
+    table = np.zeros((256, 8), np.uint8)
+    for byte in range(256):
+        places = [i for i in range(8) if byte >> i & 1]
+        table[byte, : len(places)] = places
+    return table.ravel()
+
+
+_PLACES = _table()
+_1, _2, _4, _8, _56 = (U(i) for i in (1, 2, 4, 8, 56))
+_5S, _3S, _FS, _ONES, _TOPS = U(0x5555555555555555), U(0x3333333333333333), U(0x0F0F0F0F0F0F0F0F), U(0x0101010101010101), U(0x8080808080808080)
+
+
 def _select(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Position of the set bit number ``rank`` (from 0) in each 64-bit word."""
-    at = np.zeros(len(words), U)
-    for width in (32, 16, 8, 4, 2, 1):
-        w = U(width)
-        inside = np.bitwise_count(words & U((1 << width) - 1)).astype(np.int64)
-        beyond = rank >= inside
-        rank = np.where(beyond, rank - inside, rank)
-        words = np.where(beyond, words >> w, words)
-        at += beyond.astype(U) * w
-    return at.astype(np.int64)
+    """Position of the set bit number ``rank`` (from 0, one that exists) in each 64-bit word."""
+    rank = rank.astype(U)
+    sums = words - ((words >> _1) & _5S)
+    sums = (sums & _3S) + ((sums >> _2) & _3S)
+    sums = ((sums + (sums >> _4)) & _FS) * _ONES  # in each byte the set bits up to it
+    byte = np.bitwise_count((((rank * _ONES) | _TOPS) - sums) & _TOPS).astype(U)
+    shift = np.minimum(byte, U(7)) * _8
+    rank = rank - (((sums << _8) >> shift) & U(0xFF))
+    return (shift + _PLACES[((((words >> shift) & U(0xFF)) << U(3)) | rank) & U(2047)]).astype(np.int64)
+
+
+def _packed(values: np.ndarray, bits: int) -> np.ndarray:
+    """The lowest ``bits`` of each value, one after the other, and a spare word at least."""
+    out = np.zeros(-(-len(values) * bits // 64) + 2, U)
+    if not bits:
+        return out
+    for i in range(0, len(values), _BLOCK):  # of 64 values a multiple, so that a block begins a word
+        own = values[i : i + _BLOCK] & U((1 << bits) - 1)
+        at = np.arange(i, i + len(own), dtype=np.int64) * bits
+        word, off = at >> 6, (at & 63).astype(U)
+        first = np.flatnonzero(np.diff(word, prepend=-1))
+        out[word[first]] += np.add.reduceat(own << off, first)
+        over = np.flatnonzero(off + U(bits) > U(64))
+        out[word[over] + 1] += own[over] >> (U(64) - off[over])
+    return out
 
 
 def build(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
@@ -32,13 +61,7 @@ def build(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
     n = len(values)
     low_bits = max(0, (int(universe) // max(n, 1)).bit_length() - 1)
     high = (values >> U(low_bits)).astype(np.int64)
-    packed = []
-    for i in range(0, n if low_bits else 0, _BLOCK):
-        block = values[i : i + _BLOCK].astype("<u8")
-        bits = np.unpackbits(block.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")[:, :low_bits]
-        packed.append(np.packbits(bits.ravel(), bitorder="little"))
-    low = np.concatenate([*packed, np.zeros(16, np.uint8)])
-    low = np.concatenate([low, np.zeros(-len(low) % 8, np.uint8)]).view("<u8")
+    low = _packed(values.astype(U), low_bits).astype("<u8")
     length = n + (int(high[-1]) if n else 0) + 1
     unary = np.zeros(-(-length // 64) * 64, np.uint8)
     unary[high + np.arange(n)] = 1
@@ -74,17 +97,25 @@ class EliasFano:
         word = np.minimum(np.searchsorted(self._zeros, k, side="right") - 1, len(self._high) - 1)
         return 64 * word + _select(~self._high[word], k - self._zeros[word])
 
-    def successor(self, x: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
-        """The first place whose number is at least x, between ``first`` and ``last`` where given."""
-        if not self.n:
-            return np.zeros(len(x), np.int64)
-        high = np.minimum((x >> self._bits).astype(np.int64), int(self._zeros[-1]) - 1)
-        ends = self._zero(np.concatenate([high, np.maximum(high - 1, 0)]))
-        stop = np.minimum(ends[: len(x)] - high, self.n)
-        start = np.where(high > 0, ends[len(x) :] + 1 - high, 0)
+    def _run_of(self, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First place and end of the numbers with these high bits."""
+        before = self._zero(np.maximum(high - 1, 0))
+        word = before >> 6
+        rest = (~self._high[word] >> (before & 63).astype(U)) >> _1  # the zeros after that one in its word
+        gap = np.bitwise_count((rest & (~rest + _1)) - _1).astype(np.int64)
+        end = np.where(high > 0, before + 1 + gap, before)
+        other = np.flatnonzero((rest == 0) & (high > 0))
+        if len(other):
+            end[other] = self._zero(high[other])
+        return np.where(high > 0, before + 1 - high, 0), np.minimum(end - high, self.n)
+
+    def _search(self, x: np.ndarray, first: np.ndarray | None, last: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """The first place whose number is at least x, and the end of those with its high bits, between ``first`` and ``last``."""
+        start, stop = self._run_of(np.minimum((x >> self._bits).astype(np.int64), int(self._zeros[-1]) - 1))
         if first is not None:
             start, stop = np.maximum(start, first), np.minimum(stop, last)
             start = np.minimum(start, last)
+        end = stop.copy()
         wanted = x & self._mask
         open_ = np.flatnonzero(start < stop)
         while len(open_):
@@ -93,13 +124,19 @@ class EliasFano:
             start[open_] = np.where(less, middle + 1, start[open_])
             stop[open_] = np.where(less, stop[open_], middle)
             open_ = open_[start[open_] < stop[open_]]
-        return start
+        return start, end
+
+    def successor(self, x: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
+        """The first place whose number is at least x, between ``first`` and ``last`` where given."""
+        if not self.n:
+            return np.zeros(len(x), np.int64)
+        return self._search(x, first, last)[0]
 
     def find(self, x: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
-        """The place of x, -1 where the sequence (between ``first`` and ``last``) lacks it."""
+        """The place of x, -1 where the sequence (between ``first`` and ``last``) lacks it. Rising x are found fastest."""
         if not self.n:
             return np.full(len(x), -1, np.int64)
-        at = self.successor(x, first, last)
-        inside = at < (self.n if last is None else last)
-        ok = self.get(np.where(inside, at, 0)) == x
+        at, end = self._search(x, first, last)
+        inside = (at < end) & ((x >> self._bits) < U(int(self._zeros[-1])))
+        ok = self._low_of(np.where(inside, at, 0)) == (x & self._mask)
         return np.where(inside & ok, at, -1)

@@ -62,6 +62,33 @@ def _chunks(batches, column: str = "_text"):
         yield held
 
 
+def _order(keys: np.ndarray, below: int = 1 << 64) -> np.ndarray:
+    """What puts numbers under ``below`` in order: numbers packed with their places are sorted, which is far faster than an argsort."""
+    bits = U(max(1, (len(keys) - 1).bit_length()))
+    if below <= 1 << (64 - int(bits)):
+        packed = keys << bits
+    else:  # the lowest bits give way; equal highest bits of different hashes are rare
+        packed = (keys >> bits) << bits
+    packed = packed | np.arange(len(keys), dtype=U)
+    packed.sort()
+    order = (packed & ((U(1) << bits) - U(1))).astype(np.int64)
+    if below > 1 << (64 - int(bits)):
+        found = keys[order]
+        if (found[1:] < found[:-1]).any():
+            return np.argsort(keys, kind="stable")
+    return order
+
+
+def _distinct(keys: np.ndarray, below: int = 1 << 64) -> tuple[np.ndarray, np.ndarray]:
+    """(different keys in order, place of each key among them)."""
+    order = _order(keys, below)
+    found = keys[order]
+    opens = np.diff(found, prepend=~found[:1]) != 0
+    back = np.empty(len(keys), np.int64)
+    back[order] = np.cumsum(opens) - 1
+    return found[opens], back
+
+
 def _squeeze(keys: np.ndarray, counts: np.ndarray) -> bytes:
     """Sorted keys as differences, and counts, byte by byte, compressed."""
     if not len(keys):
@@ -172,7 +199,7 @@ class Model:
     def tokens_of(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(id, count, whether it opens a text) of all tokens, in order."""
         hashes = np.concatenate(texts)
-        distinct, back = np.unique(hashes, return_inverse=True)
+        distinct, back = _distinct(hashes)
         ids, counts = self.lookup(distinct)
         opens = np.zeros(len(hashes), bool)
         opens[np.cumsum([0, *map(len, texts[:-1])])] = True
@@ -204,10 +231,24 @@ class Model:
         """Where an n-gram lies: by its context, for heavy contexts by the next word as well."""
         keys = heavy[order][0]
         if len(keys):
-            place = context << _32 if order == 2 else mix(context)
-            context = np.where(np.isin(context, keys), place ^ ids.astype(U), context)
+            own = np.flatnonzero(keys[np.minimum(np.searchsorted(keys, context), len(keys) - 1)] == context)
+            place = context[own] << _32 if order == 2 else mix(context[own])
+            context = context.copy()
+            context[own] = place ^ ids[own].astype(U)
         return mix(context) % U(self.shards)
 
+    def dense(self, context: np.ndarray) -> np.ndarray:
+        """Packed pairs of ids, and ids alone, as numbers below ``(size + 1) ** 2`` in the same order."""
+        return (context >> _32) * U(self.size + 1) + (context & U(0xFFFFFFFF))
+
+    def order(self, context: np.ndarray) -> np.ndarray:
+        return _order(self.dense(context), (self.size + 1) ** 2)
+
+    def by_shard(self, shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places in the order of their shards, where each shard begins among them)."""
+        by = np.argsort(shard.astype(np.uint16) if self.shards <= 1 << 16 else shard, kind="stable")
+        return by, np.concatenate([[0], np.cumsum(np.bincount(shard.astype(np.int64), minlength=self.shards))])
+
     def log10(self, order: int, context: np.ndarray, ids: np.ndarray, known: np.ndarray, lower: np.ndarray, heavy: dict) -> np.ndarray:
         """log10 P(id | context) at ``order``, given the lower order's; ``known`` says where a context exists."""
         out = lower.copy()
@@ -220,18 +261,22 @@ class Model:
             split = keys[place] == context[ask]
             own, total = ask[split], totals[place[split]]
             out[own] -= STEP * _codes(np.log10(self.prior / (total + self.prior))).astype(np.float64)
+        ask = ask[self.order(context[ask])]  # rising contexts are found fastest, and each but once
         shard = self.shard(context[ask], ids[ask], heavy, order)
-        by = np.argsort(shard, kind="stable")
-        edges = np.searchsorted(shard[by], np.arange(self.shards + 1, dtype=U))
+        by, edges = self.by_shard(shard)
         for s, name in self.levels[order].items():
             own = ask[by[edges[s] : edges[s + 1]]]
             if not len(own):
                 continue
             arrays = _load(self.folder, name)
-            place = _sequence(arrays, "contexts").find(context[own])
-            own, place = own[place >= 0], place[place >= 0]
+            asked = context[own]
+            opens = np.flatnonzero(np.diff(asked, prepend=~asked[:1]) != 0)
+            place = _sequence(arrays, "contexts").find(asked[opens])
+            there, each = place >= 0, np.diff(opens, append=len(own))
+            own, place = own[np.repeat(there, each)], place[there]
             pointers = _sequence(arrays, "pointers")
             first, last = pointers.get(place).astype(np.int64), pointers.get(place + 1).astype(np.int64)
+            place, first, last = (np.repeat(v, each[there]) for v in (place, first, last))
             wanted = place.astype(U) * U(self.size + 1) + ids[own].astype(U)
             found = _sequence(arrays, "followers").find(wanted, first, last)
             seen = -STEP * arrays["codes"][np.maximum(found, 0)].astype(np.float64)
@@ -293,20 +338,18 @@ def train(docs: DataFrame, folder: str, order: int = 2, text: str = "text", prio
                 ids, _, opens = model.tokens_of(chunk)
                 context, known = model.contexts(ids, opens, k)
                 context, ids = context[known], ids[known]
-                shard = model.shard(context, ids, heavy, k).astype(np.int64)
-                by = np.argsort(shard, kind="stable")
-                edges = np.searchsorted(shard[by], np.arange(shards + 1))
+                by, edges = model.by_shard(model.shard(context, ids, heavy, k))
                 parts = []
                 for s, (i, j) in enumerate(zip(edges, edges[1:])):
                     if i < j:
                         own = by[i:j]
-                        parts.append((s, *_count_pairs(context[own], ids[own])))
+                        parts.append((s, *_count_pairs(model, context[own], ids[own])))
                 yield _gram_blobs(parts)
 
         def build_shard(table: pa.Table) -> pa.Table:
             shard = table.column("bucket")[0].as_py()
             blobs = zip(table.column("contexts").to_pylist(), table.column("counts").to_pylist())
-            context, ids, counts = _merge_pairs(list(blobs))
+            context, ids, counts = _merge_pairs(list(blobs), model.size + 1)
             return _build_level(model, k, shard, context, ids, counts, heavy)
 
         train_text.mapInArrow(count_grams, "bucket int, contexts binary, counts binary").groupBy("bucket").applyInArrow(
@@ -330,9 +373,12 @@ def _blobs(parts) -> pa.RecordBatch:
     )
 
 
-def _count_pairs(context: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _count_pairs(model: Model, context: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct contexts, and distinct (place of the context, id) packed with their counts."""
-    distinct, place = np.unique(context, return_inverse=True)
+    order = model.order(context)
+    context, ids = context[order], ids[order]
+    opens = np.diff(context, prepend=~context[:1]) != 0
+    distinct, place = context[opens], np.cumsum(opens) - 1
     keys, counts = np.unique((place.astype(U) << _32) | ids.astype(U), return_counts=True)
     return distinct, keys, counts
 
@@ -344,7 +390,7 @@ def _gram_blobs(parts) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["bucket", "contexts", "counts"])
 
 
-def _merge_pairs(blobs: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _merge_pairs(blobs: list[tuple[bytes, bytes]], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     contexts = [_spread(c)[0] for c, _ in blobs]
     distinct = np.unique(np.concatenate(contexts))
     keys, counts = [], []
@@ -354,7 +400,7 @@ def _merge_pairs(blobs: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarr
         keys.append((place.astype(U) << _32) | (k & U(0xFFFFFFFF)))
         counts.append(c)
     keys, counts = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(keys, kind="stable")
+    order = _order((keys >> _32) * U(size) + (keys & U(0xFFFFFFFF)), len(distinct) * size)
     keys, counts = keys[order], counts[order]
     first = np.flatnonzero(np.diff(keys, prepend=keys[:1] ^ U(1)) != 0)
     keys, counts = keys[first], np.add.reduceat(counts, first)
@@ -374,8 +420,9 @@ def _counts_of(model: Model, ids: np.ndarray) -> np.ndarray:
 
 def _build_level(model, k, shard, context, ids, counts, heavy) -> pa.Table:
     """Write one shard from its sorted n-grams."""
-    distinct, start = np.unique(context, return_index=True)
-    place = np.searchsorted(distinct, context)
+    opens = np.diff(context, prepend=~context[:1]) != 0
+    start, place = np.flatnonzero(opens), np.cumsum(opens) - 1
+    distinct = context[start]
     if k == 2:  # every word stands before another token as often as it occurs, a text's end before its first
         total = _counts_of(model, distinct.astype(np.int64))
     else:
@@ -502,7 +549,7 @@ def score(docs: DataFrame, folder: str, text: str = "text") -> DataFrame:
             context, known = model.contexts(ids, opens, k)
             if k == 2:
                 # pairs repeat: look each up once
-                pair, back = np.unique((context << _32) | ids.astype(U), return_inverse=True)
+                pair, back = _distinct(model.dense((context << _32) | ids.astype(U)), (model.size + 1) ** 2)
                 one = np.zeros(len(pair), np.int64)
                 one[back] = np.arange(len(ids))
                 log10 = model.log10(2, context[one], ids[one], known[one], log10[one], heavy)[back]
