@@ -293,6 +293,63 @@ def test_no_pair_within_the_edit_distance_is_refused_before_it(spark, stored):
     assert len(want) > 12 and {r.a for r in lines.similar(near, texts).collect()} == want
 
 
+def test_edits_by_pieces_are_never_fewer_than_needed(spark):
+    rng, rows = random.Random(15), []
+    words = lambda n: " ".join(rng.choice(LETTERS[:60]) for _ in range(n))
+    for n in (2, 10, 40, 90):
+        a = words(n)
+        at = rng.randrange(len(a))
+        letters = "".join(rng.choice("xé ") if rng.random() < 0.05 else c for c in a)
+        rows += [(a, a), (a, a[:at] + "é" + a[at + 1 :]), (a, a[: at // 2] + a[at:]), (a, letters), (a, words(n)), (a, a[len(a) // 9 :]), ((a + " ") * 3, (a + " ") * 2)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, a string, b string")
+    bound = F.greatest(F.length("a"), F.length("b")).cast("int")
+    tight = F.floor(bound / 10).cast("int")
+    own = [lines.edits_by_pieces(F.col("a"), F.col("b"), x) for x in (bound, tight)]
+    for r in df.select("i", own[0].alias("loose"), own[1].alias("tight"), tight.alias("most")).collect():
+        a, b = rows[r.i]
+        need = edits(a, b)
+        assert need <= r.loose
+        assert need <= r.tight or r.tight > r.most
+        if r.i % 7 < 2:
+            assert r.loose == need
+
+
+def test_texts_of_lines_are_not_stored_again(spark, stored, monkeypatch):
+    rng, sizes, store = random.Random(16), {}, lines.materialize
+
+    def kept(df, purpose):
+        out = store(df, purpose)
+        sizes.setdefault(purpose, []).append((lines.Files(spark).size(out.inputFiles()[0].rsplit("/", 1)[0]), out.columns))
+        return out
+
+    monkeypatch.setattr(lines, "materialize", kept)
+    monkeypatch.setattr(lines, "BROADCAST_ROWS", 0)
+    own = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=3000)) for _ in range(300)]
+    own += [x[:1500] + "0" + x[1501:] for x in own[:9]]
+    docs = stored(list(enumerate(own)), "doc_id long, text string")
+    gone = lines.dedup_lines(docs).agg(F.sum("n_removed")).first()[0]
+    assert gone == 9
+    assert sum(size for size, _ in sizes["line-entries"]) < sum(map(len, own)) / 4
+    assert {c for _, columns in sizes["line-members"] for c in columns} == {"bucket", "node", "head"}
+
+
+def test_many_pairs_of_few_texts_are_read_in_slices(spark, stored, monkeypatch):
+    rng, calls, within = random.Random(17), [], lines._within
+    base = "".join(rng.choices("abcdefghijklmnop", k=400))
+    texts = []
+    for i in range(16):
+        own = list(base)
+        for j in rng.sample(range(400), 4 + 3 * (i % 8)):
+            own[j] = "x"
+        texts.append("".join(own))
+    monkeypatch.setattr(lines, "_within", lambda *a: calls.append(1) or within(*a))
+    pairs = list(itertools.combinations(range(16), 2))
+    near = stored(pairs, "a long, b long")
+    found = {(r.a, r.b) for r in lines.similar(near, stored(list(enumerate(texts)), "node long, norm string")).collect()}
+    assert found == {(a, b) for a, b in pairs if edits(texts[a], texts[b]) <= 40}
+    assert 0 < len(found) and len(calls) > 3
+
+
 def item(n, seed):
     rng = random.Random(seed)
     return [rng.choice(WORDS) for _ in range(n)]
